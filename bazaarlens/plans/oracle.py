@@ -14,6 +14,8 @@ from bazaarlens.functions.brand import brand_rules_sql
 from bazaarlens.functions.keywords import KEYWORDS, keyword_rank_sql
 from bazaarlens.functions.tiers import discount_tier_sql, price_segment_sql, rating_category_sql
 from bazaarlens.operators.clean import PRICE_HIGH, PRICE_LOW
+from bazaarlens.operators.extract import (CARD_PATTERN, CHALLENGE_MARKERS, KEYWORD_PATTERN,
+                                          NO_RESULTS_PATTERN, PAGE_ID_SPAN, PAGE_PATTERN)
 from bazaarlens.plans.registry import RESUME_AFTER_KEYWORDS
 from bazaarlens.sources.tables import raw_from_orders_sql
 
@@ -121,8 +123,57 @@ FROM laptops_cleaned""",
 _DONE = ", ".join(f"'{k}'" for k in KEYWORDS[:RESUME_AFTER_KEYWORDS])
 _TOTAL = "(SELECT COUNT(*) FROM laptops_cleaned)"
 
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_N_CARDS = f"COALESCE(len(regexp_extract_all(html, {_lit(CARD_PATTERN)})), 0)"
+_CHALLENGE = " OR ".join(f"contains(lower(html), {_lit(m)})" for m in CHALLENGE_MARKERS)
+_FLOOR_PRICE = "CAST(floor(price_inr) AS DECIMAL(10,2))"
+
+
+def _card_discount_sql() -> str:
+    mrp = "CAST(original_price_inr * 100 AS BIGINT)"
+    price = "CAST(floor(price_inr) * 100 AS BIGINT)"
+    tenths = _half_up(f"({mrp} - {price}) * 1000", mrp)
+    return f"CAST(CAST({tenths} AS DECIMAL(18,0)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(5,2))"
+
+
 BODIES: dict[str, str] = {
+    "page_status": f"""SELECT page_id,
+  url_decode(replace(NULLIF(regexp_extract(url, {_lit(KEYWORD_PATTERN)}, 1), ''), '+', ' '))
+    AS search_keyword,
+  TRY_CAST(NULLIF(regexp_extract(url, {_lit(PAGE_PATTERN)}, 1), '') AS INTEGER) AS page_num,
+  CAST({_N_CARDS} AS INTEGER) AS n_cards,
+  CASE WHEN COALESCE({_CHALLENGE}, false) THEN 'challenge'
+       WHEN {_N_CARDS} = 0 AND COALESCE(regexp_matches(html, {_lit(NO_RESULTS_PATTERN)}), false)
+         THEN 'exhausted'
+       WHEN {_N_CARDS} = 0 THEN 'empty' ELSE 'ok' END AS status
+FROM pages""",
+    "extract_cards": f"""SELECT
+  CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
+  CAST(pos AS INTEGER) AS pos, asin, name AS product_name,
+  CASE WHEN brand IS NOT NULL THEN trim(brand) ELSE split_part(name, ' ', 1) END AS brand,
+  {_FLOOR_PRICE} AS price_inr, original_price_inr,
+  CASE WHEN original_price_inr > 0 AND original_price_inr > floor(price_inr)
+       THEN {_card_discount_sql()} END AS discount_percent,
+  rating, total_reviews, listing_type, search_keyword, page_scraped,
+  date_trunc('minute', fetched_at) AS scraped_at
+FROM (
+  SELECT *, {KR} AS kr, id // {PAGE_ID_SPAN} AS chunk,
+    ROW_NUMBER() OVER (PARTITION BY search_keyword, page_scraped, id // {PAGE_ID_SPAN}
+                       ORDER BY id) - 1 AS pos,
+    MIN(scraped_at) OVER (PARTITION BY search_keyword, page_scraped, id // {PAGE_ID_SPAN})
+      AS fetched_at,
+    CASE WHEN product_name IS NOT NULL THEN trim(product_name)
+         WHEN brand IS NOT NULL THEN trim(brand) END AS name
+  FROM laptops_raw)
+WHERE name IS NOT NULL AND name != '' AND price_inr IS NOT NULL AND floor(price_inr) > 0""",
     "raw_count": "SELECT COUNT(*) AS total_rows FROM laptops_raw",
+    "load_csv": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM laptops_raw",
+    "export_raw": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM laptops_raw",
+    "surrogate_key": f"SELECT ROW_NUMBER() OVER (ORDER BY id) AS row_id, {RAW_COLS} FROM laptops_raw",
+    "stream_first_seen": "SELECT DISTINCT asin FROM laptops_raw",
     "cleaned": "SELECT * FROM laptops_cleaned",
     "clean_removed": f"""SELECT id, asin, product_name, brand, price_inr,
   CASE WHEN price_inr IS NULL THEN 'missing price'

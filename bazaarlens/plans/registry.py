@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 from bazaarlens.functions.keywords import KEYWORDS
 from bazaarlens.operators import clean as C
 from bazaarlens.operators import dedup as D
+from bazaarlens.operators import extract as X
 from bazaarlens.operators import insights as B
 from bazaarlens.operators import marts as V
 from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
-from bazaarlens.sources.tables import read_raw
+from bazaarlens.session import scratch_path
+from bazaarlens.sources.csv import export_csv, export_parquet, load_csv
+from bazaarlens.sources.keys import surrogate_key
+from bazaarlens.sources.schema import LISTING_SCHEMA
+from bazaarlens.sources.tables import read_raw, read_table
+from bazaarlens.streaming.first_seen import start_first_seen
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -70,9 +76,55 @@ def _crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.crawl_cutoff(D.page_stats_from_listings(raw(spark, sf_dir)))
 
 
+def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page archive: the driver's ``pages`` table plus the listing rows
+    rendered as search-result pages (the driver's pages hold no cards)."""
+    real = X.as_page_archive(read_table(spark, sf_dir, "pages"))
+    return X.render_pages(raw(spark, sf_dir)).unionByName(real)
+
+
+def _page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.page_status(read_table(spark, sf_dir, "pages"))
+
+
+def _extract_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.extract_cards(archived_pages(spark, sf_dir))
+
+
+def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = export_csv(raw(spark, sf_dir), scratch_path(spark, "raw-csv"))
+    return load_csv(spark, path)
+
+
+def _export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = export_parquet(raw(spark, sf_dir), scratch_path(spark, "raw-export"))
+    return spark.read.schema(LISTING_SCHEMA).parquet(path)
+
+
+def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogate_key(raw(spark, sf_dir), ["id"])
+
+
+def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the listings as files, run the de-duplicating stream to the end
+    of its input, and read the keys it emitted."""
+    landing = scratch_path(spark, "landing")
+    raw(spark, sf_dir).repartition(8).write.parquet(landing)
+    sink, ckpt = scratch_path(spark, "first-seen"), scratch_path(spark, "first-seen-ckpt")
+    q = start_first_seen(spark, landing, sink, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("asin")
+
+
 QUERIES: dict[str, QueryFn] = {
+    # extraction from archived pages
+    "page_status": _page_status,
+    "extract_cards": _extract_cards,
     # sources / catalog
     "raw_count": _on_raw(Q.raw_count),
+    "load_csv": _load_csv,
+    "export_raw": _export_raw,
+    "surrogate_key": _surrogate_key,
     "cleaned": cleaned,
     "clean_removed": _on_raw(C.clean_removed),
     "list_marts": _list_marts,
@@ -98,6 +150,7 @@ QUERIES: dict[str, QueryFn] = {
     "page_yield": _on_raw(D.page_yield),
     "crawl_cutoff": _crawl_cutoff,
     "incremental_new": _incremental_new,
+    "stream_first_seen": _stream_first_seen,
     # run report
     "run_report": _on_raw(R.run_report),
     "keyword_breakdown": _on_raw(R.keyword_breakdown),
