@@ -1,11 +1,15 @@
 """Per-page helper: find product cards in search-result HTML.
 
-Small on purpose: it walks the markup once with the standard-library parser
-and returns, per card, the raw text of the few tags the extraction reads.
-No typing, trimming of numbers or validation happens here; those are native
-Spark expressions afterwards, where Catalyst can see them.
-
-Tag text follows the usual "strip every text node, join with nothing" rule.
+Small on purpose: one regex tokenizer walks the markup of each card and
+returns the raw text of the few tags the extraction reads. No typing,
+trimming of numbers or validation happens here; those are native Spark
+expressions afterwards, where Catalyst can see them. Markup outside cards
+is never tokenized: a page without cards costs one substring search.
+
+Tag text follows the usual "strip every text node, join with nothing" rule;
+character references are decoded in text and attribute values; tag and
+attribute names are case-insensitive; an end tag closes any unclosed tags
+opened after its start tag; a stray end tag is ignored.
 Tag choice:
   * card: ``div`` whose ``data-component-type`` is ``s-search-result``
   * class match: a class string matches a tag when it equals the tag's whole
@@ -21,7 +25,8 @@ Tag choice:
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import html as _html
+import re
 
 # Markup contract of a search-result card.
 CARD_ATTR = ("data-component-type", "s-search-result")
@@ -34,143 +39,191 @@ RATING_CLASS = "a-icon-alt"
 REVIEWS_CLASS = "a-size-base"
 SPONSORED_WORD = "sponsored"
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
-        "param", "source", "track", "wbr"}
+VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+                  "param", "source", "track", "wbr"})
+RAW_TEXT = frozenset({"script", "style"})
+ATTR_TAGS = frozenset({"div", "span", "h2"})
 
 FIELDS = ("asin_attr", "name_medium", "name_base_plus", "name_h2", "brand_text",
           "price_text", "mrp_text", "rating_text", "reviews_text")
 
-
-def _class_match(attr: str | None, wanted: str) -> bool:
-    if attr is None:
-        return False
-    return attr == wanted or wanted in attr.split()
-
-
-class _Capture:
-    """Text collector for one tag: strings stripped and joined."""
-    __slots__ = ("field", "depth", "parts", "mrp_block")
-
-    def __init__(self, field: str, depth: int, mrp_block: bool = False):
-        self.field, self.depth, self.parts, self.mrp_block = field, depth, [], mrp_block
-
-
-class CardParser(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.cards: list[dict] = []
-        self.stack: list[str] = []
-        self.card: dict | None = None
-        self.card_depth = -1
-        self.captures: list[_Capture] = []
-        self.span_texts: list[list] = []  # per open span: [depth, text parts, has_child]
-
-    # -- helpers -----------------------------------------------------------
-    def _want(self, field: str) -> bool:
-        return self.card is not None and self.card.get(field) is None and \
-            not any(c.field == field for c in self.captures)
-
-    def _open_capture(self, field: str, depth: int, mrp_block: bool = False):
-        self.captures.append(_Capture(field, depth, mrp_block))
-
-    # -- parser callbacks --------------------------------------------------
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag in VOID:
-            if self.span_texts:
-                self.span_texts[-1][2] = True
-            return
-        depth = len(self.stack)
-        self.stack.append(tag)
-        if self.span_texts:
-            self.span_texts[-1][2] = True
-        if tag == "div" and a.get(CARD_ATTR[0]) == CARD_ATTR[1] and self.card is None:
-            self.card = {f: None for f in FIELDS}
-            self.card["asin_attr"] = a.get("data-asin")
-            self.card["sponsored"] = False
-            self.card_depth = depth
-            return
-        if self.card is None:
-            return
-        cls = a.get("class")
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"                                       # comment
+    r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"  # tag
+    r"|<![^>]*>|<\?[^>]*>"                                     # doctype, PI
+    r"|[^<]+|<", re.S)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_CARD_HINT = CARD_ATTR[1]
+_CARD_START = re.compile(r"<div\b[^>]*?" + re.escape(_CARD_HINT), re.I)
+
+
+def _attrs(text: str) -> dict:
+    out = {}
+    for m in _ATTR.finditer(text):
+        name = m.group(1).lower()
+        if name in out:
+            continue
+        v = m.group(2)
+        if v is None:
+            v = m.group(3)
+        if v is None:
+            v = m.group(4)
+        if v is not None and "&" in v:
+            v = _html.unescape(v)
+        out[name] = v
+    return out
+
+
+class _Card:
+    """Field capture for one card, driven by start/end/text events."""
+
+    def __init__(self, asin):
+        self.f = dict.fromkeys(FIELDS)
+        self.f["asin_attr"] = asin
+        self.f["sponsored"] = False
+        self.captures = []   # [field, depth, parts]
+        self.mrp_depth = -1  # depth of the open MRP block, -1 = none
+        self.mrp_seen = False
+        self.spans = []      # [depth, text parts, has_child]
+
+    def _want(self, field):
+        return self.f[field] is None and all(c[0] != field for c in self.captures)
+
+    def start(self, tag, a, depth):
+        if self.spans:
+            self.spans[-1][2] = True
         if tag == "span":
-            self.span_texts.append([depth, [], False])
-            if _class_match(cls, NAME_CLASSES[0]) and self._want("name_medium"):
-                self._open_capture("name_medium", depth)
-            if _class_match(cls, NAME_CLASSES[1]) and self._want("name_base_plus"):
-                self._open_capture("name_base_plus", depth)
-            if _class_match(cls, BRAND_CLASS) and self._want("brand_text"):
-                self._open_capture("brand_text", depth)
-            if _class_match(cls, PRICE_CLASS) and self._want("price_text"):
-                self._open_capture("price_text", depth)
-            if _class_match(cls, RATING_CLASS) and self._want("rating_text"):
-                self._open_capture("rating_text", depth)
-            if (_class_match(cls, REVIEWS_CLASS) and a.get("dir") == "auto"
-                    and self._want("reviews_text")):
-                self._open_capture("reviews_text", depth)
-            if _class_match(cls, MRP_BLOCK_CLASS) and not self.card.get("_mrp_seen"):
-                self.card["_mrp_seen"] = True
-                self._open_capture("_mrp_block", depth, mrp_block=True)
-            elif (_class_match(cls, MRP_CLASS) and self._want("mrp_text")
-                  and any(c.mrp_block for c in self.captures)):
-                self._open_capture("mrp_text", depth)
+            self.spans.append([depth, [], False])
+            cls = a.get("class")
+            if cls is None:
+                return
+            toks = set(cls.split())
+            want = self._want
+            if NAME_CLASSES[0] in toks and want("name_medium"):
+                self.captures.append(["name_medium", depth, []])
+            if NAME_CLASSES[1] in toks and want("name_base_plus"):
+                self.captures.append(["name_base_plus", depth, []])
+            if (cls == BRAND_CLASS or BRAND_CLASS in toks) and want("brand_text"):
+                self.captures.append(["brand_text", depth, []])
+            if PRICE_CLASS in toks and want("price_text"):
+                self.captures.append(["price_text", depth, []])
+            if RATING_CLASS in toks and want("rating_text"):
+                self.captures.append(["rating_text", depth, []])
+            if REVIEWS_CLASS in toks and a.get("dir") == "auto" and want("reviews_text"):
+                self.captures.append(["reviews_text", depth, []])
+            if (cls == MRP_BLOCK_CLASS or MRP_BLOCK_CLASS in toks) and not self.mrp_seen:
+                self.mrp_seen, self.mrp_depth = True, depth
+            elif MRP_CLASS in toks and self.mrp_depth >= 0 and want("mrp_text"):
+                self.captures.append(["mrp_text", depth, []])
         elif tag == "h2" and self._want("name_h2"):
-            self._open_capture("name_h2", depth)
-
-    def handle_endtag(self, tag):
-        if tag in VOID or tag not in self.stack:
-            return
-        while self.stack:
-            depth = len(self.stack) - 1
-            top = self.stack.pop()
-            self._close(depth)
-            if top == tag:
-                break
+            self.captures.append(["name_h2", depth, []])
+
+    def child(self):
+        if self.spans:
+            self.spans[-1][2] = True
 
-    def _close(self, depth: int):
-        if self.span_texts and self.span_texts[-1][0] == depth:
-            _, parts, has_child = self.span_texts.pop()
+    def end(self, depth):
+        if self.spans and self.spans[-1][0] == depth:
+            _, parts, has_child = self.spans.pop()
             if not has_child and SPONSORED_WORD in "".join(parts).lower():
-                self.card["sponsored"] = True
-        keep = []
-        for c in self.captures:
-            if c.depth == depth:
-                if c.field != "_mrp_block":
-                    self.card[c.field] = "".join(c.parts)
-            else:
-                keep.append(c)
-        self.captures = keep
-        if self.card is not None and depth == self.card_depth:
-            self.card.pop("_mrp_seen", None)
-            self.cards.append(self.card)
-            self.card, self.card_depth, self.captures, self.span_texts = None, -1, [], []
-
-    def handle_data(self, data):
-        if self.card is None:
-            return
-        if self.span_texts:
-            self.span_texts[-1][1].append(data)
-        s = data.strip()
-        if s:
+                self.f["sponsored"] = True
+        if self.mrp_depth == depth:
+            self.mrp_depth = -1
+        if self.captures:
+            keep = []
             for c in self.captures:
-                c.parts.append(s)
-
-    def close(self):
-        super().close()
-        while self.stack:  # unclosed tags end with the document
-            depth = len(self.stack) - 1
-            self.stack.pop()
-            self._close(depth)
+                if c[1] == depth:
+                    self.f[c[0]] = "".join(c[2])
+                else:
+                    keep.append(c)
+            self.captures = keep
+
+    def text(self, data):
+        if self.spans:
+            self.spans[-1][1].append(data)
+        if self.captures:
+            s = data.strip()
+            if s:
+                for c in self.captures:
+                    c[2].append(s)
+
+
+def _is_card(tag: str, attr_text: str) -> str | None | bool:
+    if tag != "div" or _CARD_HINT not in attr_text:
+        return False
+    a = _attrs(attr_text)
+    if a.get(CARD_ATTR[0]) != CARD_ATTR[1]:
+        return False
+    return a
 
 
-def parse_cards(html: str | None) -> list[dict]:
-    """All cards of one page, in page order."""
-    if not html:
+def parse_cards(page: str | None) -> list[dict]:
+    """All cards of one page, in page order (nested cards are not split out)."""
+    if not page or _CARD_HINT not in page:
         return []
-    p = CardParser()
-    try:
-        p.feed(html)
-        p.close()
-    except Exception:  # noqa: BLE001 - a broken page yields the cards found so far
-        pass
-    return p.cards
+    cards = []
+    stack: list[str] = []
+    card: _Card | None = None
+    card_depth = -1
+    pos, n = 0, len(page)
+    while pos < n:
+        if card is None:  # skip to the next candidate card; outer markup is not needed
+            nxt = _CARD_START.search(page, pos)
+            if nxt is None:
+                break
+            pos, stack = nxt.start(), []
+        m = _TOKEN.match(page, pos)
+        pos = m.end()
+        closing, tag, attr_text = m.groups()
+        if tag is None:
+            s = m.group(0)
+            if card is not None and not s.startswith(("<!", "<?")):
+                card.text(_html.unescape(s) if "&" in s else s)
+            continue
+        tag = tag.lower()
+        if closing:  # end tag
+            if tag in VOID or tag not in stack:
+                continue
+            while stack:
+                depth = len(stack) - 1
+                top = stack.pop()
+                if card is not None:
+                    card.end(depth)
+                    if depth == card_depth:
+                        cards.append(_finish(card))
+                        card, card_depth = None, -1
+                if top == tag:
+                    break
+            continue
+        if tag in VOID or attr_text.endswith("/"):
+            if card is not None:
+                card.child()
+            continue
+        depth = len(stack)
+        stack.append(tag)
+        if card is None:
+            a = _is_card(tag, attr_text)
+            if a is not False:
+                card, card_depth = _Card(a.get("data-asin")), depth
+        else:
+            card.start(tag, _attrs(attr_text) if tag in ATTR_TAGS else {}, depth)
+        if tag in RAW_TEXT:  # skip script/style bodies
+            close = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
+            if close is None:
+                pos = n
+            else:
+                if card is not None and page[pos:close.start()].strip():
+                    card.child()
+                pos = close.start()
+    if card is not None:  # unclosed card ends with the document
+        while stack and len(stack) - 1 >= card_depth:
+            depth = len(stack) - 1
+            stack.pop()
+            card.end(depth)
+        cards.append(_finish(card))
+    return cards
+
+
+def _finish(card: _Card) -> dict:
+    out = dict(card.f)
+    return out

@@ -99,6 +99,14 @@ def card_fields(pages: DataFrame) -> DataFrame:
             .mapInPandas(_cards_of_pages, _CARD_OUT))
 
 
+def to_minute(ts: Column) -> Column:
+    """Wall-clock timestamp truncated to the minute, with no time-zone step
+    (``date_trunc`` would pass through the session zone and can shift a
+    wall-clock time that falls in a daylight-saving gap)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.minute(ts), F.lit(0))
+
+
 def _price(text: Column) -> Column:
     digits = F.regexp_replace(text, r"[,.]", "")
     return F.when(digits.rlike("^[0-9]+$"), digits.try_cast("decimal(10,2)"))
@@ -143,7 +151,7 @@ def extract_cards(pages: DataFrame) -> DataFrame:
         "listing_type": F.when(F.col("sponsored"), F.lit("Sponsored")).otherwise(F.lit("Organic")),
         "search_keyword": keyword_from_url(F.col("url")),
         "page_scraped": page_from_url(F.col("url")),
-        "scraped_at": F.date_trunc("minute", F.col("fetched_at")).cast("timestamp_ntz"),
+        "scraped_at": to_minute(F.col("fetched_at")),
     }
     typed = [cols[f.name].cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
     keep = ((asin != "") & name.isNotNull() & (name != "") & price.isNotNull() & (price > 0))
@@ -157,8 +165,9 @@ def extract_cards(pages: DataFrame) -> DataFrame:
 # this many ids: ids are unique, so no page can exceed this many cards
 # whatever the key distribution.
 PAGE_ID_SPAN = 5600
-# Search URL form.
-SEARCH_URL = "https://shop.example/s?k={k}&i=computers&s=review-rank&page={p}"
+# Search URL form (keyword, then page, appended).
+SEARCH_URL_HEAD = "https://shop.example/s?k="
+SEARCH_URL_MID = "&i=computers&s=review-rank&page="
 
 
 def _esc(col: Column) -> Column:
@@ -213,8 +222,8 @@ def render_pages(listings: DataFrame, span: int = PAGE_ID_SPAN) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct("id", "card"))).alias("cards"),
                   F.min("scraped_at").alias("fetched_at")))
     body = F.array_join(F.transform("cards", lambda c: c["card"]), "")
-    url = F.concat(F.lit("https://shop.example/s?k="), F.url_encode(F.col("search_keyword")),
-                   F.lit("&i=computers&s=review-rank&page="),
+    url = F.concat(F.lit(SEARCH_URL_HEAD), F.url_encode(F.col("search_keyword")),
+                   F.lit(SEARCH_URL_MID),
                    F.col("page_scraped").cast("string"))
     page_id = -(F.col("chunk") * 1_000_000 + F.col("kr") * 10_000 + F.col("page_scraped")) - 1
     return pages.select(
