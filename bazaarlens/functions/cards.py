@@ -41,37 +41,57 @@ SPONSORED_WORD = "sponsored"
 
 VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
                   "param", "source", "track", "wbr"})
-RAW_TEXT = frozenset({"script", "style"})
-ATTR_TAGS = frozenset({"div", "span", "h2"})
 
 FIELDS = ("asin_attr", "name_medium", "name_base_plus", "name_h2", "brand_text",
           "price_text", "mrp_text", "rating_text", "reviews_text")
 
+# One token per match; the groups say which kind:
+#   1 raw  - script/style element with its body (an element child, no text)
+#   2 skip - comment, doctype or processing instruction
+#   3 "/" for an end tag, 4 tag name, 5 attribute text
+#   6 text - character data (a stray "<" counts as text)
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"                                       # comment
-    r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"  # tag
-    r"|<![^>]*>|<\?[^>]*>"                                     # doctype, PI
-    r"|[^<]+|<", re.S)
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+    r"(<(?:script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?:script|style)\s*>|\Z))"
+    r"|(<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>)"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|([^<]+|<)", re.S | re.I)
 _CARD_HINT = CARD_ATTR[1]
 _CARD_START = re.compile(r"<div\b[^>]*?" + re.escape(_CARD_HINT), re.I)
 
-
-def _attrs(text: str) -> dict:
-    out = {}
-    for m in _ATTR.finditer(text):
-        name = m.group(1).lower()
-        if name in out:
-            continue
+_ATTR_RE: dict[str, re.Pattern] = {}
+
+
+def _attr(text: str, name: str) -> str | None:
+    """Value of one attribute in a start tag's attribute text (first wins)."""
+    if name not in text and name.upper() not in text.upper():
+        return None
+    pat = _ATTR_RE.get(name)
+    if pat is None:
+        pat = _ATTR_RE[name] = re.compile(
+            r"(?:^|[\s\"'])" + re.escape(name)
+            + r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|$)", re.I)
+    m = pat.search(text)
+    if m is None:
+        return None
+    v = m.group(1)
+    if v is None:
         v = m.group(2)
-        if v is None:
-            v = m.group(3)
-        if v is None:
-            v = m.group(4)
-        if v is not None and "&" in v:
-            v = _html.unescape(v)
-        out[name] = v
-    return out
+    if v is None:
+        v = m.group(3)
+    if v is None:
+        return None
+    return _html.unescape(v) if "&" in v else v
+
+
+class _Tag:
+    """Lazy attribute access for one start tag."""
+    __slots__ = ("text",)
+
+    def __init__(self, text: str):
+        self.text = text
+
+    def get(self, name: str):
+        return _attr(self.text, name)
 
 
 class _Card:
@@ -148,37 +168,33 @@ class _Card:
                     c[2].append(s)
 
 
-def _is_card(tag: str, attr_text: str) -> str | None | bool:
-    if tag != "div" or _CARD_HINT not in attr_text:
-        return False
-    a = _attrs(attr_text)
-    if a.get(CARD_ATTR[0]) != CARD_ATTR[1]:
-        return False
-    return a
+def _is_card(tag: str, attr_text: str) -> bool:
+    return (tag == "div" and _CARD_HINT in attr_text
+            and _attr(attr_text, CARD_ATTR[0]) == CARD_ATTR[1])
 
 
 def parse_cards(page: str | None) -> list[dict]:
     """All cards of one page, in page order (nested cards are not split out)."""
     if not page or _CARD_HINT not in page:
         return []
+    first = _CARD_START.search(page)
+    if first is None:
+        return []
     cards = []
     stack: list[str] = []
     card: _Card | None = None
     card_depth = -1
-    pos, n = 0, len(page)
-    while pos < n:
-        if card is None:  # skip to the next candidate card; outer markup is not needed
-            nxt = _CARD_START.search(page, pos)
-            if nxt is None:
-                break
-            pos, stack = nxt.start(), []
-        m = _TOKEN.match(page, pos)
-        pos = m.end()
-        closing, tag, attr_text = m.groups()
-        if tag is None:
-            s = m.group(0)
-            if card is not None and not s.startswith(("<!", "<?")):
-                card.text(_html.unescape(s) if "&" in s else s)
+    unescape = _html.unescape
+    for raw, skip, closing, tag, attr_text, text in _TOKEN.findall(page, first.start()):
+        if text:
+            if card is not None:
+                card.text(unescape(text) if "&" in text else text)
+            continue
+        if skip:
+            continue
+        if raw:
+            if card is not None:
+                card.child()
             continue
         tag = tag.lower()
         if closing:  # end tag
@@ -199,22 +215,15 @@ def parse_cards(page: str | None) -> list[dict]:
             if card is not None:
                 card.child()
             continue
+        if card is None:
+            # outside cards only a new card start matters; depth restarts
+            if _is_card(tag, attr_text):
+                stack = [tag]
+                card, card_depth = _Card(_attr(attr_text, "data-asin")), 0
+            continue
         depth = len(stack)
         stack.append(tag)
-        if card is None:
-            a = _is_card(tag, attr_text)
-            if a is not False:
-                card, card_depth = _Card(a.get("data-asin")), depth
-        else:
-            card.start(tag, _attrs(attr_text) if tag in ATTR_TAGS else {}, depth)
-        if tag in RAW_TEXT:  # skip script/style bodies
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-            if close is None:
-                pos = n
-            else:
-                if card is not None and page[pos:close.start()].strip():
-                    card.child()
-                pos = close.start()
+        card.start(tag, _Tag(attr_text), depth)
     if card is not None:  # unclosed card ends with the document
         while stack and len(stack) - 1 >= card_depth:
             depth = len(stack) - 1

@@ -21,8 +21,9 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.operators.clean import clean
+from bazaarlens.operators.extract import as_page_archive, render_pages
 from bazaarlens.session import checkpoint_root
-from bazaarlens.sources.schema import CLEANED_SCHEMA, RAW_SCHEMA
+from bazaarlens.sources.schema import CLEANED_SCHEMA, PAGE_ARCHIVE_SCHEMA, RAW_SCHEMA
 from bazaarlens.sources.tables import listings_from_orders, read_table, table_path
 
 _lock = threading.RLock()
@@ -34,10 +35,29 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+# Source files whose code defines the stored tables: a change to any of
+# them gives new table names, so a stale table is never reused.
+_DEFINING = ("sources/tables.py", "sources/schema.py", "operators/clean.py",
+             "operators/extract.py", "functions/brand.py", "functions/tiers.py",
+             "functions/keywords.py", "plans/materialize.py")
+
+
+def _code_version() -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in _DEFINING:
+        with open(os.path.join(root, rel), "rb") as f:
+            h.update(f.read())
+    return h.hexdigest()[:8]
+
+
+CODE_VERSION = _code_version()
+
+
 def _fingerprint(spark: SparkSession, path: str) -> str:
     p, fs = _hadoop_path(spark, path)
     st = fs.getFileStatus(p)
-    key = f"{path}|{st.getLen()}|{st.getModificationTime()}"
+    key = f"{CODE_VERSION}|{path}|{st.getLen()}|{st.getModificationTime()}"
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
@@ -70,3 +90,22 @@ def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         if not _complete(spark, path):
             write_table(clean(raw_table(spark, sf_dir)), path)
     return spark.read.schema(CLEANED_SCHEMA).parquet(path)
+
+
+def page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page archive: the driver's ``pages`` plus every raw listing
+    rendered into search-result pages, stored once as Parquet."""
+    fp = _fingerprint(spark, table_path(sf_dir, "orders")) + \
+        _fingerprint(spark, table_path(sf_dir, "pages"))
+    path = os.path.join(checkpoint_root(spark), "tables", f"page_archive-{fp}")
+    with _lock:
+        if not _complete(spark, path):
+            real = as_page_archive(read_table(spark, sf_dir, "pages"))
+            # Spread pages evenly over files by count, not bytes: scan splits
+            # are sized on compressed bytes, and generated markup compresses
+            # far better than real pages, so byte-sized splits would give the
+            # CPU-bound parse very uneven tasks.
+            n_files = max(8, 2 * spark.sparkContext.defaultParallelism)
+            write_table(render_pages(raw_table(spark, sf_dir)).unionByName(real)
+                        .repartition(n_files), path)
+    return spark.read.schema(PAGE_ARCHIVE_SCHEMA).parquet(path)

@@ -88,8 +88,7 @@ def _crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page archive: the driver's ``pages`` table plus the listing rows
     rendered as search-result pages (the driver's pages hold no cards)."""
-    real = X.as_page_archive(read_table(spark, sf_dir, "pages"))
-    return X.render_pages(raw(spark, sf_dir)).unionByName(real)
+    return M.page_archive(spark, sf_dir)
 
 
 def _page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
