@@ -125,22 +125,16 @@ def _reviews(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, ",", "")).try_cast("int")
 
 
-def extract_cards(pages: DataFrame) -> DataFrame:
-    """Archived pages -> listing rows (LISTING_SCHEMA) plus page_id and pos.
-
-    Cards without an ASIN, without a name, or without a positive price are
-    skipped, as are broken cards (the parser drops what it cannot read).
-    """
-    c = card_fields(pages)
+def _card_columns() -> dict[str, Column]:
+    """Typed listing columns over the parser's raw strings (native only)."""
     name = F.coalesce("name_medium", "name_base_plus", "name_h2")
-    asin = F.trim(F.col("asin_attr"))
     first_word = F.element_at(F.split(name, r"\s+"), 1)
     price = _price(F.col("price_text"))
     mrp = _mrp(F.col("mrp_text"))
     discount = F.when((price > 0) & (mrp > 0) & (mrp > price),
                       F.round((mrp - price) / mrp * 100, 1))
-    cols = {
-        "asin": asin,
+    return {
+        "asin": F.trim(F.col("asin_attr")),
         "product_name": name,
         "brand": F.coalesce(F.col("brand_text"), first_word),
         "price_inr": price,
@@ -153,9 +147,38 @@ def extract_cards(pages: DataFrame) -> DataFrame:
         "page_scraped": page_from_url(F.col("url")),
         "scraped_at": to_minute(F.col("fetched_at")),
     }
+
+
+def _reject_reason(cols: dict[str, Column]) -> Column:
+    """First failed requirement of a card, NULL when the card is kept."""
+    asin, name, price = cols["asin"], cols["product_name"], cols["price_inr"]
+    return (F.when(asin.isNull() | (asin == ""), F.lit("no asin"))
+             .when(name.isNull() | (name == ""), F.lit("no name"))
+             .when(price.isNull() | (price <= 0), F.lit("no price")))
+
+
+def extract_cards(pages: DataFrame) -> DataFrame:
+    """Archived pages -> listing rows (LISTING_SCHEMA) plus page_id and pos.
+
+    Cards without an ASIN, without a name, or without a positive price are
+    skipped, as are broken cards (the parser drops what it cannot read).
+    """
+    cols = _card_columns()
     typed = [cols[f.name].cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
-    keep = ((asin != "") & name.isNotNull() & (name != "") & price.isNotNull() & (price > 0))
-    return c.filter(keep).select("page_id", "pos", *typed)
+    return (card_fields(pages).filter(_reject_reason(cols).isNull())
+            .select("page_id", "pos", *typed))
+
+
+def card_rejects(pages: DataFrame) -> DataFrame:
+    """Per page with cards: cards found, kept, and skipped by first reason."""
+    reason = _reject_reason(_card_columns())
+    return (card_fields(pages).select("page_id", reason.alias("reason"))
+            .groupBy("page_id")
+            .agg(F.count(F.lit(1)).alias("cards"),
+                 F.count_if(F.col("reason").isNull()).alias("kept"),
+                 F.count_if(F.col("reason") == "no asin").alias("no_asin"),
+                 F.count_if(F.col("reason") == "no name").alias("no_name"),
+                 F.count_if(F.col("reason") == "no price").alias("no_price")))
 
 
 # ---------------------------------------------------------------------------

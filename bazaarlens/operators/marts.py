@@ -94,8 +94,15 @@ MARTS = {
 
 
 def register_marts(spark: SparkSession, cleaned: DataFrame,
-                   table: str = "laptops_cleaned") -> list[str]:
-    """Define (or replace) the cleaned table view and the six mart views."""
+                   table: str = "laptops_cleaned", database: str | None = None) -> list[str]:
+    """Define (or replace) the cleaned table view and the six mart views.
+
+    ``database``: create it if missing and make it current first (the
+    views themselves are session-scoped temporary views).
+    """
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.catalog.setCurrentDatabase(database)
     cleaned.createOrReplaceTempView(table)
     base = spark.table(table)
     for name, build in MARTS.items():

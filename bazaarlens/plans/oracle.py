@@ -150,6 +150,20 @@ BODIES: dict[str, str] = {
          THEN 'exhausted'
        WHEN {_N_CARDS} = 0 THEN 'empty' ELSE 'ok' END AS status
 FROM pages""",
+    "card_rejects": f"""SELECT
+  CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
+  COUNT(*) AS cards,
+  {cnt_if("name IS NOT NULL AND name != '' AND price_inr IS NOT NULL AND floor(price_inr) > 0")}
+    AS kept,
+  CAST(0 AS BIGINT) AS no_asin,
+  {cnt_if("name IS NULL OR name = ''")} AS no_name,
+  {cnt_if("name IS NOT NULL AND name != '' AND (price_inr IS NULL OR floor(price_inr) <= 0)")}
+    AS no_price
+FROM (SELECT *, {KR} AS kr, id // {PAGE_ID_SPAN} AS chunk,
+        CASE WHEN product_name IS NOT NULL THEN trim(product_name)
+             WHEN brand IS NOT NULL THEN trim(brand) END AS name
+      FROM laptops_raw)
+GROUP BY chunk, kr, page_scraped""",
     "extract_cards": f"""SELECT
   CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
   CAST(pos AS INTEGER) AS pos, asin, name AS product_name,

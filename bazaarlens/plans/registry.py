@@ -61,15 +61,30 @@ def _on_raw(fn) -> QueryFn:
     return lambda spark, sf_dir: fn(raw(spark, sf_dir))
 
 
+_registered: dict[int, tuple[str, ...]] = {}
+
+
+def _ensure_marts(spark: SparkSession, sf_dir: str) -> None:
+    """Define the mart views over this input's cleaned table, once per
+    session and input (views are metadata: re-defining costs analysis)."""
+    cleaned_df = cleaned_table(spark, sf_dir)
+    key = id(spark)
+    files = tuple(sorted(cleaned_df.inputFiles()))
+    if _registered.get(key) != files or not all(
+            spark.catalog.tableExists(n) for n in V.MARTS):
+        V.register_marts(spark, cleaned_df)
+        _registered[key] = files
+
+
 def _via_view(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        V.register_marts(spark, cleaned_table(spark, sf_dir))
+        _ensure_marts(spark, sf_dir)
         return spark.table(name)
     return run
 
 
 def _list_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    V.register_marts(spark, cleaned_table(spark, sf_dir))
+    _ensure_marts(spark, sf_dir)
     return V.list_marts(spark)
 
 
@@ -99,6 +114,10 @@ def _extract_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.extract_cards(archived_pages(spark, sf_dir))
 
 
+def _card_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.card_rejects(archived_pages(spark, sf_dir))
+
+
 def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = export_csv(raw(spark, sf_dir), scratch_path(spark, "raw-csv"))
     return load_csv(spark, path)
@@ -128,6 +147,7 @@ QUERIES: dict[str, QueryFn] = {
     # extraction from archived pages
     "page_status": _page_status,
     "extract_cards": _extract_cards,
+    "card_rejects": _card_rejects,
     # sources / catalog
     "raw_count": _on_raw(Q.raw_count),
     "load_csv": _load_csv,

@@ -172,3 +172,14 @@ def test_pages_bounded_by_id_span(spark):
     pages = render_pages(read_raw(spark, SF_SMALL), span=5600)
     n = pages.select(F.regexp_count("html", F.lit("s-search-result")).alias("n"))
     assert n.agg(F.max("n")).first()[0] <= 40
+
+
+def test_card_rejects_counts_first_reason(spark):
+    from bazaarlens.operators.extract import card_rejects
+    html = "".join([card(), card(asin=""), card(name=""), card(price=None),
+                    card(asin="", price=None)])
+    pages = spark.createDataFrame([(7, URL, html, 200, TS)],
+                                  "page_id long, url string, html string, http_status int, "
+                                  "fetched_at timestamp_ntz")
+    r = card_rejects(pages).first()
+    assert (r.page_id, r.cards, r.kept, r.no_asin, r.no_name, r.no_price) == (7, 5, 1, 2, 1, 1)

@@ -85,3 +85,13 @@ def test_stream_restart_adds_nothing(spark):
     raw.limit(100).withColumn("id", F.col("id") + 10**9).write.mode("append").parquet(landing)
     start_first_seen(spark, landing, sink, ckpt, files_per_batch=1).awaitTermination()
     assert spark.read.parquet(sink).count() == n
+
+
+def test_marts_in_named_database(spark):
+    current = spark.catalog.currentDatabase()
+    try:
+        register_marts(spark, clean(read_raw(spark, SF_SMALL)), database="ecommerce_marts")
+        assert spark.catalog.currentDatabase() == "ecommerce_marts"
+        assert spark.table("vw_kpi_summary").count() == 1
+    finally:
+        spark.catalog.setCurrentDatabase(current)
