@@ -90,8 +90,18 @@ def _cards_of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
+def _ship_by_value() -> None:
+    """Serialize this package's task code by value, so executors need not
+    have it installed (no --py-files, no install on workers)."""
+    from pyspark import cloudpickle
+
+    import bazaarlens
+    cloudpickle.register_pickle_by_value(bazaarlens)
+
+
 def card_fields(pages: DataFrame) -> DataFrame:
     """Raw per-card strings of every page that was served (status 200 or unknown)."""
+    _ship_by_value()
     p = as_page_archive(pages)
     served = F.col("http_status").isNull() | (F.col("http_status") == OK_STATUS)
     return (p.filter(served)

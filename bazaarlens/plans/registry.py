@@ -138,7 +138,8 @@ def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     raw(spark, sf_dir).repartition(8).write.parquet(landing)
     sink, ckpt = scratch_path(spark, "first-seen"), scratch_path(spark, "first-seen-ckpt")
-    q = start_first_seen(spark, landing, sink, ckpt)
+    q = start_first_seen(spark, landing, sink, ckpt,
+                         state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return spark.read.parquet(sink).select("asin")
 

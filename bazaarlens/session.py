@@ -49,14 +49,17 @@ def get_session(master: str | None = None, app: str = "bazaarlens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for materialised data.
 
-    Reads ``spark.checkpoint.dir`` from the session. If it is unset (tests,
-    a laptop) one private scratch folder per SparkContext is made and
-    registered with ``setCheckpointDir`` so that ``DataFrame.checkpoint()``
-    works too.
+    Reads ``spark.checkpoint.dir`` from the session. If it is unset on a
+    ``local[...]`` master (tests, a laptop) one private scratch folder per
+    SparkContext is made and registered with ``setCheckpointDir`` so that
+    ``DataFrame.checkpoint()`` works too; on a cluster it must be set.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared, fault-tolerant "
+                               "folder for materialised tables and stream checkpoints")
         key = id(sc._jsc)
         root = _fallback_roots.get(key)
         if root is None:

@@ -33,8 +33,14 @@ def first_seen_stream(stream: DataFrame, key: str = "asin",
 
 def start_first_seen(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                      schema: T.StructType = RAW_SCHEMA, key: str = "asin",
-                     files_per_batch: int = 8, available_now: bool = True) -> StreamingQuery:
-    """Run the de-duplicating stream from Parquet files in ``landing``."""
+                     files_per_batch: int = 8, available_now: bool = True,
+                     state_partitions: int | None = None) -> StreamingQuery:
+    """Run the de-duplicating stream from Parquet files in ``landing``.
+
+    ``state_partitions`` fixes the number of state-store partitions for a
+    new checkpoint (a restarted query keeps the number it started with);
+    by default the session's shuffle partition count applies.
+    """
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", files_per_batch)
               .parquet(landing))
@@ -44,4 +50,14 @@ def start_first_seen(spark: SparkSession, landing: str, sink: str, checkpoint: s
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="10 seconds")
-    return writer.start(sink)
+    if state_partitions is None:
+        return writer.start(sink)
+    # The query clones the session when it starts; the setting is restored
+    # for everything else right after.
+    conf_key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(conf_key)
+    spark.conf.set(conf_key, str(state_partitions))
+    try:
+        return writer.start(sink)
+    finally:
+        spark.conf.set(conf_key, before)
