@@ -8,8 +8,6 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
-
 from bazaarlens.operators.clean import clean, clean_removed
 from bazaarlens.operators.dedup import first_seen
 from bazaarlens.operators.insights import rating_distribution
@@ -95,4 +93,3 @@ def test_tasks_run_without_the_package_on_the_worker_path(tmp_path):
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=300)
     assert "CARDS 1" in out.stdout, out.stderr[-2000:]
-    assert F is not None
