@@ -76,15 +76,32 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``laptops_raw`` for a test-data folder, materialised once."""
+def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of ``laptops_raw`` for a test-data folder, written once."""
     src = table_path(sf_dir, "orders")
     path = os.path.join(checkpoint_root(spark), "tables",
                         f"laptops_raw-{_fingerprint(spark, src)}")
     with _lock:
         if not _complete(spark, path):
             write_table(listings_from_orders(read_table(spark, sf_dir, "orders")), path)
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    return path
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``laptops_raw`` for a test-data folder, materialised once."""
+    return spark.read.schema(RAW_SCHEMA).parquet(raw_table_path(spark, sf_dir))
+
+
+def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
+    """The raw listings exported once as CSV (the bulk-load input)."""
+    from bazaarlens.sources.csv import export_csv
+    src = table_path(sf_dir, "orders")
+    path = os.path.join(checkpoint_root(spark), "tables",
+                        f"laptops_raw_csv-{_fingerprint(spark, src)}")
+    with _lock:
+        if not _complete(spark, path):
+            export_csv(raw_table(spark, sf_dir), path)
+    return path
 
 
 def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
 from bazaarlens.session import scratch_path
-from bazaarlens.sources.csv import export_csv, export_parquet, load_csv
+from bazaarlens.sources.csv import export_parquet, load_csv
 from bazaarlens.sources.keys import surrogate_key
 from bazaarlens.sources.schema import LISTING_SCHEMA
 from bazaarlens.plans import materialize as M
@@ -119,8 +119,7 @@ def _card_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = export_csv(raw(spark, sf_dir), scratch_path(spark, "raw-csv"))
-    return load_csv(spark, path)
+    return load_csv(spark, M.raw_csv_path(spark, sf_dir))
 
 
 def _export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,10 +132,10 @@ def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the listings as files, run the de-duplicating stream to the end
-    of its input, and read the keys it emitted."""
-    landing = scratch_path(spark, "landing")
-    raw(spark, sf_dir).repartition(8).write.parquet(landing)
+    """Stream the stored listing files through the de-duplicating query to
+    the end of its input (a fresh query each call), and read the keys it
+    emitted. The files are read in place: nothing is copied to land them."""
+    landing = M.raw_table_path(spark, sf_dir)
     sink, ckpt = scratch_path(spark, "first-seen"), scratch_path(spark, "first-seen-ckpt")
     q = start_first_seen(spark, landing, sink, ckpt,
                          state_partitions=spark.sparkContext.defaultParallelism)
