@@ -104,15 +104,20 @@ def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``laptops_cleaned``: create-table-as-select over ``laptops_raw``."""
+def cleaned_table_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of ``laptops_cleaned``: create-table-as-select over ``laptops_raw``."""
     src = table_path(sf_dir, "orders")
     path = os.path.join(checkpoint_root(spark), "tables",
                         f"laptops_cleaned-{_fingerprint(spark, src)}")
     with _lock:
         if not _complete(spark, path):
             write_table(clean(raw_table(spark, sf_dir)), path)
-    return spark.read.schema(CLEANED_SCHEMA).parquet(path)
+    return path
+
+
+def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``laptops_cleaned`` for a test-data folder, materialised once."""
+    return spark.read.schema(CLEANED_SCHEMA).parquet(cleaned_table_path(spark, sf_dir))
 
 
 def page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,7 +149,13 @@ BODIES: dict[str, str] = {
        WHEN {_N_CARDS} = 0 AND COALESCE(regexp_matches(html, {_lit(NO_RESULTS_PATTERN)}), false)
          THEN 'exhausted'
        WHEN {_N_CARDS} = 0 THEN 'empty' ELSE 'ok' END AS status
-FROM pages""",
+FROM pages
+UNION ALL
+SELECT CAST(-(id // {PAGE_ID_SPAN} * 1000000 + {KR} * 10000 + page_scraped) - 1 AS BIGINT)
+    AS page_id,
+  search_keyword, page_scraped AS page_num, CAST(COUNT(*) AS INTEGER) AS n_cards, 'ok' AS status
+FROM laptops_raw
+GROUP BY id // {PAGE_ID_SPAN}, search_keyword, page_scraped""",
     "card_rejects": f"""SELECT
   CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
   COUNT(*) AS cards,

@@ -23,12 +23,11 @@ from bazaarlens.operators import marts as V
 from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
+from bazaarlens.plans import materialize as M
 from bazaarlens.session import scratch_path
 from bazaarlens.sources.csv import export_parquet, load_csv
 from bazaarlens.sources.keys import surrogate_key
 from bazaarlens.sources.schema import LISTING_SCHEMA
-from bazaarlens.plans import materialize as M
-from bazaarlens.sources.tables import read_table
 from bazaarlens.streaming.first_seen import start_first_seen
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -61,19 +60,18 @@ def _on_raw(fn) -> QueryFn:
     return lambda spark, sf_dir: fn(raw(spark, sf_dir))
 
 
-_registered: dict[int, tuple[str, ...]] = {}
+_registered: dict[int, str] = {}
 
 
 def _ensure_marts(spark: SparkSession, sf_dir: str) -> None:
     """Define the mart views over this input's cleaned table, once per
     session and input (views are metadata: re-defining costs analysis)."""
-    cleaned_df = cleaned_table(spark, sf_dir)
+    path = M.cleaned_table_path(spark, sf_dir)
     key = id(spark)
-    files = tuple(sorted(cleaned_df.inputFiles()))
-    if _registered.get(key) != files or not all(
+    if _registered.get(key) != path or not all(
             spark.catalog.tableExists(n) for n in V.MARTS):
-        V.register_marts(spark, cleaned_df)
-        _registered[key] = files
+        V.register_marts(spark, cleaned_table(spark, sf_dir))
+        _registered[key] = path
 
 
 def _via_view(name: str) -> QueryFn:
@@ -107,7 +105,7 @@ def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.page_status(read_table(spark, sf_dir, "pages"))
+    return X.page_status(archived_pages(spark, sf_dir))
 
 
 def _extract_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
