@@ -11,16 +11,16 @@ partition-local: no shuffle between the page scan and the card rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlens.functions.cards import FIELDS, parse_cards
-from bazaarlens.functions.keywords import keyword_rank
+from bazaarlens.functions.keywords import KEYWORDS, keyword_rank
 from bazaarlens.sources.schema import CARD_FIELDS_SCHEMA, LISTING_SCHEMA, PAGE_ARCHIVE_SCHEMA
-from pyspark.sql import types as T
 
 # Page classification (case-insensitive body markers).
 CHALLENGE_MARKERS = ("captcha", "enter the characters")
@@ -210,8 +210,8 @@ def _esc(col: Column) -> Column:
     return out
 
 
-def card_html(listing: DataFrame) -> Column:
-    """One listing row as a search-result card."""
+def card_html() -> Column:
+    """One listing row (the raw listing columns) as a search-result card."""
     def opt(cond: Column, *parts) -> Column:
         return F.when(cond, F.concat(*parts)).otherwise(F.lit(""))
 
@@ -240,17 +240,20 @@ def card_html(listing: DataFrame) -> Column:
         F.lit("</div>"))
 
 
-def render_pages(listings: DataFrame, span: int = PAGE_ID_SPAN) -> DataFrame:
+def render_pages(listings: DataFrame, span: int = PAGE_ID_SPAN,
+                 keywords: Sequence[str] = KEYWORDS) -> DataFrame:
     """Listings -> archived pages: one page per (keyword, page, id span).
 
     Cards keep id order inside a page. The group is bounded by ``span``.
+    Page ids encode (id span, keyword rank, page): they are unique when every
+    keyword is in ``keywords`` (unlisted keywords share one rank).
     """
-    kr = keyword_rank(F.col("search_keyword"))
+    kr = keyword_rank(F.col("search_keyword"), keywords)
     chunk = F.floor(F.col("id") / span)
     pages = (listings
              .select("search_keyword", "page_scraped", "id", "scraped_at",
                      kr.alias("kr"), chunk.alias("chunk"),
-                     card_html(listings).alias("card"))
+                     card_html().alias("card"))
              .groupBy("search_keyword", "page_scraped", "kr", "chunk")
              .agg(F.array_sort(F.collect_list(F.struct("id", "card"))).alias("cards"),
                   F.min("scraped_at").alias("fetched_at")))

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete reliable RDD checkpoints (surrogate keys) once they are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 _fallback_roots: dict[int, str] = {}
