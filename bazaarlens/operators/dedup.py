@@ -52,8 +52,9 @@ def page_yield(df: DataFrame, key: str = "asin",
     Plan: (1) partial+final aggregate to one row per (key, page) - a hot key
     collapses map-side; (2) window per key over those rows (at most one per
     page the key appears on) to find its first page; (3) aggregate per page;
-    (4) running total as a per-keyword running sum plus the keyword's offset
-    from a per-keyword table (one row per keyword).
+    (4) running total in crawl order over the per-page rows. Step (4) sees
+    one row per crawled page (keywords x pages of the crawl configuration,
+    140 for the reference's), whatever the number of listings.
     """
     ranked = with_crawl_order(df, keywords)
     per_key_page = (ranked.groupBy(key, "keyword_rank", "search_keyword", "page_scraped")
@@ -64,24 +65,14 @@ def page_yield(df: DataFrame, key: str = "asin",
     per_page = (flagged.groupBy("keyword_rank", "search_keyword", "page_scraped")
                 .agg(F.sum("n").alias("products"),
                      F.sum(F.when(F.col("is_new"), F.col("n")).otherwise(0)).alias("new_products")))
-    per_page = per_page.withColumn("duplicates", F.col("products") - F.col("new_products"))
-    in_kw = Window.partitionBy("keyword_rank").orderBy("page_scraped") \
+    crawl_order = Window.orderBy("keyword_rank", "search_keyword", "page_scraped") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_kw = per_page.groupBy("keyword_rank").agg(F.sum("new_products").alias("kw_new"))
-    kw_offset = per_kw.select(
-        "keyword_rank",
-        (F.sum("kw_new").over(Window.orderBy("keyword_rank")
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("kw_new")).alias("kw_offset"))
-    # One row per keyword: the keyword list is the crawl's configuration.
-    return (per_page.withColumn("kw_running", F.sum("new_products").over(in_kw))
-            .join(F.broadcast(kw_offset), "keyword_rank")
-            .select("search_keyword", "page_scraped",
-                    F.col("products").cast("bigint").alias("products"),
-                    F.col("new_products").cast("bigint").alias("new_products"),
-                    F.col("duplicates").cast("bigint").alias("duplicates"),
-                    (F.col("kw_offset") + F.col("kw_running")).cast("bigint")
-                    .alias("running_total")))
+    return per_page.select(
+        "search_keyword", "page_scraped",
+        F.col("products").cast("bigint").alias("products"),
+        F.col("new_products").cast("bigint").alias("new_products"),
+        (F.col("products") - F.col("new_products")).cast("bigint").alias("duplicates"),
+        F.sum("new_products").over(crawl_order).cast("bigint").alias("running_total"))
 
 
 # Page classes that stop a keyword's crawl.
