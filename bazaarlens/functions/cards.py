@@ -204,7 +204,8 @@ def parse_cards(page: str | None) -> list[dict]:
                 depth = len(stack) - 1
                 top = stack.pop()
                 if card is not None:
-                    card.end(depth)
+                    if top == "span" or top == "h2" or depth == card.mrp_depth or depth == card_depth:
+                        card.end(depth)
                     if depth == card_depth:
                         cards.append(_finish(card))
                         card, card_depth = None, -1
@@ -223,7 +224,10 @@ def parse_cards(page: str | None) -> list[dict]:
             continue
         depth = len(stack)
         stack.append(tag)
-        card.start(tag, _Tag(attr_text), depth)
+        if tag == "span" or tag == "h2":
+            card.start(tag, _Tag(attr_text), depth)
+        elif card.spans:  # any other element only marks its parent span
+            card.spans[-1][2] = True
     if card is not None:  # unclosed card ends with the document
         while stack and len(stack) - 1 >= card_depth:
             depth = len(stack) - 1
