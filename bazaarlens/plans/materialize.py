@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +77,24 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _publish(spark: SparkSession, path: str, write) -> None:
+    """Run ``write(folder)`` into a private folder, then rename it into place.
+
+    Two jobs building the same table never write into one folder: the
+    first rename wins and a later one finds the table already complete.
+    """
+    tmp = f"{path}.part-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    src, fs = _hadoop_path(spark, tmp)
+    dst, _ = _hadoop_path(spark, path)
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+
+
+def publish_table(df: DataFrame, path: str) -> None:
+    _publish(df.sparkSession, path, lambda folder: write_table(df, folder))
+
+
 def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of ``laptops_raw`` for a test-data folder, written once."""
     src = table_path(sf_dir, "orders")
@@ -83,7 +102,7 @@ def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
                         f"laptops_raw-{_fingerprint(spark, src)}")
     with _lock:
         if not _complete(spark, path):
-            write_table(listings_from_orders(read_table(spark, sf_dir, "orders")), path)
+            publish_table(listings_from_orders(read_table(spark, sf_dir, "orders")), path)
     return path
 
 
@@ -100,7 +119,7 @@ def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
                         f"laptops_raw_csv-{_fingerprint(spark, src)}")
     with _lock:
         if not _complete(spark, path):
-            export_csv(raw_table(spark, sf_dir), path)
+            _publish(spark, path, lambda folder: export_csv(raw_table(spark, sf_dir), folder))
     return path
 
 
@@ -111,7 +130,7 @@ def cleaned_table_path(spark: SparkSession, sf_dir: str) -> str:
                         f"laptops_cleaned-{_fingerprint(spark, src)}")
     with _lock:
         if not _complete(spark, path):
-            write_table(clean(raw_table(spark, sf_dir)), path)
+            publish_table(clean(raw_table(spark, sf_dir)), path)
     return path
 
 
@@ -134,6 +153,6 @@ def page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             # far better than real pages, so byte-sized splits would give the
             # CPU-bound parse very uneven tasks.
             n_files = max(8, 2 * spark.sparkContext.defaultParallelism)
-            write_table(render_pages(raw_table(spark, sf_dir)).unionByName(real)
-                        .repartition(n_files), path)
+            publish_table(render_pages(raw_table(spark, sf_dir)).unionByName(real)
+                          .repartition(n_files), path)
     return spark.read.schema(PAGE_ARCHIVE_SCHEMA).parquet(path)
