@@ -268,3 +268,26 @@ def render_pages(listings: DataFrame, span: int = PAGE_ID_SPAN,
                  F.lit("</div></body></html>")).alias("html"),
         F.lit(OK_STATUS).alias("http_status"),
         F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
+
+
+# Crawl order of extracted cards: keyword rank, page number, archived page, position.
+CARD_ORDER = ("keyword_rank", "page_scraped", "page_id", "pos")
+
+
+def listings_from_archive(pages: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
+    """Archive -> a raw listing table (RAW_SCHEMA): the crawl's own output.
+
+    Cards are extracted, the first sighting of each ASIN in crawl order is
+    kept, and ids 1..N are assigned in crawl order, as an auto-increment key
+    on load would. Shuffles: one on the ASIN (first-seen) and one range sort
+    for the ids; no single-task step.
+    """
+    from bazaarlens.operators.dedup import first_seen
+    from bazaarlens.sources.keys import surrogate_key
+    from bazaarlens.sources.schema import RAW_SCHEMA
+
+    cards = extract_cards(pages).withColumn(
+        "keyword_rank", keyword_rank(F.col("search_keyword"), keywords))
+    unique = first_seen(cards, order=CARD_ORDER, keywords=keywords)
+    keyed = surrogate_key(unique, list(CARD_ORDER), name="id")
+    return keyed.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])

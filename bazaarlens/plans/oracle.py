@@ -330,6 +330,14 @@ FROM laptops_cleaned WHERE rating IS NOT NULL""",
 }
 
 
+BODIES["archive_listings"] = f"""SELECT
+  ROW_NUMBER() OVER (ORDER BY kr2, page_scraped, page_id, pos) AS id, {RAW_COLS.replace('id, ', '', 1)}
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY asin ORDER BY kr2, page_scraped, page_id, pos) AS rn
+  FROM (SELECT *, {KR} AS kr2 FROM ({BODIES["extract_cards"]})))
+WHERE rn = 1"""
+
+
 def with_base(body: str) -> str:
     return (f"WITH laptops_raw AS ({raw_from_orders_sql('orders')}),\n"
             f"laptops_cleaned AS ({CLEANED_SQL}),\n"
@@ -338,3 +346,4 @@ def with_base(body: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_base(v) for k, v in BODIES.items()}
+

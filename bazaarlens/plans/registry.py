@@ -116,6 +116,10 @@ def _card_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.card_rejects(archived_pages(spark, sf_dir))
 
 
+def _archive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.listings_from_archive(archived_pages(spark, sf_dir))
+
+
 def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, M.raw_csv_path(spark, sf_dir))
 
@@ -146,6 +150,7 @@ QUERIES: dict[str, QueryFn] = {
     "page_status": _page_status,
     "extract_cards": _extract_cards,
     "card_rejects": _card_rejects,
+    "archive_listings": _archive_listings,
     # sources / catalog
     "raw_count": _on_raw(Q.raw_count),
     "load_csv": _load_csv,
