@@ -55,7 +55,9 @@ def _discount_sql() -> str:
     return f"CAST(CAST({tenths} AS DECIMAL(18,0)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(5,1))"
 
 
-CLEANED_SQL = f"""SELECT id, asin, trim(product_name) AS product_name,
+def cleaned_sql(source: str) -> str:
+    """The cleaning projection over any raw-shaped relation."""
+    return f"""SELECT id, asin, trim(product_name) AS product_name,
   {brand_rules_sql('product_name', 'brand')} AS brand,
   price_inr, original_price_inr,
   CASE WHEN original_price_inr > price_inr THEN {_discount_sql()} END AS discount_percent,
@@ -67,10 +69,13 @@ CLEANED_SQL = f"""SELECT id, asin, trim(product_name) AS product_name,
   {discount_tier_sql('discount_percent')} AS discount_tier,
   {rating_category_sql('rating')} AS rating_category,
   listing_type, search_keyword, scraped_at
-FROM laptops_raw
+FROM {source}
 WHERE price_inr IS NOT NULL AND price_inr > {PRICE_LOW} AND price_inr < {PRICE_HIGH}
   AND product_name IS NOT NULL"""
 
+
+CLEANED_SQL = cleaned_sql("laptops_raw")
+
 KR = keyword_rank_sql("search_keyword")
 
 FIRST_SEEN_SQL = f"""SELECT * EXCLUDE (_rn, _kr) FROM (
@@ -337,6 +342,10 @@ FROM (
   FROM (SELECT *, {KR} AS kr2 FROM ({BODIES["extract_cards"]})))
 WHERE rn = 1"""
 
+BODIES["archive_kpi_summary"] = MART_SQL["vw_kpi_summary"].replace(
+    "FROM laptops_cleaned",
+    f"FROM ({cleaned_sql('(' + BODIES['archive_listings'] + ') AS archive_raw')}) AS archive_cleaned")
+
 
 def with_base(body: str) -> str:
     return (f"WITH laptops_raw AS ({raw_from_orders_sql('orders')}),\n"

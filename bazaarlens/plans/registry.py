@@ -120,6 +120,11 @@ def _archive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.listings_from_archive(archived_pages(spark, sf_dir))
 
 
+def _archive_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole crawl flow: archive -> listings -> clean -> headline KPIs."""
+    return V.vw_kpi_summary(C.clean(_archive_listings(spark, sf_dir)))
+
+
 def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, M.raw_csv_path(spark, sf_dir))
 
@@ -151,6 +156,7 @@ QUERIES: dict[str, QueryFn] = {
     "extract_cards": _extract_cards,
     "card_rejects": _card_rejects,
     "archive_listings": _archive_listings,
+    "archive_kpi_summary": _archive_kpi_summary,
     # sources / catalog
     "raw_count": _on_raw(Q.raw_count),
     "load_csv": _load_csv,
