@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.operators.clean import clean
-from bazaarlens.operators.extract import as_page_archive, render_pages
+from bazaarlens.operators.extract import as_page_archive, listings_from_archive, render_pages
 from bazaarlens.session import checkpoint_root
 from bazaarlens.sources.schema import CLEANED_SCHEMA, PAGE_ARCHIVE_SCHEMA, RAW_SCHEMA
 from bazaarlens.sources.tables import listings_from_orders, read_table, table_path
@@ -156,3 +156,14 @@ def page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             publish_table(render_pages(raw_table(spark, sf_dir)).unionByName(real)
                           .repartition(n_files), path)
     return spark.read.schema(PAGE_ARCHIVE_SCHEMA).parquet(path)
+
+
+def archive_listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawl's own raw table (extracted, first sightings, ids), stored once."""
+    fp = _fingerprint(spark, table_path(sf_dir, "orders")) + \
+        _fingerprint(spark, table_path(sf_dir, "pages"))
+    path = os.path.join(checkpoint_root(spark), "tables", f"archive_listings-{fp}")
+    with _lock:
+        if not _complete(spark, path):
+            publish_table(listings_from_archive(page_archive(spark, sf_dir)), path)
+    return spark.read.schema(RAW_SCHEMA).parquet(path)

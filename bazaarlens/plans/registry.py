@@ -121,8 +121,9 @@ def _archive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _archive_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole crawl flow: archive -> listings -> clean -> headline KPIs."""
-    return V.vw_kpi_summary(C.clean(_archive_listings(spark, sf_dir)))
+    """The whole crawl flow: archive -> listings (stored once, as the
+    crawl's raw table) -> clean -> headline KPIs."""
+    return V.vw_kpi_summary(C.clean(M.archive_listings_table(spark, sf_dir)))
 
 
 def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
