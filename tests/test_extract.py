@@ -183,3 +183,19 @@ def test_card_rejects_counts_first_reason(spark):
                                   "fetched_at timestamp_ntz")
     r = card_rejects(pages).first()
     assert (r.page_id, r.cards, r.kept, r.no_asin, r.no_name, r.no_price) == (7, 5, 1, 2, 1, 1)
+
+
+def test_listings_from_archive_first_sighting_and_ids(spark):
+    from bazaarlens.operators.extract import listings_from_archive
+    u = "https://shop.example/s?k=laptops&i=computers&s=review-rank&page={}"
+    g = "https://shop.example/s?k=gaming+laptops&i=computers&s=review-rank&page=1"
+    rows = [(10, u.format(2), card(asin="A", price="50,000.") + card(asin="C"), 200, TS),
+            (11, u.format(1), card(asin="B") + card(asin="A", price="40,000.")
+             + card(asin="B", price="1."), 200, TS),
+            (12, g, card(asin="C", price="7,000.") + card(asin="D", price=None), 200, TS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, "
+                                        "http_status int, fetched_at timestamp_ntz")
+    got = [(r.id, r.asin, str(r.price_inr), r.page_scraped)
+           for r in listings_from_archive(pages).orderBy("id").collect()]
+    # crawl order: laptops p1 (B, A, B), laptops p2 (A, C), gaming p1 (C, D: no price)
+    assert got == [(1, "B", "45990.00", 1), (2, "A", "40000.00", 1), (3, "C", "45990.00", 2)]
