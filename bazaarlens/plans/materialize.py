@@ -1,15 +1,18 @@
-"""Materialise once, query many: the raw and cleaned listing tables.
+"""Materialise once, query many: the stored tables reports read.
 
 ``laptops_raw`` is a loaded table and ``laptops_cleaned`` a create-table-as-
-select; every report reads them. Here both are Parquet tables in the shared
-checkpoint folder, written once per input (keyed by the source file's path,
-size and modification time) and reused by every query of the session. This
-also cuts lineage: a query's plan starts at a Parquet scan with pushed
+select; the page archive and the crawl's own listing table are stored the
+same way. All are Parquet tables in the shared checkpoint folder, written
+once per input (keyed by the source files' path, size and modification time
+and by the version of the code that defines them) and reused by every query.
+This also cuts lineage: a query's plan starts at a Parquet scan with pushed
 filters and pruned columns instead of re-deriving its input.
 
-A table is complete only when its ``_SUCCESS`` marker exists; a failed or
-lost writer leaves no marker and the next caller rewrites it (overwrite),
-so a lost executor never leaves a half table in use.
+A table is written into a private folder and renamed into place when its
+write job has finished, so its folder exists only when it is complete (and
+carries Spark's ``_SUCCESS`` marker). A failed or lost writer leaves only an
+unused private folder; the next caller builds the table again, and two
+concurrent builders never write into one folder.
 """
 
 from __future__ import annotations
