@@ -2,7 +2,7 @@
 
 ``pages(page_id, url, html, http_status, fetched_at)`` -> one row per kept
 card with the raw listing columns. The only Python is the per-page card
-finder (``mapInPandas``, Arrow batches); it returns raw strings, and every
+finder (``mapInArrow``, Arrow batches in and out); it returns raw strings, and every
 coercion (digits-only price, currency-stripped MRP, first number of the
 rating text, comma-free review count, discount, keyword and page from the
 URL, minute timestamp) is a native column expression. Parsing is
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +34,9 @@ _CARD_OUT = T.StructType(CARD_FIELDS_SCHEMA.fields + [
     T.StructField("url", T.StringType()),
     T.StructField("fetched_at", T.TimestampNTZType()),
 ])
+_ARROW_TYPES = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string(),
+                T.BooleanType: pa.bool_(), T.TimestampNTZType: pa.timestamp("us")}
+_CARD_ARROW = pa.schema([pa.field(f.name, _ARROW_TYPES[type(f.dataType)]) for f in _CARD_OUT.fields])
 
 
 def as_page_archive(pages: DataFrame) -> DataFrame:
@@ -76,18 +79,25 @@ def page_status(pages: DataFrame) -> DataFrame:
                     status.alias("status"))
 
 
-def _cards_of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [f.name for f in _CARD_OUT.fields]
-    for pdf in batches:
-        rows = []
-        for page_id, url, html, fetched in zip(pdf["page_id"], pdf["url"], pdf["html"],
-                                               pdf["fetched_at"]):
+def _cards_of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of pages -> Arrow batches of cards (one output batch per
+    input batch; columns are built straight from Python lists)."""
+    for batch in batches:
+        cols = {f.name: [] for f in _CARD_OUT.fields}
+        page_ids = batch.column("page_id").to_pylist()
+        urls = batch.column("url").to_pylist()
+        htmls = batch.column("html").to_pylist()
+        fetched = batch.column("fetched_at").to_pylist()
+        for page_id, url, html, ts in zip(page_ids, urls, htmls, fetched):
             for pos, card in enumerate(parse_cards(html)):
-                rows.append([page_id, pos] + [card[f] for f in FIELDS]
-                            + [card["sponsored"], url, fetched])
-        out = pd.DataFrame(rows, columns=cols)
-        out["pos"] = out["pos"].astype("int32")
-        yield out
+                cols["page_id"].append(page_id)
+                cols["pos"].append(pos)
+                for f in FIELDS:
+                    cols[f].append(card[f])
+                cols["sponsored"].append(card["sponsored"])
+                cols["url"].append(url)
+                cols["fetched_at"].append(ts)
+        yield pa.RecordBatch.from_pydict(cols, schema=_CARD_ARROW)
 
 
 def _ship_by_value() -> None:
@@ -106,7 +116,7 @@ def card_fields(pages: DataFrame) -> DataFrame:
     served = F.col("http_status").isNull() | (F.col("http_status") == OK_STATUS)
     return (p.filter(served)
             .select("page_id", "url", "html", "fetched_at")
-            .mapInPandas(_cards_of_pages, _CARD_OUT))
+            .mapInArrow(_cards_of_pages, _CARD_OUT))
 
 
 def to_minute(ts: Column) -> Column:

@@ -6,8 +6,9 @@ from __spark_entry__ import queries
 from tests.conftest import SF_SMALL
 
 QUERIES = queries()
-PYTHON_KEYS = {"extract_cards", "card_rejects"}
-PYTHON_NODES = ("MapInPandas", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
+PYTHON_KEYS = {"extract_cards", "card_rejects", "archive_listings"}
+PYTHON_NODES = ("MapInArrow", "MapInPandas", "BatchEvalPython", "ArrowEvalPython",
+                "FlatMapGroupsInPandas")
 
 
 def _plan(spark, key) -> str:
@@ -40,4 +41,4 @@ def test_scans_read_only_needed_columns(spark, key):
 
 def test_extraction_has_no_shuffle_before_parsing(spark):
     plan = _plan(spark, "extract_cards")
-    assert "MapInPandas" in plan and "Exchange" not in plan
+    assert "MapInArrow" in plan and "Exchange" not in plan
