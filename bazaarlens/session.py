@@ -59,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared, fault-tolerant "
                                "folder for materialised tables and stream checkpoints")
         key = id(sc._jsc)

@@ -6,7 +6,9 @@ import sys
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from bazaarlens.plans.oracle import oracle_sql
+from bazaarlens.plans.registry import QUERIES
 from bazaarlens.sources.tables import TABLES, table_path
 from tests.conftest import SF_SMALL
 
@@ -14,7 +16,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "scr
 from check_oracle import rows_of  # noqa: E402
 
 ORACLE = oracle_sql()
-QUERIES = queries()
 
 
 @pytest.fixture(scope="module")
