@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from bazaarlens.llm import q_linededup, q_quality
+from bazaarlens.llm import q_bpe, q_linededup, q_mixing, q_quality
 
-_MODULES = (q_linededup, q_quality)
+_MODULES = (q_mixing, q_bpe, q_linededup, q_quality)
 
 QUERIES = {m.NAME: m.query for m in _MODULES}
 ORACLE_SQL = {m.NAME: m.ORACLE for m in _MODULES if m.ORACLE}
