@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from bazaarlens.llm import q_bpe, q_linededup, q_mixing, q_quality
+import corpus_pipeline
+from bazaarlens.llm import q_bpe, q_linededup, q_mixing, q_neardup, q_quality
 
-_MODULES = (q_mixing, q_bpe, q_linededup, q_quality)
+_MODULES = (q_mixing, q_bpe, q_linededup, q_quality, q_neardup)
 
-QUERIES = {m.NAME: m.query for m in _MODULES}
+QUERIES = {m.NAME: m.query for m in _MODULES} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL = {m.NAME: m.ORACLE for m in _MODULES if m.ORACLE}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
