@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from bazaarlens.llm import q_bpe, q_linededup, q_mixing, q_neardup, q_quality
+from bazaarlens.llm import (q_bpe, q_licenses, q_linededup, q_mixing, q_neardup, q_quality,
+                            q_secrets)
 
-_MODULES = (q_mixing, q_bpe, q_linededup, q_quality, q_neardup)
+_MODULES = (q_secrets, q_mixing, q_bpe, q_linededup, q_licenses, q_quality, q_neardup)
 
 QUERIES = {m.NAME: m.query for m in _MODULES} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL = {m.NAME: m.ORACLE for m in _MODULES if m.ORACLE}
