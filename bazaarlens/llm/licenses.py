@@ -96,8 +96,17 @@ def _mask(j: int) -> int:
 
 def signature(digests: Column) -> Column:
     """Array of MinHash values of an array of shingle digests."""
-    return F.array(*[F.array_min(F.transform(digests, lambda x, m=_mask(j): x.bitwiseXOR(F.lit(m))))
-                     for j in range(HASHES)])
+    def least(mask: int) -> Column:
+        return F.array_min(F.transform(digests, lambda x: x.bitwiseXOR(F.lit(mask))))
+
+    return F.array(*[least(_mask(j)) for j in range(HASHES)])
+
+
+def window_starts(n: Column, size: int) -> Column:
+    """Array of (size, at): windows of ``size`` over ``n`` shingles, half overlapping."""
+    last = F.greatest(n - 1, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last, F.lit(size // 2)),
+                       lambda at: F.struct(F.lit(size).alias("size"), at.alias("at")))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -135,9 +144,7 @@ def scan(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
         .alias("s"))
     known = templates(spark)
     sizes = sorted({size_class(len(template_shingles(t))) for t in TEMPLATES.values()})
-    starts = F.flatten(F.array(*[F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("s") - 1, F.lit(0)), F.lit(n // 2)),
-        lambda i, n=n: F.struct(F.lit(n).alias("size"), i.alias("at"))) for n in sizes]))
+    starts = F.flatten(F.array(*[window_starts(F.size("s"), n) for n in sizes]))
     # explode twice: the shingles are computed once per document, not per window
     held = shingled.filter(F.col("s").isNotNull()).select("row", "s", starts.alias("starts"))
     cut = held.select("row", "s", F.explode("starts").alias("g")).select(
