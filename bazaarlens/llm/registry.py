@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from bazaarlens.llm import (q_bpe, q_licenses, q_linededup, q_mixing, q_neardup, q_quality,
-                            q_secrets)
+from bazaarlens.llm import (q_bpe, q_chat, q_embeddings, q_licenses, q_linededup,
+                            q_mixing, q_neardup, q_quality, q_secrets)
 
-_MODULES = (q_secrets, q_mixing, q_bpe, q_linededup, q_licenses, q_quality, q_neardup)
+_MODULES = (q_secrets, q_mixing, q_bpe, q_linededup, q_embeddings, q_licenses, q_chat, q_quality,
+            q_neardup)
 
 QUERIES = {m.NAME: m.query for m in _MODULES} | {"pipeline": corpus_pipeline.run}
 ORACLE_SQL = {m.NAME: m.ORACLE for m in _MODULES if m.ORACLE}
