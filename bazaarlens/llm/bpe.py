@@ -22,8 +22,8 @@ never crosses.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import arrow_map
 
-MAX_STATES = 60_000
-MAX_WORDS = 100_000
+LEAF: dict[int, int] = {}  # of all trie nodes without children
+MAX_STATES = 200_000  # per worker; about 0.5 kB each
+MAX_PIECES = 250_000  # per generation; about 0.2 kB each
 WINDOW = 1 << 18  # characters worked on at a time
 
 
@@ -60,9 +61,9 @@ class Merges:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens)}
-        self.joined: dict[tuple[int, int], int] = {}   # (left, right) -> merged rank
-        self.split: dict[int, tuple[int, int]] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
+        self.left = [-2] * len(tokens)    # halves of each token; -2: not yet known
+        self.right = [-1] * len(tokens)
+        self._apart: dict[int, bool] = {}
 
     def merge(self, piece: bytes, stop: int = 1 << 60) -> list[bytes]:
         """Merge by lowest rank, leftmost first; for single tokens only."""
@@ -79,13 +80,15 @@ class Merges:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def halves(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge makes ``token``; None for a byte."""
-        if token not in self.split:
-            t = self.tokens[token]
-            parts = self.merge(t, token) if len(t) > 1 else []
-            self.split[token] = tuple(self.rank[p] for p in parts) if len(parts) == 2 else None
-        return self.split[token]
+    def _halve(self, token: int) -> int:
+        """Fill in the two tokens whose merge makes ``token``; left is -1 for a byte."""
+        t = self.tokens[token]
+        parts = self.merge(t, token) if len(t) > 1 else []
+        if len(parts) == 2:
+            self.left[token], self.right[token] = self.rank[parts[0]], self.rank[parts[1]]
+        else:
+            self.left[token] = -1
+        return self.left[token]
 
     def apart(self, left: int, right: int) -> bool:
         """True when ``left right`` is the merge result of its own bytes.
@@ -93,28 +96,33 @@ class Merges:
         Merges are undone from the latest: the pair stays apart unless, at
         some moment of the two merge histories, the pieces that face each
         other would merge before either side's next merge."""
-        key = (left, right)
+        key = left << 32 | right
         got = self._apart.get(key)
         if got is None:
-            got = self._apart[key] = self._check(left, right)
             if len(self._apart) > 4 * MAX_STATES:
                 self._apart.clear()
+            got = self._apart[key] = self._check(left, right)
         return got
 
     def _check(self, left: int, right: int) -> bool:
-        tokens, rank = self.tokens, self.rank
+        tokens, rank, halves, ends = self.tokens, self.rank, self.left, self.right
         limit = 1 << 60  # a facing merge of lower rank than this would have come first
         while True:
             joined = rank.get(tokens[left] + tokens[right])
             if joined is not None and joined < limit:
                 return False
-            left_parts, right_parts = self.halves(left), self.halves(right)
-            if right_parts is None or (left_parts is not None and left > right):
-                if left_parts is None:
-                    return True
-                limit, left = left, left_parts[1]
+            in_left = halves[left]
+            if in_left == -2:
+                in_left = self._halve(left)
+            in_right = halves[right]
+            if in_right == -2:
+                in_right = self._halve(right)
+            if in_left >= 0 and (in_right < 0 or left > right):
+                limit, left = left, ends[left]
+            elif in_right < 0:
+                return True
             else:  # of equal ranks the left one merges first
-                limit, right = right + 1, right_parts[0]
+                limit, right = right + 1, in_right
 
 
 class Transducer:
@@ -137,6 +145,7 @@ class Transducer:
                     self.child[node][b] = nxt
                 node = nxt
             self.ends[node] = i
+        self.child = [c or LEAF for c in self.child]
         self._clear()
 
     def _clear(self):
@@ -156,7 +165,7 @@ class Transducer:
                 token = self.ends[nxt]
                 if token >= 0 and (last < 0 or self.merges.apart(last, token)):
                     closing = token
-            if child[nxt]:
+            if child[nxt] is not LEAF:
                 alive.append((nxt, last))
         if closing < 0:
             raise ValueError("the vocabulary lacks a byte")
@@ -190,15 +199,22 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Ids by piece, filled by the transducer, emptied when it grows large."""
+    """Ids of a piece as packed 32-bit integers, filled by the transducer. Two
+    generations: when the young one is full it becomes the old one, and what
+    is asked for again moves over; pieces not asked for meanwhile are gone."""
 
     def __init__(self, transducer: Transducer):
         self.transducer = transducer
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) > MAX_WORDS:
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MAX_PIECES:
+            self.old = dict(self)
             self.clear()
-        ids = self[piece] = self.transducer.encode_piece(piece.encode())
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("i", self.transducer.encode_piece(piece.encode())).tobytes()
+        self[piece] = ids
         return ids
 
 
@@ -221,13 +237,15 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.pieces = _Pieces(Transducer(tokens))
 
-    def ids(self, text: str) -> Iterator[list[int]]:
+    def ids(self, text: str) -> Iterator[np.ndarray]:
         """Ids window by window."""
+        get = self.pieces.__getitem__
         for part in windows(text):
-            yield list(chain.from_iterable(map(self.pieces.__getitem__, self.find(part))))
+            yield np.frombuffer(b"".join(map(get, self.find(part))), np.int32)
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.ids(text)))
+    def encode(self, text: str) -> np.ndarray:
+        parts = list(self.ids(text))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 # UTF-8 state machine. States: 0 between characters; 1-3 that many plain
@@ -331,8 +349,7 @@ def encode(spark: SparkSession, docs: DataFrame, text: str = "text", vocabulary:
         for batch in batches:
             start, size, rows = 0, 0, []
             for i, t in enumerate(batch.column(0)):
-                parts = [np.array(p, np.int32) for p in enc.ids(t.as_py() or "")]
-                ids = parts[0] if len(parts) == 1 else np.concatenate(parts)
+                ids = enc.encode(t.as_py() or "")
                 rows.append(ids)
                 size += 4 * len(ids) + 32
                 if size >= 1 << 22 or i + 1 == batch.num_rows:

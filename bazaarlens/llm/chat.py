@@ -75,13 +75,9 @@ def encode_with_offsets(text: str, encoder: Encoder, sizes: np.ndarray) -> tuple
     """(ids, byte offset of each token's start plus the end of the last)."""
     first_mark = len(sizes) - len(MARKS)
     number = {m: first_mark + k for k, m in enumerate(MARKS)}
-    ids: list[int] = []
-    for part in _MARK.split(text):
-        if part in number:
-            ids.append(number[part])
-        elif part:
-            ids += encoder.encode(part)
-    ids = np.array(ids, np.int32)
+    runs = [np.array([number[part]], np.int32) if part in number else encoder.encode(part)
+            for part in _MARK.split(text) if part]
+    ids = np.concatenate(runs) if runs else np.zeros(0, np.int32)
     return ids, np.concatenate([[0], np.cumsum(sizes[ids])])
 
 
