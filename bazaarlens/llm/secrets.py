@@ -128,7 +128,8 @@ def link_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
                | F.coalesce(F.col("right_strong") < F.col("end"), F.lit(False)))
     secret = _among(kind, lambda v: v[3] == "S")
     linked = F.when(secret, near("I") | near("E")).otherwise(near("S"))
-    return out.withColumn("reported", F.col("strong") | (~covered & linked)).select(
+    reported = kind.isNotNull() & (F.col("strong") | (~covered & linked))
+    return out.withColumn("reported", reported).select(
         "row", "doc_id", "kind", "start", "end", "strong", "reported")
 
 
