@@ -30,7 +30,8 @@ from bazaarlens.llm.common import Rows, arrow_map, guarded, row_key, store
 from bazaarlens.llm.cuckoo import CuckooFilter, built
 
 WS = " \t\n\x0b\x0c\r"
-SHARD_KEYS = 50_000  # keys a shard's filter is sized for
+SHARD_KEYS = 50_000    # keys a shard's filter is sized for
+SHARD_REFS = 200_000   # keys of the exact table that fall to one shard's task
 
 
 def _md5(raw: bytes) -> bytes:
@@ -107,7 +108,8 @@ class LineStore:
 
     def _rebuild(self) -> None:
         """Filters anew from the exact table, with shards for its size."""
-        self.n_shards = max(1, -(-self._hot().count() // SHARD_KEYS))
+        self.n_shards = max(1, -(-self._hot().count() // SHARD_KEYS),
+                            -(-self.refs.count() // SHARD_REFS))
         self.filters = None
         self._update(self._hot().withColumn("op", F.lit(1)))
 
