@@ -28,7 +28,7 @@ from bazaarlens.llm.common import WORD_CLASS, guarded, row_key, store
 WEIGHTS = (5, 2, 1)          # by source in code-point order, repeating
 SHARE = 1.5                  # words of the mix over words of the corpus
 MAX_PASSES = 2
-BLOCK_DOCS = 100_000         # documents of a source that one running sum covers
+BLOCK_DOCS = 4_000         # documents of a source that one running sum covers
 
 # Weight schedules (start density, end density), by source rank, repeating:
 # steady, falling and rising over training time. Each integrates to 1.
