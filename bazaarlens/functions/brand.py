@@ -56,15 +56,3 @@ def standard_brand(name: Column, brand: Column,
     expr = F.when(numeric, F.lit(NUMERIC_BRAND_LABEL)) if expr is None \
         else expr.when(numeric, F.lit(NUMERIC_BRAND_LABEL))
     return expr.otherwise(F.trim(brand))
-
-
-def brand_rules_sql(name: str, brand: str,
-                    rules: Sequence[tuple[str, str, str]] = BRAND_RULES) -> str:
-    """The same rules as a portable SQL CASE (oracle side)."""
-    arms = []
-    for column, needle, label in rules:
-        target = name if column == "name" else brand
-        arms.append(f"WHEN upper({target}) LIKE '%{needle}%' THEN '{label}'")
-    arms.append(f"WHEN regexp_matches({brand}, '{NUMERIC_BRAND_PATTERN}') "
-                f"THEN '{NUMERIC_BRAND_LABEL}'")
-    return "CASE " + " ".join(arms) + f" ELSE trim({brand}) END"

@@ -1,26 +1,26 @@
 """Per-page helper: find product cards in search-result HTML.
 
-Small on purpose: one regex tokenizer walks the markup of each card and
-returns the raw text of the few tags the extraction reads. No typing,
-trimming of numbers or validation happens here; those are native Spark
-expressions afterwards, where Catalyst can see them. Markup outside cards
-is never tokenized: a page without cards costs one substring search.
+Small on purpose: one regex tokenizer walks a page's markup and returns the raw
+text of the few tags the extraction reads. No typing, trimming of numbers or
+validation happens here; those are native Spark expressions afterwards.
 
 Tag text follows the usual "strip every text node, join with nothing" rule;
 character references are decoded in text and attribute values; tag and
 attribute names are case-insensitive; an end tag closes any unclosed tags
-opened after its start tag; a stray end tag is ignored.
+opened after its start tag; a stray end tag is ignored; comments hold nothing.
+A card inside a card is a card of its own, and part of the outer one too.
 Tag choice:
   * card: ``div`` whose ``data-component-type`` is ``s-search-result``
-  * class match: a class string matches a tag when it equals the tag's whole
-    class attribute, or is one of its class tokens
+  * class match: a class string matches a tag when it equals the tag's class
+    attribute (runs of blanks count as one), or is one of its class tokens
   * names: first ``span.a-size-medium``, first ``span.a-size-base-plus``,
     first ``h2`` (each reported separately; NULL = absent)
   * brand: first span with class ``a-size-base-plus a-color-base``
   * price: ``span.a-price-whole``; MRP: ``span.a-offscreen`` inside the first
     ``span`` with class ``a-price a-text-price``
   * rating: ``span.a-icon-alt``; reviews: ``span.a-size-base`` with dir=auto
-  * sponsored: a span whose only content is text containing "sponsored"
+  * sponsored: a span whose own string holds "sponsored": its only child is
+    that text, or a tag whose own string it is
 """
 
 from __future__ import annotations
@@ -55,188 +55,161 @@ _TOKEN = re.compile(
     r"|(<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>)"
     r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|([^<]+|<)", re.S | re.I)
-_CARD_HINT = CARD_ATTR[1]
-_CARD_START = re.compile(r"<div\b[^>]*?" + re.escape(_CARD_HINT), re.I)
+# Attributes from left to right: name, then a double-quoted, quoted or bare value.
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-_ATTR_RE: dict[str, re.Pattern] = {}
 
-
-def _attr(text: str, name: str) -> str | None:
-    """Value of one attribute in a start tag's attribute text (first wins)."""
-    if name not in text and name.upper() not in text.upper():
-        return None
-    pat = _ATTR_RE.get(name)
-    if pat is None:
-        pat = _ATTR_RE[name] = re.compile(
-            r"(?:^|[\s\"'])" + re.escape(name)
-            + r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|$)", re.I)
-    m = pat.search(text)
-    if m is None:
-        return None
-    v = m.group(1)
-    if v is None:
-        v = m.group(2)
-    if v is None:
-        v = m.group(3)
-    if v is None:
-        return None
-    return _html.unescape(v) if "&" in v else v
-
-
-class _Tag:
-    """Lazy attribute access for one start tag."""
-    __slots__ = ("text",)
-
-    def __init__(self, text: str):
-        self.text = text
-
-    def get(self, name: str):
-        return _attr(self.text, name)
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a start tag; of a repeated one the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(text):
+        value = next((v for v in m.groups()[1:] if v is not None), None)
+        if value is not None:
+            out.setdefault(m[1].lower(), _html.unescape(value) if "&" in value else value)
+    return out
 
 
 class _Card:
-    """Field capture for one card, driven by start/end/text events."""
-
-    def __init__(self, asin):
-        self.f = dict.fromkeys(FIELDS)
-        self.f["asin_attr"] = asin
-        self.f["sponsored"] = False
-        self.captures = []   # [field, depth, parts]
-        self.mrp_depth = -1  # depth of the open MRP block, -1 = none
-        self.mrp_seen = False
-        self.spans = []      # [depth, text parts, has_child]
-
-    def _want(self, field):
-        return self.f[field] is None and all(c[0] != field for c in self.captures)
-
-    def start(self, tag, a, depth):
-        if self.spans:
-            self.spans[-1][2] = True
-        if tag == "span":
-            self.spans.append([depth, [], False])
-            cls = a.get("class")
-            if cls is None:
-                return
-            toks = set(cls.split())
-            want = self._want
-            if NAME_CLASSES[0] in toks and want("name_medium"):
-                self.captures.append(["name_medium", depth, []])
-            if NAME_CLASSES[1] in toks and want("name_base_plus"):
-                self.captures.append(["name_base_plus", depth, []])
-            if (cls == BRAND_CLASS or BRAND_CLASS in toks) and want("brand_text"):
-                self.captures.append(["brand_text", depth, []])
-            if PRICE_CLASS in toks and want("price_text"):
-                self.captures.append(["price_text", depth, []])
-            if RATING_CLASS in toks and want("rating_text"):
-                self.captures.append(["rating_text", depth, []])
-            if REVIEWS_CLASS in toks and a.get("dir") == "auto" and want("reviews_text"):
-                self.captures.append(["reviews_text", depth, []])
-            if (cls == MRP_BLOCK_CLASS or MRP_BLOCK_CLASS in toks) and not self.mrp_seen:
-                self.mrp_seen, self.mrp_depth = True, depth
-            elif MRP_CLASS in toks and self.mrp_depth >= 0 and want("mrp_text"):
-                self.captures.append(["mrp_text", depth, []])
-        elif tag == "h2" and self._want("name_h2"):
-            self.captures.append(["name_h2", depth, []])
-
-    def child(self):
-        if self.spans:
-            self.spans[-1][2] = True
-
-    def end(self, depth):
-        if self.spans and self.spans[-1][0] == depth:
-            _, parts, has_child = self.spans.pop()
-            if not has_child and SPONSORED_WORD in "".join(parts).lower():
-                self.f["sponsored"] = True
+    """Field capture for one open card; ``depth`` is that of its div."""
+
+    def __init__(self, asin: str | None, depth: int):
+        self.fields = dict.fromkeys(FIELDS)
+        self.fields.update(asin_attr=asin, sponsored=False, broken=False)
+        self.depth = depth
+        self.captures: list[tuple[str, int, list[str]]] = []
+        self.mrp_depth, self.mrp_seen = -1, False
+
+    def _capture(self, field: str, depth: int) -> None:
+        if self.fields[field] is None and all(c[0] != field for c in self.captures):
+            self.captures.append((field, depth, []))
+
+    def start(self, tag: str, attrs: dict[str, str], depth: int) -> None:
+        if tag == "h2":
+            self._capture("name_h2", depth)
+        if tag != "span" or "class" not in attrs:
+            return
+        tokens = attrs["class"].split()
+        whole = " ".join(tokens)
+        if NAME_CLASSES[0] in tokens:
+            self._capture("name_medium", depth)
+        if NAME_CLASSES[1] in tokens:
+            self._capture("name_base_plus", depth)
+        if whole == BRAND_CLASS:
+            self._capture("brand_text", depth)
+        if PRICE_CLASS in tokens:
+            self._capture("price_text", depth)
+        if RATING_CLASS in tokens:
+            self._capture("rating_text", depth)
+        if REVIEWS_CLASS in tokens and attrs.get("dir") == "auto":
+            self._capture("reviews_text", depth)
+        if whole == MRP_BLOCK_CLASS and not self.mrp_seen:
+            self.mrp_seen, self.mrp_depth = True, depth
+        elif MRP_CLASS in tokens and self.mrp_depth >= 0:
+            self._capture("mrp_text", depth)
+
+    def text(self, data: str) -> None:
+        for c in self.captures:
+            c[2].append(data)
+
+    def end(self, depth: int) -> None:
         if self.mrp_depth == depth:
             self.mrp_depth = -1
-        if self.captures:
-            keep = []
-            for c in self.captures:
-                if c[1] == depth:
-                    self.f[c[0]] = "".join(c[2])
-                else:
-                    keep.append(c)
-            self.captures = keep
-
-    def text(self, data):
-        if self.spans:
-            self.spans[-1][1].append(data)
-        if self.captures:
-            s = data.strip()
-            if s:
-                for c in self.captures:
-                    c[2].append(s)
-
-
-def _is_card(tag: str, attr_text: str) -> bool:
-    return (tag == "div" and _CARD_HINT in attr_text
-            and _attr(attr_text, CARD_ATTR[0]) == CARD_ATTR[1])
+        for field, at, parts in self.captures:
+            if at == depth:
+                self.fields[field] = "".join(parts)
+        self.captures = [c for c in self.captures if c[1] != depth]
+
+
+class _Page:
+    """The open elements and the open cards of one page."""
+
+    def __init__(self):
+        self.cards: list[_Card] = []      # all, in page order
+        self.open: list[_Card] = []
+        self.stack: list[list] = []       # [tag, children, own string, last child is text]
+
+    def _each(self, step, *args) -> None:
+        """One event for every open card; a card that fails is marked broken."""
+        for card in self.open:
+            try:
+                getattr(card, step)(*args)
+            except Exception:  # noqa: BLE001 - one card must not cost the others
+                card.fields["broken"] = True
+
+    def _child(self, string: str | None = None) -> None:
+        if self.stack:
+            top = self.stack[-1]
+            top[1] += 1
+            top[2], top[3] = string, False
+
+    def text(self, data: str) -> None:
+        if not self.open:
+            return
+        data = _html.unescape(data) if "&" in data else data
+        top = self.stack[-1]
+        if top[3]:
+            top[2] += data
+        else:
+            self._child(data)
+            top[3] = True
+        if data.strip():
+            self._each("text", data.strip())
+
+    def start(self, tag: str, attr_text: str) -> None:
+        if tag in VOID or attr_text.endswith("/"):
+            self._child()
+            return
+        depth = len(self.stack)
+        is_card = tag == "div" and CARD_ATTR[1] in attr_text
+        wanted = is_card or (self.open and tag in ("span", "h2"))
+        attrs = _attributes(attr_text) if wanted else {}
+        if self.open:
+            self._each("start", tag, attrs, depth)
+        self._child()
+        self.stack.append([tag, 0, None, False])
+        if is_card and attrs.get(CARD_ATTR[0]) == CARD_ATTR[1]:
+            card = _Card(attrs.get("data-asin"), depth)
+            self.cards.append(card)
+            self.open.append(card)
+
+    def _close(self) -> str:
+        depth = len(self.stack) - 1
+        tag, children, string, _ = self.stack.pop()
+        own = string if children == 1 else None
+        if tag == "span" and own and SPONSORED_WORD in own.lower():
+            for card in self.open:
+                card.fields["sponsored"] = True
+        if self.stack and self.stack[-1][1] == 1:
+            self.stack[-1][2] = own      # an only child's string is its parent's
+        self._each("end", depth)
+        self.open = [c for c in self.open if c.depth != depth]
+        return tag
+
+    def end(self, tag: str) -> None:
+        if any(e[0] == tag for e in self.stack):
+            while self._close() != tag:
+                pass
+
+    def finish(self) -> list[dict]:
+        while self.stack:
+            self._close()
+        return [c.fields for c in self.cards]
 
 
 def parse_cards(page: str | None) -> list[dict]:
-    """All cards of one page, in page order (nested cards are not split out)."""
-    if not page or _CARD_HINT not in page:
-        return []
-    first = _CARD_START.search(page)
-    if first is None:
+    """All cards of one page, in page order."""
+    if not page or CARD_ATTR[1] not in page:
         return []
-    cards = []
-    stack: list[str] = []
-    card: _Card | None = None
-    card_depth = -1
-    unescape = _html.unescape
-    for raw, skip, closing, tag, attr_text, text in _TOKEN.findall(page, first.start()):
+    state = _Page()
+    for m in _TOKEN.finditer(page):
+        raw, skip, closing, tag, attr_text, text = m.groups()
         if text:
-            if card is not None:
-                card.text(unescape(text) if "&" in text else text)
-            continue
-        if skip:
-            continue
-        if raw:
-            if card is not None:
-                card.child()
-            continue
-        tag = tag.lower()
-        if closing:  # end tag
-            if tag in VOID or tag not in stack:
-                continue
-            while stack:
-                depth = len(stack) - 1
-                top = stack.pop()
-                if card is not None:
-                    if top == "span" or top == "h2" or depth == card.mrp_depth or depth == card_depth:
-                        card.end(depth)
-                    if depth == card_depth:
-                        cards.append(_finish(card))
-                        card, card_depth = None, -1
-                if top == tag:
-                    break
-            continue
-        if tag in VOID or attr_text.endswith("/"):
-            if card is not None:
-                card.child()
-            continue
-        if card is None:
-            # outside cards only a new card start matters; depth restarts
-            if _is_card(tag, attr_text):
-                stack = [tag]
-                card, card_depth = _Card(_attr(attr_text, "data-asin")), 0
-            continue
-        depth = len(stack)
-        stack.append(tag)
-        if tag == "span" or tag == "h2":
-            card.start(tag, _Tag(attr_text), depth)
-        elif card.spans:  # any other element only marks its parent span
-            card.spans[-1][2] = True
-    if card is not None:  # unclosed card ends with the document
-        while stack and len(stack) - 1 >= card_depth:
-            depth = len(stack) - 1
-            stack.pop()
-            card.end(depth)
-        cards.append(_finish(card))
-    return cards
-
-
-def _finish(card: _Card) -> dict:
-    out = dict(card.f)
-    return out
+            state.text(text)
+        elif raw or skip:
+            state._child()
+        elif closing:
+            if tag.lower() not in VOID:
+                state.end(tag.lower())
+        else:
+            state.start(tag.lower(), attr_text)
+    return state.finish()

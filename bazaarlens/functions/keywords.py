@@ -30,8 +30,3 @@ def keyword_rank(keyword: Column, keywords: Sequence[str] = KEYWORDS) -> Column:
         cond = keyword == F.lit(kw)
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     return expr.otherwise(F.lit(len(keywords) + 1))
-
-
-def keyword_rank_sql(keyword: str, keywords: Sequence[str] = KEYWORDS) -> str:
-    arms = " ".join(f"WHEN {keyword} = '{kw}' THEN {i}" for i, kw in enumerate(keywords, 1))
-    return f"CASE {arms} ELSE {len(keywords) + 1} END"

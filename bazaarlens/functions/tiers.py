@@ -73,32 +73,3 @@ def rating_category(rating: Column, categories=RATING_CATEGORIES) -> Column:
     arms = [(rating.isNull(), NOT_RATED)]
     arms += [(rating >= bound, label) for bound, label in categories]
     return _chain(arms, LOWEST_RATING_CATEGORY)
-
-
-def _num(x: float) -> str:
-    return str(int(x)) if float(x).is_integer() else repr(x)
-
-
-def price_segment_sql(price: str, segments=PRICE_SEGMENTS) -> str:
-    arms = []
-    for low, high, label, strict in segments:
-        if low is None:
-            cond = f"{price} {'<' if strict else '<='} {_num(high)}"
-        elif high is None:
-            cond = f"{price} {'>' if strict else '>='} {_num(low)}"
-        else:
-            cond = f"{price} BETWEEN {_num(low)} AND {_num(high)}"
-        arms.append(f"WHEN {cond} THEN '{label}'")
-    return "CASE " + " ".join(arms) + " END"
-
-
-def discount_tier_sql(discount: str, tiers=DISCOUNT_TIERS) -> str:
-    arms = [f"WHEN {discount} IS NULL THEN '{NO_DISCOUNT}'"]
-    arms += [f"WHEN {discount} < {_num(b)} THEN '{label}'" for b, label in tiers]
-    return "CASE " + " ".join(arms) + f" ELSE '{TOP_DISCOUNT_TIER}' END"
-
-
-def rating_category_sql(rating: str, categories=RATING_CATEGORIES) -> str:
-    arms = [f"WHEN {rating} IS NULL THEN '{NOT_RATED}'"]
-    arms += [f"WHEN {rating} >= {_num(b)} THEN '{label}'" for b, label in categories]
-    return "CASE " + " ".join(arms) + f" ELSE '{LOWEST_RATING_CATEGORY}' END"

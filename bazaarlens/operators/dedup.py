@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.keywords import KEYWORDS, keyword_rank
 
-CRAWL_ORDER = ("keyword_rank", "page_scraped", "id")
+CRAWL_ORDER = ("keyword_rank", "search_keyword", "page_scraped", "id")
 
 
 def with_crawl_order(df: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
@@ -41,38 +41,49 @@ def first_seen(df: DataFrame, key: str = "asin",
             .select(*cols))
 
 
+def page_counts(df: DataFrame, key: str = "asin",
+                keywords: Sequence[str] = KEYWORDS) -> DataFrame:
+    """Per (keyword, page): cards, and cards whose key is on no earlier page.
+
+    Plan: partial and final aggregate to one row per (key, page) - a hot key
+    collapses map-side; a window per key over those rows (at most one per page
+    the key is on) finds its first page; an aggregate per page."""
+    ranked = with_crawl_order(df, keywords)
+    page = ["keyword_rank", "search_keyword", "page_scraped"]
+    per_key_page = ranked.groupBy(key, *page).agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(*page)).over(Window.partitionBy(key))
+    flagged = per_key_page.withColumn("is_new", first == F.struct(*page))
+    return (flagged.groupBy(*page)
+            .agg(F.sum("n").alias("products"),
+                 F.sum(F.when(F.col("is_new"), F.col("n")).otherwise(0)).alias("new_products")))
+
+
 def page_yield(df: DataFrame, key: str = "asin",
                keywords: Sequence[str] = KEYWORDS) -> DataFrame:
     """Per (keyword, page): cards, new keys, repeats, running total of new.
 
     "New" means the key was not seen on an earlier page, so repeats within
     one page all count as new (the crawl tests a whole page before adding
-    it to the seen set).
-
-    Plan: (1) partial+final aggregate to one row per (key, page) - a hot key
-    collapses map-side; (2) window per key over those rows (at most one per
-    page the key appears on) to find its first page; (3) aggregate per page;
-    (4) running total in crawl order over the per-page rows. Step (4) sees
-    one row per crawled page (keywords x pages of the crawl configuration,
-    140 for the reference's), whatever the number of listings.
-    """
-    ranked = with_crawl_order(df, keywords)
-    per_key_page = (ranked.groupBy(key, "keyword_rank", "search_keyword", "page_scraped")
-                    .agg(F.count(F.lit(1)).alias("n")))
-    first = F.min(F.struct("keyword_rank", "page_scraped")).over(Window.partitionBy(key))
-    flagged = per_key_page.withColumn(
-        "is_new", first == F.struct("keyword_rank", "page_scraped"))
-    per_page = (flagged.groupBy("keyword_rank", "search_keyword", "page_scraped")
-                .agg(F.sum("n").alias("products"),
-                     F.sum(F.when(F.col("is_new"), F.col("n")).otherwise(0)).alias("new_products")))
-    crawl_order = Window.orderBy("keyword_rank", "search_keyword", "page_scraped") \
+    it to the seen set). The running total is a window per keyword on top of
+    the totals of the keywords before it; only keyword totals, a row per
+    search keyword, are summed up in one place."""
+    per_page = page_counts(df, key, keywords)
+    before = Window.orderBy("keyword_rank", "search_keyword") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (per_page.groupBy("keyword_rank", "search_keyword")
+             .agg(F.sum("new_products").alias("total"))
+             .select(F.col("keyword_rank").alias("kr"), F.col("search_keyword").alias("kw"),
+                     F.coalesce(F.sum("total").over(before), F.lit(0)).alias("ahead")))
+    inside = Window.partitionBy("keyword_rank", "search_keyword").orderBy("page_scraped") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_page.select(
+    rows = per_page.withColumn("upto", F.sum("new_products").over(inside))
+    same = (F.col("keyword_rank") == F.col("kr")) & F.col("search_keyword").eqNullSafe(F.col("kw"))
+    return rows.join(ahead, same).select(
         "search_keyword", "page_scraped",
         F.col("products").cast("bigint").alias("products"),
         F.col("new_products").cast("bigint").alias("new_products"),
         (F.col("products") - F.col("new_products")).cast("bigint").alias("duplicates"),
-        F.sum("new_products").over(crawl_order).cast("bigint").alias("running_total"))
+        (F.col("ahead") + F.col("upto")).cast("bigint").alias("running_total"))
 
 
 # Page classes that stop a keyword's crawl.
@@ -82,19 +93,21 @@ STOP_STATUSES = ("blocked", "exhausted")
 def crawl_cutoff(page_stats: DataFrame, run: int = 2) -> DataFrame:
     """Where each keyword's crawl stops.
 
-    ``page_stats``: (search_keyword, page_scraped, products, status). A
-    keyword stops after a blocked or exhausted page, or at the ``run``-th
-    consecutive page with no products; otherwise at its last page. The
-    window is per keyword over its pages only.
-    """
+    ``page_stats``: (search_keyword, page_scraped, products, status), one row
+    per visited page, pages without products included. A keyword stops after a
+    blocked or exhausted page, or at the ``run``-th visit in a row without
+    products; otherwise at its last page. Visits are counted, not page
+    numbers. The window is per keyword over its pages only."""
     w = Window.partitionBy("search_keyword").orderBy("page_scraped")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last_full = F.max(F.when(F.col("products") > 0, F.col("page_scraped"))).over(upto)
-    empty_run = F.col("page_scraped") - F.coalesce(last_full, F.lit(0))
+    visit = F.row_number().over(w)
+    staged = page_stats.withColumn("visit", visit)
+    last_full = F.max(F.when(F.col("products") > 0, F.col("visit"))).over(upto)
+    empty_run = F.col("visit") - F.coalesce(last_full, F.lit(0))
     hard_stop = F.coalesce(F.col("status").isin(*STOP_STATUSES), F.lit(False))
     first_stop = F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_scraped"))) \
         .over(Window.partitionBy("search_keyword"))
-    staged = page_stats.select(
+    staged = staged.select(
         "search_keyword", "page_scraped", "products",
         F.when(hard_stop, F.col("status"))
          .when(empty_run >= run, F.lit("empty run")).alias("stop_reason"))
@@ -110,19 +123,42 @@ def crawl_cutoff(page_stats: DataFrame, run: int = 2) -> DataFrame:
                   .alias("products_kept")))
 
 
-def page_stats_from_listings(df: DataFrame) -> DataFrame:
-    """Per-page product counts of a listing table; every listed page is 'ok'."""
-    return (df.groupBy("search_keyword", "page_scraped")
-            .agg(F.count(F.lit(1)).alias("products"))
-            .withColumn("status", F.lit("ok")))
+def page_stats(status: DataFrame, cards: DataFrame) -> DataFrame:
+    """Stop-rule input from page classes and kept cards: one row per visited
+    (keyword, page), with its kept products and its worst class. Archived pages
+    whose address names no keyword or page are not visits of a crawl.
 
+    ``status``: search_keyword, page_num, status; ``cards``: listing rows."""
+    worst = F.coalesce(*[F.max(F.when(F.col("status") == s, F.lit(s))) for s in STOP_STATUSES],
+                       F.max("status"))
+    pages = (status.filter(F.col("page_num").isNotNull() & F.col("search_keyword").isNotNull())
+             .groupBy("search_keyword", F.col("page_num").alias("page_scraped"))
+             .agg(worst.alias("status")))
+    kept = cards.groupBy(F.col("search_keyword").alias("kw"), F.col("page_scraped").alias("page")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("search_keyword").eqNullSafe(F.col("kw")) & (F.col("page_scraped") == F.col("page"))
+    return pages.join(kept, same, "left").select(
+        "search_keyword", "page_scraped", F.coalesce("n", F.lit(0)).alias("products"), "status")
 
-def incremental_new(new: DataFrame, seen: DataFrame, key: str = "asin") -> DataFrame:
-    """Rows of ``new`` whose key is not in ``seen`` (resume after a checkpoint).
 
-    The seen side is reduced to distinct keys first (partial aggregation), so
-    a repeated key never inflates the join's build side; AQE picks broadcast
-    at runtime only when that side is measured small, and splits a skewed
-    probe partition otherwise.
-    """
-    return new.join(seen.select(key).distinct(), key, "left_anti")
+def within_cutoff(cards: DataFrame, cutoff: DataFrame) -> DataFrame:
+    """Rows on pages that the crawl reached before it stopped."""
+    stop = cutoff.select(F.col("search_keyword").alias("kw"), "stop_page")
+    return (cards.join(stop, F.col("search_keyword").eqNullSafe(F.col("kw"))
+                       & (F.col("page_scraped") <= F.col("stop_page")), "left_semi"))
+
+
+def incremental_new(new: DataFrame, seen: DataFrame, key: str = "asin",
+                    order: Sequence[str | Column] = CRAWL_ORDER) -> DataFrame:
+    """First sightings in ``new`` of keys that ``seen`` does not hold.
+
+    ``new`` is reduced to one row per key first (limited map-side) and so is
+    ``seen`` (partial aggregation): a hot key is one row on either side of the
+    anti-join."""
+    fresh = first_seen(new, key, order)
+    return fresh.join(seen.select(key).distinct(), key, "left_anti").select(*new.columns)
+
+
+def resume_crawl(seen: DataFrame, new: DataFrame, key: str = "asin") -> DataFrame:
+    """Resume after a checkpoint: the earlier rows, then the new first sightings."""
+    return seen.unionByName(incremental_new(new, seen, key))

@@ -18,25 +18,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlens.functions.cards import FIELDS, parse_cards
+from bazaarlens.functions.cards import CARD_ATTR, FIELDS, parse_cards
 from bazaarlens.functions.keywords import KEYWORDS, keyword_rank
 from bazaarlens.sources.schema import CARD_FIELDS_SCHEMA, LISTING_SCHEMA, PAGE_ARCHIVE_SCHEMA
 
 # Page classification (case-insensitive body markers).
 CHALLENGE_MARKERS = ("captcha", "enter the characters")
 NO_RESULTS_PATTERN = r"(?i)<span[^>]*>[^<]*no results for"
-CARD_PATTERN = r"<div[^>]*data-component-type=[\"']s-search-result[\"']"
 KEYWORD_PATTERN = r"[?&]k=([^&#]*)"
 PAGE_PATTERN = r"[?&]page=([0-9]+)"
 OK_STATUS = 200
 
-_CARD_OUT = T.StructType(CARD_FIELDS_SCHEMA.fields + [
+CARD_SCHEMA = T.StructType(CARD_FIELDS_SCHEMA.fields + [
     T.StructField("url", T.StringType()),
     T.StructField("fetched_at", T.TimestampNTZType()),
 ])
 _ARROW_TYPES = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string(),
                 T.BooleanType: pa.bool_(), T.TimestampNTZType: pa.timestamp("us")}
-_CARD_ARROW = pa.schema([pa.field(f.name, _ARROW_TYPES[type(f.dataType)]) for f in _CARD_OUT.fields])
+_CARD_ARROW = pa.schema([pa.field(f.name, _ARROW_TYPES[type(f.dataType)]) for f in CARD_SCHEMA.fields])
 
 
 def as_page_archive(pages: DataFrame) -> DataFrame:
@@ -57,33 +56,39 @@ def page_from_url(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, PAGE_PATTERN, 1), F.lit("")).try_cast("int")
 
 
-def page_status(pages: DataFrame) -> DataFrame:
-    """Classify each archived page: blocked, challenge, exhausted, empty, ok."""
+def page_status(pages: DataFrame, cards: DataFrame | None = None) -> DataFrame:
+    """Classify each archived page: blocked, challenge, exhausted, empty, ok.
+
+    ``cards``: the parsed cards of these pages, if they are stored; what counts
+    as a card is decided by the card finder alone. Markup is looked at once,
+    before the join with the per-page counts, and does not travel."""
     p = as_page_archive(pages)
     html, low = F.col("html"), F.lower(F.col("html"))
-    n_cards = F.coalesce(F.regexp_count(html, F.lit(CARD_PATTERN)), F.lit(0))
-    challenge = None
+    challenge = F.lit(False)
     for m in CHALLENGE_MARKERS:
-        challenge = low.contains(m) if challenge is None else (challenge | low.contains(m))
-    status = (F.when(F.col("http_status").isNotNull() & (F.col("http_status") != OK_STATUS),
-                     F.lit("blocked"))
-               .when(F.coalesce(challenge, F.lit(False)), F.lit("challenge"))
-               .when((n_cards == 0) & F.coalesce(html.rlike(NO_RESULTS_PATTERN), F.lit(False)),
-                     F.lit("exhausted"))
+        challenge = challenge | low.contains(m)
+    flags = p.select("page_id", "url", "http_status",
+                     F.coalesce(challenge, F.lit(False)).alias("challenge"),
+                     F.coalesce(html.rlike(NO_RESULTS_PATTERN), F.lit(False)).alias("no_results"))
+    counts = (card_fields(pages) if cards is None else cards) \
+        .groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    n_cards = F.coalesce("n", F.lit(0))
+    status = (F.when(F.col("http_status") != OK_STATUS, F.lit("blocked"))
+               .when(F.col("challenge"), F.lit("challenge"))
+               .when((n_cards == 0) & F.col("no_results"), F.lit("exhausted"))
                .when(n_cards == 0, F.lit("empty"))
                .otherwise(F.lit("ok")))
-    return p.select("page_id",
-                    keyword_from_url(F.col("url")).alias("search_keyword"),
-                    page_from_url(F.col("url")).alias("page_num"),
-                    n_cards.cast("int").alias("n_cards"),
-                    status.alias("status"))
+    return flags.join(counts, "page_id", "left").select(
+        "page_id", keyword_from_url(F.col("url")).alias("search_keyword"),
+        page_from_url(F.col("url")).alias("page_num"),
+        n_cards.cast("int").alias("n_cards"), status.alias("status"))
 
 
 def _cards_of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches of pages -> Arrow batches of cards (one output batch per
     input batch; columns are built straight from Python lists)."""
     for batch in batches:
-        cols = {f.name: [] for f in _CARD_OUT.fields}
+        cols = {f.name: [] for f in CARD_SCHEMA.fields}
         page_ids = batch.column("page_id").to_pylist()
         urls = batch.column("url").to_pylist()
         htmls = batch.column("html").to_pylist()
@@ -95,6 +100,7 @@ def _cards_of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 for f in FIELDS:
                     cols[f].append(card[f])
                 cols["sponsored"].append(card["sponsored"])
+                cols["broken"].append(card["broken"])
                 cols["url"].append(url)
                 cols["fetched_at"].append(ts)
         yield pa.RecordBatch.from_pydict(cols, schema=_CARD_ARROW)
@@ -110,13 +116,14 @@ def _ship_by_value() -> None:
 
 
 def card_fields(pages: DataFrame) -> DataFrame:
-    """Raw per-card strings of every page that was served (status 200 or unknown)."""
+    """Raw per-card strings of every page that was served (status 200 or unknown).
+    Only pages that name the card marker reach Python."""
     _ship_by_value()
     p = as_page_archive(pages)
     served = F.col("http_status").isNull() | (F.col("http_status") == OK_STATUS)
-    return (p.filter(served)
+    return (p.filter(served & F.col("html").contains(CARD_ATTR[1]))
             .select("page_id", "url", "html", "fetched_at")
-            .mapInArrow(_cards_of_pages, _CARD_OUT))
+            .mapInArrow(_cards_of_pages, CARD_SCHEMA))
 
 
 def to_minute(ts: Column) -> Column:
@@ -172,7 +179,8 @@ def _card_columns() -> dict[str, Column]:
 def _reject_reason(cols: dict[str, Column]) -> Column:
     """First failed requirement of a card, NULL when the card is kept."""
     asin, name, price = cols["asin"], cols["product_name"], cols["price_inr"]
-    return (F.when(asin.isNull() | (asin == ""), F.lit("no asin"))
+    return (F.when(F.col("broken"), F.lit("broken"))
+             .when(asin.isNull() | (asin == ""), F.lit("no asin"))
              .when(name.isNull() | (name == ""), F.lit("no name"))
              .when(price.isNull() | (price <= 0), F.lit("no price")))
 
@@ -181,123 +189,60 @@ def extract_cards(pages: DataFrame) -> DataFrame:
     """Archived pages -> listing rows (LISTING_SCHEMA) plus page_id and pos.
 
     Cards without an ASIN, without a name, or without a positive price are
-    skipped, as are broken cards (the parser drops what it cannot read).
-    """
-    cols = _card_columns()
-    typed = [cols[f.name].cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
-    return (card_fields(pages).filter(_reject_reason(cols).isNull())
-            .select("page_id", "pos", *typed))
+    skipped, as are cards the finder could not read (``broken``)."""
+    return kept_cards(card_fields(pages))
 
 
-def card_rejects(pages: DataFrame) -> DataFrame:
+def reject_counts(cards: DataFrame) -> DataFrame:
     """Per page with cards: cards found, kept, and skipped by first reason."""
     reason = _reject_reason(_card_columns())
-    return (card_fields(pages).select("page_id", reason.alias("reason"))
+    return (cards.select("page_id", reason.alias("reason"))
             .groupBy("page_id")
             .agg(F.count(F.lit(1)).alias("cards"),
                  F.count_if(F.col("reason").isNull()).alias("kept"),
+                 F.count_if(F.col("reason") == "broken").alias("broken"),
                  F.count_if(F.col("reason") == "no asin").alias("no_asin"),
                  F.count_if(F.col("reason") == "no name").alias("no_name"),
                  F.count_if(F.col("reason") == "no price").alias("no_price")))
 
 
-# ---------------------------------------------------------------------------
-# Rendering listings as archived pages (fixture side of the round trip).
-
-# A page holds the cards of one (keyword, page) whose ids fall in one span of
-# this many ids: ids are unique, so no page can exceed this many cards
-# whatever the key distribution.
-PAGE_ID_SPAN = 5600
-# Search URL form (keyword, then page, appended).
-SEARCH_URL_HEAD = "https://shop.example/s?k="
-SEARCH_URL_MID = "&i=computers&s=review-rank&page="
-
-
-def _esc(col: Column) -> Column:
-    out = F.replace(col, F.lit("&"), F.lit("&amp;"))
-    for a, b in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
-
-
-def card_html() -> Column:
-    """One listing row (the raw listing columns) as a search-result card."""
-    def opt(cond: Column, *parts) -> Column:
-        return F.when(cond, F.concat(*parts)).otherwise(F.lit(""))
-
-    name, brand = F.col("product_name"), F.col("brand")
-    price, mrp = F.col("price_inr"), F.col("original_price_inr")
-    return F.concat(
-        F.lit('<div data-asin="'), _esc(F.col("asin")),
-        F.lit('" data-component-type="s-search-result" class="s-result-item">'),
-        opt(name.isNotNull(), F.lit('<h2 class="a-size-mini"><a href="#">'
-                                    '<span class="a-size-medium a-color-base a-text-normal">'),
-            _esc(name), F.lit("</span></a></h2>")),
-        opt(brand.isNotNull(), F.lit('<span class="a-size-base-plus a-color-base">'),
-            _esc(brand), F.lit("</span>")),
-        opt(price.isNotNull(), F.lit('<span class="a-price"><span class="a-price-whole">'),
-            F.format_number(F.floor(price), 0), F.lit('.</span><span class="a-price-fraction">'),
-            F.lpad(((price - F.floor(price)) * 100).cast("int").cast("string"), 2, "0"),
-            F.lit("</span></span>")),
-        opt(mrp.isNotNull(), F.lit('<span class="a-price a-text-price"><span class="a-offscreen">'
-                                   '₹'), F.format_number(mrp, 2), F.lit("</span></span>")),
-        opt(F.col("rating").isNotNull(), F.lit('<i class="a-icon"><span class="a-icon-alt">'),
-            F.col("rating").cast("string"), F.lit(" out of 5 stars</span></i>")),
-        opt(F.col("total_reviews").isNotNull(), F.lit('<span class="a-size-base" dir="auto">'),
-            F.format_number(F.col("total_reviews"), 0), F.lit("</span>")),
-        opt(F.col("listing_type") == "Sponsored",
-            F.lit('<span class="puis-label-popover"><span>Sponsored</span></span>')),
-        F.lit("</div>"))
-
-
-def render_pages(listings: DataFrame, span: int = PAGE_ID_SPAN,
-                 keywords: Sequence[str] = KEYWORDS) -> DataFrame:
-    """Listings -> archived pages: one page per (keyword, page, id span).
-
-    Cards keep id order inside a page. The group is bounded by ``span``.
-    Page ids encode (id span, keyword rank, page): they are unique when every
-    keyword is in ``keywords`` (unlisted keywords share one rank).
-    """
-    kr = keyword_rank(F.col("search_keyword"), keywords)
-    chunk = F.floor(F.col("id") / span)
-    pages = (listings
-             .select("search_keyword", "page_scraped", "id", "scraped_at",
-                     kr.alias("kr"), chunk.alias("chunk"),
-                     card_html().alias("card"))
-             .groupBy("search_keyword", "page_scraped", "kr", "chunk")
-             .agg(F.array_sort(F.collect_list(F.struct("id", "card"))).alias("cards"),
-                  F.min("scraped_at").alias("fetched_at")))
-    body = F.array_join(F.transform("cards", lambda c: c["card"]), "")
-    url = F.concat(F.lit(SEARCH_URL_HEAD), F.url_encode(F.col("search_keyword")),
-                   F.lit(SEARCH_URL_MID),
-                   F.col("page_scraped").cast("string"))
-    page_id = -(F.col("chunk") * 1_000_000 + F.col("kr") * 10_000 + F.col("page_scraped")) - 1
-    return pages.select(
-        page_id.cast("bigint").alias("page_id"), url.alias("url"),
-        F.concat(F.lit("<!DOCTYPE html><html><body><div class=\"s-main-slot\">"), body,
-                 F.lit("</div></body></html>")).alias("html"),
-        F.lit(OK_STATUS).alias("http_status"),
-        F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
+def card_rejects(pages: DataFrame) -> DataFrame:
+    return reject_counts(card_fields(pages))
 
 
 # Crawl order of extracted cards: keyword rank, page number, archived page, position.
-CARD_ORDER = ("keyword_rank", "page_scraped", "page_id", "pos")
+CARD_ORDER = ("keyword_rank", "search_keyword", "page_scraped", "page_id", "pos")
 
 
-def listings_from_archive(pages: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
-    """Archive -> a raw listing table (RAW_SCHEMA): the crawl's own output.
-
-    Cards are extracted, the first sighting of each ASIN in crawl order is
-    kept, and ids 1..N are assigned in crawl order, as an auto-increment key
-    on load would. Shuffles: one on the ASIN (first-seen) and one range sort
-    for the ids; no single-task step.
-    """
-    from bazaarlens.operators.dedup import first_seen
+def kept_cards(cards: DataFrame) -> DataFrame:
+    """Parsed cards -> listing rows (LISTING_SCHEMA) plus page_id and pos."""
+    cols = _card_columns()
+    typed = [cols[f.name].cast(f.dataType).alias(f.name) for f in LISTING_SCHEMA.fields]
+    return cards.filter(_reject_reason(cols).isNull()).select("page_id", "pos", *typed)
+
+
+def listings_from_cards(cards: DataFrame, status: DataFrame,
+                        keywords: Sequence[str] = KEYWORDS) -> DataFrame:
+    """The crawl's own output as a raw listing table (RAW_SCHEMA).
+
+    ``cards``: parsed cards, ``status``: page classes. Each keyword's pages up
+    to where its crawl stops; of each ASIN the first sighting in crawl order;
+    ids 1..N in crawl order, as an auto-increment key on load would be.
+    Shuffles: per-page counts, one on the ASIN (first-seen) and one range sort
+    for the ids; no single-task step."""
+    from bazaarlens.operators.dedup import crawl_cutoff, first_seen, page_stats, within_cutoff
     from bazaarlens.sources.keys import surrogate_key
     from bazaarlens.sources.schema import RAW_SCHEMA
 
-    cards = extract_cards(pages).withColumn(
+    kept = kept_cards(cards)
+    reached = within_cutoff(kept, crawl_cutoff(page_stats(status, kept))).withColumn(
         "keyword_rank", keyword_rank(F.col("search_keyword"), keywords))
-    unique = first_seen(cards, order=CARD_ORDER, keywords=keywords)
+    unique = first_seen(reached, order=CARD_ORDER, keywords=keywords)
     keyed = surrogate_key(unique, list(CARD_ORDER), name="id")
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
+
+
+def listings_from_archive(pages: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
+    """Archive -> raw listing table: parse, classify, stop, de-duplicate, number."""
+    cards = card_fields(pages)
+    return listings_from_cards(cards, page_status(pages, cards), keywords)

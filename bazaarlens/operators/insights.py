@@ -46,15 +46,20 @@ def top_rated(cleaned: DataFrame, top: int = 10) -> DataFrame:
             .limit(top))
 
 
+def brand_discount_table(cleaned: DataFrame, min_products: int = 5) -> DataFrame:
+    """Average discount and saving per brand, unordered."""
+    return (cleaned.filter(F.col("discount_percent").isNotNull()
+                           & (F.col("brand") != OTHER_BRAND))
+            .groupBy("brand")
+            .agg(avg_round("discount_percent", 1).alias("avg_discount"),
+                 avg_round("savings_inr", 0).alias("avg_savings_inr"),
+                 F.count(F.lit(1)).alias("products"))
+            .filter(F.col("products") >= min_products))
+
+
 def brand_discount(cleaned: DataFrame, min_products: int = 5, top: int | None = 10) -> DataFrame:
-    out = (cleaned.filter(F.col("discount_percent").isNotNull()
-                          & (F.col("brand") != OTHER_BRAND))
-           .groupBy("brand")
-           .agg(avg_round("discount_percent", 1).alias("avg_discount"),
-                avg_round("savings_inr", 0).alias("avg_savings_inr"),
-                F.count(F.lit(1)).alias("products"))
-           .filter(F.col("products") >= min_products)
-           .orderBy(F.desc("avg_discount"), F.asc("brand")))
+    out = brand_discount_table(cleaned, min_products).orderBy(F.desc("avg_discount"),
+                                                              F.asc("brand"))
     return out.limit(top) if top else out
 
 

@@ -94,15 +94,9 @@ MARTS = {
 
 
 def register_marts(spark: SparkSession, cleaned: DataFrame,
-                   table: str = "laptops_cleaned", database: str | None = None) -> list[str]:
-    """Define (or replace) the cleaned table view and the six mart views.
-
-    ``database``: create it if missing and make it current first (the
-    views themselves are session-scoped temporary views).
-    """
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        spark.catalog.setCurrentDatabase(database)
+                   table: str = "laptops_cleaned") -> list[str]:
+    """Define (or replace) the cleaned table view and the six mart views as
+    temporary views of this session."""
     cleaned.createOrReplaceTempView(table)
     base = spark.table(table)
     for name, build in MARTS.items():
@@ -110,17 +104,79 @@ def register_marts(spark: SparkSession, cleaned: DataFrame,
     return list(MARTS)
 
 
-def list_marts(spark: SparkSession, with_counts: bool = True) -> DataFrame:
-    """The registered mart views, each with its current row count.
+def _avg(col: str, digits: int) -> str:
+    return f"CAST(round(avg({col}), {digits}) AS DOUBLE)"
+
+
+def _avg0(col: str, digits: int) -> str:
+    return f"CAST(round(coalesce(avg({col}), 0), {digits}) AS DOUBLE)"
+
+
+def _zero_sql(col: str, dtype: str) -> str:
+    return f"CAST(coalesce({col}, 0) AS {dtype}) AS {col}"
+
+
+# The same views as SQL text, for the catalog: a stored view keeps its text.
+MART_SQL = {
+    "vw_brand_performance": f"""SELECT brand, count(*) AS total_products,
+  {_avg('price_inr', 0)} AS avg_price, {_avg0('rating', 2)} AS avg_rating,
+  {_avg0('discount_percent', 1)} AS avg_discount, {_avg0('savings_inr', 0)} AS avg_savings
+FROM {{table}} WHERE brand != '{OTHER_BRAND}' GROUP BY brand""",
+    "vw_price_segments": f"""SELECT price_segment, count(*) AS total_products,
+  {_avg('price_inr', 0)} AS avg_price, {_avg('rating', 2)} AS avg_rating,
+  {_avg('discount_percent', 1)} AS avg_discount, {_avg('savings_inr', 0)} AS avg_savings
+FROM {{table}} GROUP BY price_segment""",
+    "vw_discount_analysis": f"""SELECT brand, discount_tier, count(*) AS product_count,
+  {_avg('discount_percent', 1)} AS avg_discount, {_avg('savings_inr', 0)} AS avg_savings,
+  max(discount_percent) AS max_discount
+FROM {{table}} WHERE brand != '{OTHER_BRAND}' GROUP BY brand, discount_tier""",
+    "vw_top_products": f"""SELECT product_name, brand, price_inr, original_price_inr,
+  {_zero_sql('discount_percent', 'DECIMAL(5,1)')}, {_zero_sql('savings_inr', 'DECIMAL(11,2)')},
+  rating, rating_category, price_segment, discount_tier
+FROM {{table}} WHERE rating IS NOT NULL
+ORDER BY rating DESC, coalesce(discount_percent, 0) DESC""",
+    "vw_kpi_summary": f"""SELECT count(*) AS total_products, count(DISTINCT brand) AS total_brands,
+  {_avg('price_inr', 0)} AS avg_price, min(price_inr) AS min_price, max(price_inr) AS max_price,
+  {_avg('rating', 2)} AS avg_rating, {_avg('discount_percent', 1)} AS avg_discount,
+  count_if(discount_percent >= {MEGA_DEAL_MIN}) AS mega_deals,
+  count_if(rating >= {EXCELLENT_MIN}) AS excellent_products
+FROM {{table}}""",
+    "vw_all_products": f"""SELECT id, asin, product_name, brand, price_inr, original_price_inr,
+  {_zero_sql('discount_percent', 'DECIMAL(5,1)')}, {_zero_sql('savings_inr', 'DECIMAL(11,2)')},
+  {_zero_sql('rating', 'DECIMAL(3,1)')}, total_reviews, price_segment, discount_tier,
+  rating_category, listing_type, search_keyword, scraped_at
+FROM {{table}}""",
+}
+
+
+def create_marts(spark: SparkSession, path: str, database: str,
+                 table: str = "laptops_cleaned") -> list[str]:
+    """Define (or replace) the stored cleaned table and the six views in a named
+    database of the catalog: every session of the catalog reads them there.
+
+    ``path``: folder of the stored cleaned table. Views hold no data."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    base = f"`{database}`.`{table}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {base} AS SELECT * FROM parquet.`{path}`")
+    for name, text in MART_SQL.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {text.format(table=base)}")
+    return list(MART_SQL)
+
 
-    The counts come from one union of per-view aggregates, so one job
-    answers for all views.
-    """
-    names = sorted(r.viewName for r in spark.sql("SHOW VIEWS").collect()
+def list_marts(spark: SparkSession, with_counts: bool = True,
+               database: str | None = None) -> DataFrame:
+    """The defined mart views, each with its current row count; no rows if none
+    is defined. The counts come from one union of per-view aggregates, so one
+    job answers for all views."""
+    where = f" IN `{database}`" if database else ""
+    names = sorted(r.viewName for r in spark.sql(f"SHOW VIEWS{where}").collect()
                    if r.viewName in MARTS)
     if not with_counts:
         return spark.createDataFrame([(n,) for n in names], "view_name string")
-    parts = [spark.table(n).agg(F.count(F.lit(1)).alias("n_rows"))
+    if not names:
+        return spark.createDataFrame([], "view_name string, n_rows bigint")
+    at = f"`{database}`." if database else ""
+    parts = [spark.table(f"{at}{n}").agg(F.count(F.lit(1)).alias("n_rows"))
              .select(F.lit(n).alias("view_name"), "n_rows") for n in names]
     out = parts[0]
     for p in parts[1:]:

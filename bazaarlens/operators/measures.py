@@ -1,16 +1,15 @@
 """Published insights and dashboard measures, as tables.
 
-Shares are computed on aggregated rows (a window over a handful of groups),
-never by a second scan of the listings.
+Shares divide aggregated rows by the table's row count, a scalar subquery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.aggs import avg_round_or_zero, count_where, share_pct
-from bazaarlens.operators.insights import brand_discount, segment_popularity
+from bazaarlens.operators.insights import brand_discount_table
 
 OTHER_BRAND = "Other"
 PREMIUM_MIN_PRICE = 50000
@@ -18,14 +17,17 @@ HIGH_RATING_MIN = 4.0
 BELOW_AVERAGE = "Below Average"
 
 
+def _total(cleaned: DataFrame):
+    """Row count as a scalar subquery, which Parquet answers from its footers."""
+    return cleaned.select(F.count(F.lit(1))).scalar()
+
+
 def dominant_segment(cleaned: DataFrame) -> DataFrame:
     """Largest price segment and its share of all listings."""
-    seg = segment_popularity(cleaned).select("price_segment", "total_products")
-    total = F.sum("total_products").over(Window.partitionBy())
-    return (seg.select("price_segment", "total_products",
-                       share_pct(F.col("total_products"), total, 1).alias("share_pct"))
-            .orderBy(F.desc("total_products"), F.asc_nulls_last("price_segment"))
-            .limit(1))
+    seg = cleaned.groupBy("price_segment").agg(F.count(F.lit(1)).alias("total_products"))
+    return (seg.orderBy(F.desc("total_products"), F.asc_nulls_last("price_segment")).limit(1)
+            .select("price_segment", "total_products",
+                    share_pct(F.col("total_products"), _total(cleaned), 1).alias("share_pct")))
 
 
 def premium_share(cleaned: DataFrame, min_price=PREMIUM_MIN_PRICE) -> DataFrame:
@@ -36,7 +38,7 @@ def premium_share(cleaned: DataFrame, min_price=PREMIUM_MIN_PRICE) -> DataFrame:
 
 def discount_extremes(cleaned: DataFrame, min_products: int = 5) -> DataFrame:
     """Brands with the highest and lowest average discount (ties: brand name)."""
-    per_brand = brand_discount(cleaned, min_products=min_products, top=None)
+    per_brand = brand_discount_table(cleaned, min_products)
     avg = F.col("avg_discount")
     return per_brand.agg(
         F.min_by("brand", F.struct((-avg).alias("k"), F.col("brand"))).alias("highest_brand"),
@@ -69,9 +71,8 @@ def high_rated_share(cleaned: DataFrame, min_rating=HIGH_RATING_MIN) -> DataFram
 def brand_share(cleaned: DataFrame) -> DataFrame:
     """Share of listings per standardised brand (the donut chart)."""
     per_brand = cleaned.groupBy("brand").agg(F.count(F.lit(1)).alias("products"))
-    total = F.sum("products").over(Window.partitionBy())
     return per_brand.select("brand", "products",
-                            share_pct(F.col("products"), total, 1).alias("share_pct"))
+                            share_pct(F.col("products"), _total(cleaned), 1).alias("share_pct"))
 
 
 def price_discount_points(cleaned: DataFrame) -> DataFrame:

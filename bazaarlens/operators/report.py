@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.aggs import avg_round, count_where, share_pct
-from bazaarlens.operators.dedup import CRAWL_ORDER, first_seen, with_crawl_order
+from bazaarlens.operators.dedup import CRAWL_ORDER, first_seen, page_counts, with_crawl_order
+from bazaarlens.sources.schema import LISTING_SCHEMA
 
 # The preview columns.
 PREVIEW_COLUMNS = ["product_name", "brand", "price_inr", "discount_percent", "rating",
@@ -20,10 +21,12 @@ PREVIEW_COLUMNS = ["product_name", "brand", "price_inr", "discount_percent", "ra
 
 def run_report(crawl: DataFrame, key: str = "asin") -> DataFrame:
     """One row: unique rows, repeats removed, price/rating/discount stats,
-    distinct raw brands, share with a discount, sponsored/organic counts."""
-    # Rows before de-duplication as a scalar subquery (its own small job),
-    # not a join.
-    rows_before = crawl.select(F.count(F.lit(1))).scalar()
+    distinct raw brands, share with a discount, sponsored/organic counts.
+
+    The run has already left out keys of earlier pages when it removes
+    duplicates, so ``duplicates_removed`` counts repeats within a page only."""
+    # Rows past the page-level filter as a scalar subquery, not a join.
+    rows_before = page_counts(crawl, key).agg(F.sum("new_products").cast("bigint")).scalar()
     unique = first_seen(crawl, key)
     return unique.agg(
         F.count(F.lit(1)).alias("unique_products"),
@@ -44,6 +47,11 @@ def keyword_breakdown(crawl: DataFrame, key: str = "asin") -> DataFrame:
             .agg(F.count(key).alias("products")))
 
 
+def report_columns() -> list[str]:
+    """The columns of the run's export, in order."""
+    return [f.name for f in LISTING_SCHEMA.fields]
+
+
 def run_preview(crawl: DataFrame, n: int = 5, key: str = "asin") -> DataFrame:
     """First ``n`` first-seen rows in crawl order (a top-k, not a full sort)."""
     return (with_crawl_order(first_seen(crawl, key))

@@ -1,36 +1,44 @@
 """Materialise once, query many: the stored tables reports read.
 
 ``laptops_raw`` is a loaded table and ``laptops_cleaned`` a create-table-as-
-select; the page archive and the crawl's own listing table are stored the
-same way. All are Parquet tables in the shared checkpoint folder, written
-once per input (keyed by the source files' path, size and modification time
-and by the version of the code that defines them) and reused by every query.
-This also cuts lineage: a query's plan starts at a Parquet scan with pushed
-filters and pruned columns instead of re-deriving its input.
-
-A table is written into a private folder and renamed into place when its
-write job has finished, so its folder exists only when it is complete (and
-carries Spark's ``_SUCCESS`` marker). A failed or lost writer leaves only an
-unused private folder; the next caller builds the table again, and two
-concurrent builders never write into one folder.
+select; the page archive, its parsed cards and the crawl's own listing table
+are stored the same way. All are Parquet tables in the shared checkpoint
+folder, written once per input and reused by every query. A table is keyed by
+every leaf file of its source (path, length, modification time), so a rewritten
+part file gives a new table, and by the version of the code that defines it;
+``rebuild`` replaces it on request. Storing also cuts lineage: a query's plan
+starts at a Parquet scan with pushed filters and pruned columns.
+
+A table is written into a private folder, marked complete by a file of its own
+written last, and renamed into place. A failed or lost writer leaves only a
+private folder without a marker; the next caller builds the table again. The
+loser of a race deletes its private copy. A build runs its plan once, files are
+as the plan is partitioned (split by rows where rows are large).
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
+import pkgutil
 import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.operators.clean import clean
-from bazaarlens.operators.extract import as_page_archive, listings_from_archive, render_pages
+from bazaarlens.operators.extract import (CARD_SCHEMA, as_page_archive, card_fields,
+                                          listings_from_cards, page_status)
 from bazaarlens.session import checkpoint_root
+from bazaarlens.sources.archive_fixture import render_pages
 from bazaarlens.sources.schema import CLEANED_SCHEMA, PAGE_ARCHIVE_SCHEMA, RAW_SCHEMA
 from bazaarlens.sources.tables import listings_from_orders, read_table, table_path
 
 _lock = threading.RLock()
+MARKER = "_COMPLETE"
+TABLES_SUFFIX = ""            # a run that wants tables of its own sets this
+ARCHIVE_PAGES_PER_FILE = 64   # pages are large rows: a few MB of markup a file
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -39,74 +47,96 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-# Source files whose code defines the stored tables: a change to any of
-# them gives new table names, so a stale table is never reused.
-_DEFINING = ("sources/tables.py", "sources/schema.py", "operators/clean.py",
+# Modules whose code defines the stored tables: a change to any of them gives
+# new table names, so a stale table is never reused.
+_DEFINING = ("sources/tables.py", "sources/schema.py", "sources/archive_fixture.py",
+             "sources/keys.py", "sources/csv.py", "operators/clean.py", "operators/dedup.py",
              "operators/extract.py", "functions/brand.py", "functions/tiers.py",
-             "functions/keywords.py", "plans/materialize.py")
+             "functions/cards.py", "functions/keywords.py", "plans/materialize.py")
 
 
-def _code_version() -> str:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+@functools.cache
+def code_version() -> str:
+    """Digest of the defining modules, read through the import system (also
+    from a zip) when the first table is asked for. A module shipped without
+    source counts with its name alone."""
     h = hashlib.sha1()
     for rel in _DEFINING:
-        with open(os.path.join(root, rel), "rb") as f:
-            h.update(f.read())
+        try:
+            source = pkgutil.get_data("bazaarlens", rel)
+        except OSError:
+            source = None
+        h.update(rel.encode() + b"\0" + (source or b""))
     return h.hexdigest()[:8]
 
 
-CODE_VERSION = _code_version()
-
-
 def _fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of the source's leaf files: path, length and modification time."""
     p, fs = _hadoop_path(spark, path)
-    st = fs.getFileStatus(p)
-    key = f"{CODE_VERSION}|{path}|{st.getLen()}|{st.getModificationTime()}"
+    it, files = fs.listFiles(p, True), []
+    while it.hasNext():
+        st = it.next()
+        files.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+    key = "\n".join([code_version(), path, *sorted(files)])
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, os.path.join(path, "_SUCCESS"))
+    p, fs = _hadoop_path(spark, os.path.join(path, MARKER))
     return bool(fs.exists(p))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Write once. An input narrower than the cluster (one small source file)
-    is spread round-robin so later scans use every slot; a wide input (any
-    real scale) is written as it is partitioned, with no extra shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    df.write.mode("overwrite").parquet(path)
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
-def _publish(spark: SparkSession, path: str, write) -> None:
-    """Run ``write(folder)`` into a private folder, then rename it into place.
+def write_table(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    writer = df.write.mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
 
-    Two jobs building the same table never write into one folder: the
-    first rename wins and a later one finds the table already complete.
-    """
+
+def publish(spark: SparkSession, path: str, write) -> None:
+    """Run ``write(folder)`` into a private folder, mark it complete, rename it
+    into place; the loser of a race deletes its own copy."""
     tmp = f"{path}.part-{uuid.uuid4().hex[:12]}"
     write(tmp)
-    src, fs = _hadoop_path(spark, tmp)
-    dst, _ = _hadoop_path(spark, path)
-    if not fs.exists(dst):
-        fs.rename(src, dst)
+    mark, fs = _hadoop_path(spark, os.path.join(tmp, MARKER))
+    fs.create(mark, True).close()
+    src, dst = _hadoop_path(spark, tmp)[0], _hadoop_path(spark, path)[0]
+    if not fs.exists(dst) and fs.rename(src, dst):
+        # a store whose rename moves into an existing folder shows the loser there
+        _delete(spark, os.path.join(path, os.path.basename(tmp)))
+    else:
+        fs.delete(src, True)
+    if not _complete(spark, path):
+        raise RuntimeError(f"stored table was not published: {path}")
+
+
+def stored(spark: SparkSession, name: str, sources: list[str], write) -> str:
+    """Path of the stored table ``name`` over source files, built if missing."""
+    fp = "".join(_fingerprint(spark, s) for s in sources)
+    path = os.path.join(checkpoint_root(spark), "tables" + TABLES_SUFFIX, f"{name}-{fp}")
+    with _lock:
+        if not _complete(spark, path):
+            _delete(spark, path)   # left by a writer of another kind
+            publish(spark, path, write)
+    return path
 
 
-def publish_table(df: DataFrame, path: str) -> None:
-    _publish(df.sparkSession, path, lambda folder: write_table(df, folder))
+def rebuild(spark: SparkSession, path: str) -> None:
+    """Drop a stored table: the next reader builds it again."""
+    with _lock:
+        _delete(spark, path)
 
 
 def raw_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of ``laptops_raw`` for a test-data folder, written once."""
-    src = table_path(sf_dir, "orders")
-    path = os.path.join(checkpoint_root(spark), "tables",
-                        f"laptops_raw-{_fingerprint(spark, src)}")
-    with _lock:
-        if not _complete(spark, path):
-            publish_table(listings_from_orders(read_table(spark, sf_dir, "orders")), path)
-    return path
+    return stored(spark, "laptops_raw", [table_path(sf_dir, "orders")],
+                  lambda folder: write_table(
+                      listings_from_orders(read_table(spark, sf_dir, "orders")), folder))
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,24 +147,38 @@ def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """The raw listings exported once as CSV (the bulk-load input)."""
     from bazaarlens.sources.csv import export_csv
-    src = table_path(sf_dir, "orders")
-    path = os.path.join(checkpoint_root(spark), "tables",
-                        f"laptops_raw_csv-{_fingerprint(spark, src)}")
-    with _lock:
-        if not _complete(spark, path):
-            _publish(spark, path, lambda folder: export_csv(raw_table(spark, sf_dir), folder))
-    return path
+    return stored(spark, "laptops_raw_csv", [table_path(sf_dir, "orders")],
+                  lambda folder: export_csv(raw_table(spark, sf_dir), folder))
+
+
+def export_path(spark: SparkSession, sf_dir: str) -> str:
+    """The de-duplicated listings exported once (the run's raw export)."""
+    from bazaarlens.operators.dedup import first_seen
+    from bazaarlens.sources.csv import export_parquet
+    return stored(spark, "raw_export", [table_path(sf_dir, "orders")],
+                  lambda folder: export_parquet(first_seen(raw_table(spark, sf_dir)), folder))
+
+
+def stream_winners_path(spark: SparkSession, sf_dir: str) -> str:
+    """First sightings found by the stream over the stored listing files, run
+    to the end of its input once per input."""
+    from bazaarlens.session import scratch_path
+    from bazaarlens.streaming.first_seen import read_first_seen, start_first_seen
+
+    def run(folder: str) -> None:
+        work = scratch_path(spark, "first-seen")
+        q = start_first_seen(spark, raw_table_path(spark, sf_dir), f"{work}/sink", f"{work}/ckpt")
+        q.awaitTermination()
+        write_table(read_first_seen(spark, f"{work}/sink"), folder)
+        _delete(spark, work)
+
+    return stored(spark, "stream_first_seen", [table_path(sf_dir, "orders")], run)
 
 
 def cleaned_table_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of ``laptops_cleaned``: create-table-as-select over ``laptops_raw``."""
-    src = table_path(sf_dir, "orders")
-    path = os.path.join(checkpoint_root(spark), "tables",
-                        f"laptops_cleaned-{_fingerprint(spark, src)}")
-    with _lock:
-        if not _complete(spark, path):
-            publish_table(clean(raw_table(spark, sf_dir)), path)
-    return path
+    return stored(spark, "laptops_cleaned", [table_path(sf_dir, "orders")],
+                  lambda folder: write_table(clean(raw_table(spark, sf_dir)), folder))
 
 
 def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,31 +186,36 @@ def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(CLEANED_SCHEMA).parquet(cleaned_table_path(spark, sf_dir))
 
 
+def _archive_sources(sf_dir: str) -> list[str]:
+    return [table_path(sf_dir, "orders"), table_path(sf_dir, "pages")]
+
+
 def page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page archive: the driver's ``pages`` plus every raw listing
     rendered into search-result pages, stored once as Parquet."""
-    fp = _fingerprint(spark, table_path(sf_dir, "orders")) + \
-        _fingerprint(spark, table_path(sf_dir, "pages"))
-    path = os.path.join(checkpoint_root(spark), "tables", f"page_archive-{fp}")
-    with _lock:
-        if not _complete(spark, path):
-            real = as_page_archive(read_table(spark, sf_dir, "pages"))
-            # Spread pages evenly over files by count, not bytes: scan splits
-            # are sized on compressed bytes, and generated markup compresses
-            # far better than real pages, so byte-sized splits would give the
-            # CPU-bound parse very uneven tasks.
-            n_files = max(8, 2 * spark.sparkContext.defaultParallelism)
-            publish_table(render_pages(raw_table(spark, sf_dir)).unionByName(real)
-                          .repartition(n_files), path)
+    def write(folder: str) -> None:
+        real = as_page_archive(read_table(spark, sf_dir, "pages"))
+        write_table(render_pages(raw_table(spark, sf_dir)).unionByName(real), folder,
+                    ARCHIVE_PAGES_PER_FILE)
+
+    path = stored(spark, "page_archive", _archive_sources(sf_dir), write)
     return spark.read.schema(PAGE_ARCHIVE_SCHEMA).parquet(path)
 
 
+def parsed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive's cards as the finder read them, stored once: every
+    extraction query reads these, so markup is parsed once per archive."""
+    path = stored(spark, "parsed_cards", _archive_sources(sf_dir),
+                  lambda folder: write_table(card_fields(page_archive(spark, sf_dir)), folder))
+    return spark.read.schema(CARD_SCHEMA).parquet(path)
+
+
 def archive_listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The crawl's own raw table (extracted, first sightings, ids), stored once."""
-    fp = _fingerprint(spark, table_path(sf_dir, "orders")) + \
-        _fingerprint(spark, table_path(sf_dir, "pages"))
-    path = os.path.join(checkpoint_root(spark), "tables", f"archive_listings-{fp}")
-    with _lock:
-        if not _complete(spark, path):
-            publish_table(listings_from_archive(page_archive(spark, sf_dir)), path)
+    """The crawl's own raw table (stop rules, first sightings, ids), stored once."""
+    def write(folder: str) -> None:
+        cards = parsed_cards(spark, sf_dir)
+        status = page_status(page_archive(spark, sf_dir), cards)
+        write_table(listings_from_cards(cards, status), folder)
+
+    path = stored(spark, "archive_listings", _archive_sources(sf_dir), write)
     return spark.read.schema(RAW_SCHEMA).parquet(path)

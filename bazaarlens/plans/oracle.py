@@ -10,15 +10,57 @@ matching Spark's decimal semantics bit for bit.
 
 from __future__ import annotations
 
-from bazaarlens.functions.brand import brand_rules_sql
-from bazaarlens.functions.keywords import KEYWORDS, keyword_rank_sql
-from bazaarlens.functions.tiers import discount_tier_sql, price_segment_sql, rating_category_sql
-from bazaarlens.operators.clean import PRICE_HIGH, PRICE_LOW
-from bazaarlens.operators.extract import (CARD_PATTERN, CHALLENGE_MARKERS, KEYWORD_PATTERN,
-                                          NO_RESULTS_PATTERN, PAGE_ID_SPAN, PAGE_PATTERN)
-from bazaarlens.plans.registry import RESUME_AFTER_KEYWORDS
 from bazaarlens.sources.tables import raw_from_orders_sql
 
+# The reference's rules, written out here and not taken from the
+# code under test. (The listing rows themselves come from the fixture recipe.)
+PRICE_LOW, PRICE_HIGH = 5000, 500000
+
+BRAND_SQL = """CASE
+  WHEN upper(product_name) LIKE '%MACBOOK%' THEN 'Apple'
+  WHEN upper(product_name) LIKE '%THINKPAD%' THEN 'Lenovo'
+  WHEN upper(product_name) LIKE '%IDEAPAD%' THEN 'Lenovo'
+  WHEN upper(product_name) LIKE '%INSPIRON%' THEN 'Dell'
+  WHEN upper(product_name) LIKE '%PAVILION%' THEN 'HP'
+  WHEN upper(product_name) LIKE '%ELITEBOOK%' THEN 'HP'
+  WHEN upper(product_name) LIKE '%VIVOBOOK%' THEN 'ASUS'
+  WHEN upper(product_name) LIKE '%ZENBOOK%' THEN 'ASUS'
+  WHEN upper(brand) LIKE '%LENOVO%' THEN 'Lenovo'
+  WHEN upper(brand) LIKE '%HP%' THEN 'HP'
+  WHEN upper(brand) LIKE '%DELL%' THEN 'Dell'
+  WHEN upper(brand) LIKE '%ASUS%' THEN 'ASUS'
+  WHEN upper(brand) LIKE '%ACER%' THEN 'Acer'
+  WHEN upper(brand) LIKE '%APPLE%' THEN 'Apple'
+  WHEN upper(brand) LIKE '%MSI%' THEN 'MSI'
+  WHEN upper(brand) LIKE '%SAMSUNG%' THEN 'Samsung'
+  WHEN upper(brand) LIKE '%MICROSOFT%' THEN 'Microsoft'
+  WHEN upper(brand) LIKE '%ALIENWARE%' THEN 'Alienware'
+  WHEN upper(brand) LIKE '%AVITA%' THEN 'Avita'
+  WHEN regexp_matches(brand, '^[0-9]') THEN 'Other'
+  ELSE trim(brand) END"""
+
+SEGMENT_SQL = """CASE WHEN price_inr < 30000 THEN 'Budget (Under 30K)'
+  WHEN price_inr BETWEEN 30000 AND 50000 THEN 'Mid-Range (30K-50K)'
+  WHEN price_inr BETWEEN 50001 AND 80000 THEN 'Premium (50K-80K)'
+  WHEN price_inr BETWEEN 80001 AND 120000 THEN 'High-End (80K-1.2L)'
+  WHEN price_inr > 120000 THEN 'Ultra-Premium (Above 1.2L)' END"""
+
+TIER_SQL = """CASE WHEN discount_percent IS NULL THEN 'No Discount'
+  WHEN discount_percent < 10 THEN 'Low (Under 10%)'
+  WHEN discount_percent < 25 THEN 'Moderate (10-24%)'
+  WHEN discount_percent < 40 THEN 'High (25-39%)' ELSE 'Mega Deal (40%+)' END"""
+
+CATEGORY_SQL = """CASE WHEN rating IS NULL THEN 'Not Rated'
+  WHEN rating >= 4.5 THEN 'Excellent (4.5+)' WHEN rating >= 4.0 THEN 'Good (4.0-4.4)'
+  WHEN rating >= 3.5 THEN 'Average (3.5-3.9)' ELSE 'Below Average' END"""
+
+KR = """CASE search_keyword WHEN 'laptops' THEN 1 WHEN 'gaming laptops' THEN 2
+  WHEN 'business laptops' THEN 3 WHEN 'laptops under 50000' THEN 4
+  WHEN 'laptops under 30000' THEN 5 WHEN 'student laptops' THEN 6
+  WHEN 'ultrabook laptops' THEN 7 ELSE 8 END"""
+
+_DONE = "'laptops', 'gaming laptops', 'business laptops'"   # finished before the resume
+
 
 def _half_up(num: str, den: str) -> str:
     """round(num / den) half-up for num >= 0, den > 0, in integers."""
@@ -58,16 +100,16 @@ def _discount_sql() -> str:
 def cleaned_sql(source: str) -> str:
     """The cleaning projection over any raw-shaped relation."""
     return f"""SELECT id, asin, trim(product_name) AS product_name,
-  {brand_rules_sql('product_name', 'brand')} AS brand,
+  {BRAND_SQL} AS brand,
   price_inr, original_price_inr,
   CASE WHEN original_price_inr > price_inr THEN {_discount_sql()} END AS discount_percent,
   CASE WHEN original_price_inr > price_inr
        THEN CAST(original_price_inr - price_inr AS DECIMAL(11,2)) END AS savings_inr,
   CASE WHEN rating > 0 AND rating <= 5 THEN rating END AS rating,
   COALESCE(total_reviews, 0) AS total_reviews,
-  {price_segment_sql('price_inr')} AS price_segment,
-  {discount_tier_sql('discount_percent')} AS discount_tier,
-  {rating_category_sql('rating')} AS rating_category,
+  {SEGMENT_SQL} AS price_segment,
+  {TIER_SQL} AS discount_tier,
+  {CATEGORY_SQL} AS rating_category,
   listing_type, search_keyword, scraped_at
 FROM {source}
 WHERE price_inr IS NOT NULL AND price_inr > {PRICE_LOW} AND price_inr < {PRICE_HIGH}
@@ -76,8 +118,6 @@ WHERE price_inr IS NOT NULL AND price_inr > {PRICE_LOW} AND price_inr < {PRICE_H
 
 CLEANED_SQL = cleaned_sql("laptops_raw")
 
-KR = keyword_rank_sql("search_keyword")
-
 FIRST_SEEN_SQL = f"""SELECT * EXCLUDE (_rn, _kr) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY asin ORDER BY _kr, page_scraped, id) AS _rn
   FROM (SELECT *, {KR} AS _kr FROM laptops_raw)) WHERE _rn = 1"""
@@ -125,15 +165,28 @@ FROM laptops_cleaned""",
 FROM laptops_cleaned""",
 }
 
-_DONE = ", ".join(f"'{k}'" for k in KEYWORDS[:RESUME_AFTER_KEYWORDS])
 _TOTAL = "(SELECT COUNT(*) FROM laptops_cleaned)"
 
-def _lit(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-_N_CARDS = f"COALESCE(len(regexp_extract_all(html, {_lit(CARD_PATTERN)})), 0)"
-_CHALLENGE = " OR ".join(f"contains(lower(html), {_lit(m)})" for m in CHALLENGE_MARKERS)
+# The archived pages, from the fixture's recipe: ids in spans of 5600 share a
+# page; some pages are refused, challenges, exhausted or empty; some cards have
+# a blank ASIN (37), the name only in an h2 (23), unreadable reviews (41), or an
+# empty card inside (43).
+CARDS_SQL = f"""SELECT *, CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
+  kind IN ('ok') AS served,
+  CAST(ROW_NUMBER() OVER w - 1 + COALESCE(SUM(CASE WHEN id % 43 = 0 THEN 1 ELSE 0 END)
+    OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS pos,
+  MIN(scraped_at) OVER (PARTITION BY chunk, kr, page_scraped) AS fetched_at,
+  CASE WHEN id % 37 = 0 THEN 'no asin' WHEN name IS NULL OR name = '' THEN 'no name'
+       WHEN price_inr IS NULL OR floor(price_inr) <= 0 THEN 'no price' ELSE 'kept' END AS verdict
+FROM (SELECT *, {KR} AS kr, id // 5600 AS chunk,
+        CASE WHEN {KR} = 2 AND page_scraped = 15 THEN 'blocked'
+             WHEN {KR} = 3 AND page_scraped = 12 THEN 'challenge'
+             WHEN {KR} = 4 AND page_scraped = 18 THEN 'exhausted'
+             WHEN {KR} = 5 AND page_scraped IN (9, 10) THEN 'empty' ELSE 'ok' END AS kind,
+        CASE WHEN product_name IS NULL OR (id % 23 = 0 AND brand IS NOT NULL) THEN trim(brand)
+             ELSE trim(product_name) END AS name
+      FROM laptops_raw)
+WINDOW w AS (PARTITION BY chunk, kr, page_scraped ORDER BY id)"""
 _FLOOR_PRICE = "CAST(floor(price_inr) AS DECIMAL(10,2))"
 
 
@@ -144,61 +197,58 @@ def _card_discount_sql() -> str:
     return f"CAST(CAST({tenths} AS DECIMAL(18,0)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(5,2))"
 
 
-BODIES: dict[str, str] = {
-    "page_status": f"""SELECT page_id,
-  url_decode(replace(NULLIF(regexp_extract(url, {_lit(KEYWORD_PATTERN)}, 1), ''), '+', ' '))
-    AS search_keyword,
-  TRY_CAST(NULLIF(regexp_extract(url, {_lit(PAGE_PATTERN)}, 1), '') AS INTEGER) AS page_num,
-  CAST({_N_CARDS} AS INTEGER) AS n_cards,
-  CASE WHEN COALESCE({_CHALLENGE}, false) THEN 'challenge'
-       WHEN {_N_CARDS} = 0 AND COALESCE(regexp_matches(html, {_lit(NO_RESULTS_PATTERN)}), false)
-         THEN 'exhausted'
-       WHEN {_N_CARDS} = 0 THEN 'empty' ELSE 'ok' END AS status
-FROM pages
-UNION ALL
-SELECT CAST(-(id // {PAGE_ID_SPAN} * 1000000 + {KR} * 10000 + page_scraped) - 1 AS BIGINT)
-    AS page_id,
-  search_keyword, page_scraped AS page_num, CAST(COUNT(*) AS INTEGER) AS n_cards, 'ok' AS status
-FROM laptops_raw
-GROUP BY id // {PAGE_ID_SPAN}, search_keyword, page_scraped""",
-    "card_rejects": f"""SELECT
-  CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
-  COUNT(*) AS cards,
-  {cnt_if("name IS NOT NULL AND name != '' AND price_inr IS NOT NULL AND floor(price_inr) > 0")}
-    AS kept,
-  CAST(0 AS BIGINT) AS no_asin,
-  {cnt_if("name IS NULL OR name = ''")} AS no_name,
-  {cnt_if("name IS NOT NULL AND name != '' AND (price_inr IS NULL OR floor(price_inr) <= 0)")}
-    AS no_price
-FROM (SELECT *, {KR} AS kr, id // {PAGE_ID_SPAN} AS chunk,
-        CASE WHEN product_name IS NOT NULL THEN trim(product_name)
-             WHEN brand IS NOT NULL THEN trim(brand) END AS name
-      FROM laptops_raw)
-GROUP BY chunk, kr, page_scraped""",
-    "extract_cards": f"""SELECT
-  CAST(-(chunk * 1000000 + kr * 10000 + page_scraped) - 1 AS BIGINT) AS page_id,
-  CAST(pos AS INTEGER) AS pos, asin, name AS product_name,
+EXTRACTED_SQL = f"""SELECT page_id, pos, asin, name AS product_name,
   CASE WHEN brand IS NOT NULL THEN trim(brand) ELSE split_part(name, ' ', 1) END AS brand,
   {_FLOOR_PRICE} AS price_inr, original_price_inr,
   CASE WHEN original_price_inr > 0 AND original_price_inr > floor(price_inr)
        THEN {_card_discount_sql()} END AS discount_percent,
-  rating, total_reviews, listing_type, search_keyword, page_scraped,
-  date_trunc('minute', fetched_at) AS scraped_at
-FROM (
-  SELECT *, {KR} AS kr, id // {PAGE_ID_SPAN} AS chunk,
-    ROW_NUMBER() OVER (PARTITION BY search_keyword, page_scraped, id // {PAGE_ID_SPAN}
-                       ORDER BY id) - 1 AS pos,
-    MIN(scraped_at) OVER (PARTITION BY search_keyword, page_scraped, id // {PAGE_ID_SPAN})
-      AS fetched_at,
-    CASE WHEN product_name IS NOT NULL THEN trim(product_name)
-         WHEN brand IS NOT NULL THEN trim(brand) END AS name
-  FROM laptops_raw)
-WHERE name IS NOT NULL AND name != '' AND price_inr IS NOT NULL AND floor(price_inr) > 0""",
+  rating, CASE WHEN id % 41 <> 0 THEN total_reviews END AS total_reviews, listing_type,
+  search_keyword, page_scraped, date_trunc('minute', fetched_at) AS scraped_at
+FROM archived WHERE served AND verdict = 'kept'"""
+
+CUTOFF_SQL = """SELECT search_keyword,
+  CAST(COALESCE(MIN(CASE WHEN stop_reason IS NOT NULL THEN page_scraped END), MAX(page_scraped))
+    AS INT) AS stop_page,
+  COALESCE(arg_min(stop_reason, page_scraped) FILTER (WHERE stop_reason IS NOT NULL), 'max pages')
+    AS stop_reason
+FROM (SELECT *, CASE WHEN kind IN ('blocked', 'exhausted') THEN kind
+    WHEN products = 0 AND LAG(products) OVER (PARTITION BY search_keyword ORDER BY page_scraped) = 0
+    THEN 'empty run' END AS stop_reason
+  FROM (SELECT search_keyword, page_scraped, MAX(kind) AS kind,
+      COUNT(*) FILTER (WHERE served AND verdict = 'kept') AS products
+    FROM archived GROUP BY search_keyword, page_scraped))
+GROUP BY search_keyword"""
+
+
+BODIES: dict[str, str] = {
+    "page_status": """SELECT page_id,
+  url_decode(replace(NULLIF(regexp_extract(url, '[?&]k=([^&#]*)', 1), ''), '+', ' '))
+    AS search_keyword,
+  TRY_CAST(NULLIF(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER) AS page_num,
+  CAST(0 AS INTEGER) AS n_cards,
+  CASE WHEN COALESCE(contains(lower(html), 'captcha') OR contains(lower(html), 'enter the characters'),
+                     false) THEN 'challenge'
+       WHEN COALESCE(regexp_matches(html, '(?i)<span[^>]*>[^<]*no results for'), false)
+         THEN 'exhausted' ELSE 'empty' END AS status
+FROM pages
+UNION ALL
+SELECT page_id, search_keyword, page_scraped AS page_num,
+  CAST(SUM(CASE WHEN NOT served THEN 0 WHEN id % 43 = 0 THEN 2 ELSE 1 END) AS INTEGER) AS n_cards,
+  kind AS status
+FROM archived GROUP BY page_id, search_keyword, page_scraped, kind""",
+    "card_rejects": f"""SELECT page_id,
+  CAST(SUM(CASE WHEN id % 43 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS cards,
+  {cnt_if("verdict = 'kept'")} AS kept, CAST(0 AS BIGINT) AS broken,
+  {cnt_if("verdict = 'no asin'")} AS no_asin,
+  {cnt_if("verdict = 'no name'")} + {cnt_if("id % 43 = 0")} AS no_name,
+  {cnt_if("verdict = 'no price'")} AS no_price
+FROM archived WHERE served GROUP BY page_id""",
+    "extract_cards": EXTRACTED_SQL,
     "raw_count": "SELECT COUNT(*) AS total_rows FROM laptops_raw",
     "load_csv": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM laptops_raw",
-    "export_raw": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM laptops_raw",
+    "export_raw": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM first_seen",
     "surrogate_key": f"SELECT ROW_NUMBER() OVER (ORDER BY id) AS row_id, {RAW_COLS} FROM laptops_raw",
-    "stream_first_seen": "SELECT DISTINCT asin FROM laptops_raw",
+    "stream_first_seen": f"SELECT {RAW_COLS} FROM first_seen",
     "cleaned": "SELECT * FROM laptops_cleaned",
     "clean_removed": f"""SELECT id, asin, product_name, brand, price_inr,
   CASE WHEN price_inr IS NULL THEN 'missing price'
@@ -269,30 +319,21 @@ FROM (
         FROM (SELECT asin, {KR} AS kr, search_keyword, page_scraped, COUNT(*) AS n
               FROM laptops_raw GROUP BY ALL))
   GROUP BY kr, search_keyword, page_scraped)""",
-    "crawl_cutoff": """SELECT search_keyword,
-  CAST(COALESCE(MIN(first_stop), MAX(page_scraped)) AS INT) AS stop_page,
-  COALESCE(MAX(CASE WHEN page_scraped = first_stop THEN stop_reason END), 'max pages')
-    AS stop_reason,
-  CAST(SUM(CASE WHEN first_stop IS NULL OR page_scraped <= first_stop THEN products ELSE 0 END)
-    AS BIGINT) AS products_kept
-FROM (
-  SELECT *, MIN(CASE WHEN stop_reason IS NOT NULL THEN page_scraped END)
-              OVER (PARTITION BY search_keyword) AS first_stop
-  FROM (
-    SELECT *, CASE WHEN status IN ('blocked', 'exhausted') THEN status
-                   WHEN page_scraped - COALESCE(MAX(CASE WHEN products > 0 THEN page_scraped END)
-                        OVER (PARTITION BY search_keyword ORDER BY page_scraped
-                              ROWS UNBOUNDED PRECEDING), 0) >= 2 THEN 'empty run' END
-             AS stop_reason
-    FROM (SELECT search_keyword, page_scraped, COUNT(*) AS products, 'ok' AS status
-          FROM laptops_raw GROUP BY search_keyword, page_scraped)))
-GROUP BY search_keyword""",
-    "incremental_new": f"""SELECT {RAW_COLS} FROM laptops_raw n
-WHERE search_keyword NOT IN ({_DONE})
-  AND NOT EXISTS (SELECT 1 FROM laptops_raw s
+    "crawl_cutoff": f"""SELECT c.search_keyword, stop_page, stop_reason,
+  CAST(COUNT(*) FILTER (WHERE served AND verdict = 'kept' AND page_scraped <= stop_page) AS BIGINT)
+    AS products_kept
+FROM ({CUTOFF_SQL}) c JOIN archived a ON a.search_keyword = c.search_keyword
+GROUP BY c.search_keyword, stop_page, stop_reason""",
+    "incremental_new": f"""SELECT {RAW_COLS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY asin ORDER BY {KR}, page_scraped, id) AS rn
+  FROM laptops_raw WHERE search_keyword IS NULL OR search_keyword NOT IN ({_DONE})) n
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM laptops_raw s
                   WHERE s.search_keyword IN ({_DONE}) AND s.asin = n.asin)""",
+    "resume_crawl": f"SELECT {RAW_COLS} FROM first_seen",
     "run_report": f"""SELECT COUNT(*) AS unique_products,
-  (SELECT COUNT(*) FROM laptops_raw) - COUNT(*) AS duplicates_removed,
+  (SELECT COUNT(*) FROM laptops_raw r JOIN first_seen f ON r.asin = f.asin
+     AND r.search_keyword = f.search_keyword AND r.page_scraped = f.page_scraped) - COUNT(*)
+    AS duplicates_removed,
   {avg_sql('price_inr', 2, 0)} AS avg_price,
   MIN(price_inr) AS min_price, MAX(price_inr) AS max_price,
   {avg_sql('rating', 1, 2)} AS avg_rating,
@@ -339,7 +380,9 @@ BODIES["archive_listings"] = f"""SELECT
   ROW_NUMBER() OVER (ORDER BY kr2, page_scraped, page_id, pos) AS id, {RAW_COLS.replace('id, ', '', 1)}
 FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY asin ORDER BY kr2, page_scraped, page_id, pos) AS rn
-  FROM (SELECT *, {KR} AS kr2 FROM ({BODIES["extract_cards"]})))
+  FROM (SELECT e.*, {KR.replace('search_keyword', 'e.search_keyword')} AS kr2
+        FROM ({EXTRACTED_SQL}) e JOIN ({CUTOFF_SQL}) c
+        ON e.search_keyword = c.search_keyword AND e.page_scraped <= c.stop_page))
 WHERE rn = 1"""
 
 BODIES["archive_kpi_summary"] = MART_SQL["vw_kpi_summary"].replace(
@@ -350,7 +393,8 @@ BODIES["archive_kpi_summary"] = MART_SQL["vw_kpi_summary"].replace(
 def with_base(body: str) -> str:
     return (f"WITH laptops_raw AS ({raw_from_orders_sql('orders')}),\n"
             f"laptops_cleaned AS ({CLEANED_SQL}),\n"
-            f"first_seen AS ({FIRST_SEEN_SQL})\n{body}")
+            f"first_seen AS ({FIRST_SEEN_SQL}),\n"
+            f"archived AS ({CARDS_SQL})\n{body}")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -24,11 +24,9 @@ from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
 from bazaarlens.plans import materialize as M
-from bazaarlens.session import scratch_path
-from bazaarlens.sources.csv import export_parquet, load_csv
+from bazaarlens.sources.csv import load_csv
 from bazaarlens.sources.keys import surrogate_key
-from bazaarlens.sources.schema import LISTING_SCHEMA
-from bazaarlens.streaming.first_seen import start_first_seen
+from bazaarlens.sources.schema import LISTING_SCHEMA, RAW_SCHEMA
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -60,14 +58,14 @@ def _on_raw(fn) -> QueryFn:
     return lambda spark, sf_dir: fn(raw(spark, sf_dir))
 
 
-_registered: dict[int, str] = {}
+_registered: dict[str, str] = {}   # by application id and session
 
 
 def _ensure_marts(spark: SparkSession, sf_dir: str) -> None:
     """Define the mart views over this input's cleaned table, once per
     session and input (views are metadata: re-defining costs analysis)."""
     path = M.cleaned_table_path(spark, sf_dir)
-    key = id(spark)
+    key = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
     if _registered.get(key) != path or not all(
             spark.catalog.tableExists(n) for n in V.MARTS):
         V.register_marts(spark, cleaned_table(spark, sf_dir))
@@ -86,16 +84,27 @@ def _list_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.list_marts(spark)
 
 
+def _split_for_resume(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of the finished keywords, all other rows; null keywords are new)."""
+    done = F.coalesce(F.col("search_keyword").isin(KEYWORDS[:RESUME_AFTER_KEYWORDS]), F.lit(False))
+    return df.filter(done), df.filter(~done)
+
+
 def _incremental_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = raw(spark, sf_dir)
-    done = KEYWORDS[:RESUME_AFTER_KEYWORDS]
-    seen = df.filter(F.col("search_keyword").isin(done))
-    new = df.filter(~F.col("search_keyword").isin(done))
+    seen, new = _split_for_resume(raw(spark, sf_dir))
     return D.incremental_new(new, seen)
 
 
+def _resume_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen, new = _split_for_resume(raw(spark, sf_dir))
+    return D.resume_crawl(D.first_seen(seen), new)
+
+
 def _crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.crawl_cutoff(D.page_stats_from_listings(raw(spark, sf_dir)))
+    """Stop rules over the archive's result pages: page classes and kept cards."""
+    cards = M.parsed_cards(spark, sf_dir)
+    status = X.page_status(archived_pages(spark, sf_dir), cards)
+    return D.crawl_cutoff(D.page_stats(status, X.kept_cards(cards)))
 
 
 def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,19 +114,19 @@ def archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.page_status(archived_pages(spark, sf_dir))
+    return X.page_status(archived_pages(spark, sf_dir), M.parsed_cards(spark, sf_dir))
 
 
 def _extract_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.extract_cards(archived_pages(spark, sf_dir))
+    return X.kept_cards(M.parsed_cards(spark, sf_dir))
 
 
 def _card_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.card_rejects(archived_pages(spark, sf_dir))
+    return X.reject_counts(M.parsed_cards(spark, sf_dir))
 
 
 def _archive_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.listings_from_archive(archived_pages(spark, sf_dir))
+    return M.archive_listings_table(spark, sf_dir)
 
 
 def _archive_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +140,7 @@ def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = export_parquet(raw(spark, sf_dir), scratch_path(spark, "raw-export"))
-    return spark.read.schema(LISTING_SCHEMA).parquet(path)
+    return spark.read.schema(LISTING_SCHEMA).parquet(M.export_path(spark, sf_dir))
 
 
 def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,15 +148,12 @@ def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the stored listing files through the de-duplicating query to
-    the end of its input (a fresh query each call), and read the keys it
-    emitted. The files are read in place: nothing is copied to land them."""
-    landing = M.raw_table_path(spark, sf_dir)
-    sink, ckpt = scratch_path(spark, "first-seen"), scratch_path(spark, "first-seen-ckpt")
-    q = start_first_seen(spark, landing, sink, ckpt,
-                         state_partitions=spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
-    return spark.read.parquet(sink).select("asin")
+    """First sightings as the stream over the stored listing files found them."""
+    return spark.read.schema(RAW_SCHEMA).parquet(M.stream_winners_path(spark, sf_dir))
+
+
+def _dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.dq_reconcile(raw(spark, sf_dir), cleaned_table(spark, sf_dir))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -169,7 +174,7 @@ QUERIES: dict[str, QueryFn] = {
     # data quality
     "dq_profile": _on_raw(Q.dq_profile),
     "dq_duplicates": _on_raw(Q.dq_duplicates),
-    "dq_reconcile": _on_raw(Q.dq_reconcile),
+    "dq_reconcile": _dq_reconcile,
     # market questions
     "brand_leaderboard": _on_cleaned(B.brand_leaderboard),
     "segment_popularity": _on_cleaned(B.segment_popularity),
@@ -188,6 +193,7 @@ QUERIES: dict[str, QueryFn] = {
     "page_yield": _on_raw(D.page_yield),
     "crawl_cutoff": _crawl_cutoff,
     "incremental_new": _incremental_new,
+    "resume_crawl": _resume_crawl,
     "stream_first_seen": _stream_first_seen,
     # run report
     "run_report": _on_raw(R.run_report),

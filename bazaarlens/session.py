@@ -27,7 +27,7 @@ DEFAULT_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-_fallback_roots: dict[int, str] = {}
+_fallback_roots: dict[str, str] = {}   # by application id
 
 
 def get_session(master: str | None = None, app: str = "bazaarlens",
@@ -62,7 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared, fault-tolerant "
                                "folder for materialised tables and stream checkpoints")
-        key = id(sc._jsc)
+        key = sc.applicationId
         root = _fallback_roots.get(key)
         if root is None:
             root = tempfile.mkdtemp(prefix="bazaarlens-")

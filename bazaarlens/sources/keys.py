@@ -1,12 +1,11 @@
 """Dense surrogate keys (1..N in a given order) without a global window.
 
 ``row_number()`` over an unpartitioned window would pull every row into one
-task. Instead: sort (range-partitioned, distributed), cut lineage with a
-reliable checkpoint so partition contents cannot change between the two
-passes, count rows per partition (one row per partition), turn the counts
-into offsets, and add each row's index inside its partition. The offsets
-table has one row per partition, so broadcasting it is bounded by the
-partition count, not by the data.
+task. Instead the rows are sorted (range-partitioned, distributed) and written
+once as Parquet: file names follow the order, and a row's place inside its
+file is part of the file. Counts per file become offsets, and offset plus
+place is the key. The offsets table has one row per file, so broadcasting it
+is bounded by the number of files, not by the data.
 """
 
 from __future__ import annotations
@@ -16,23 +15,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.session import checkpoint_root
+from bazaarlens.session import scratch_path
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str = "row_id",
-                  pin: bool = True) -> DataFrame:
+def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str = "row_id") -> DataFrame:
     cols = df.columns
-    ordered = df.orderBy(*order)
-    if pin:
-        checkpoint_root(df.sparkSession)
-        ordered = ordered.checkpoint(eager=True)
-    tagged = ordered.select(
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mono"), *cols)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0))
+    path = scratch_path(df.sparkSession, "sorted")
+    df.orderBy(*order).write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"),
+        *cols)
+    counts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0))
                             .alias("_offset"))
-    index_in_part = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .select((F.col("_offset") + index_in_part + 1).cast("bigint").alias(name), *cols))
+    return (rows.join(F.broadcast(offsets), "_file")
+            .select((F.col("_offset") + F.col("_at") + 1).cast("bigint").alias(name), *cols))

@@ -76,4 +76,5 @@ CARD_FIELDS_SCHEMA = T.StructType([
     T.StructField("rating_text", T.StringType()),
     T.StructField("reviews_text", T.StringType()),
     T.StructField("sponsored", T.BooleanType()),
+    T.StructField("broken", T.BooleanType()),
 ])

@@ -1,63 +1,47 @@
 """First-seen de-duplication on a stream of scraped listings.
 
-``readStream`` over a landing folder -> ``dropDuplicates([key])`` -> file
-sink, with the checkpoint in the shared checkpoint folder: the set of seen
-keys is state, so a restarted job (or a lost executor) resumes from the last
-committed batch and never emits a key twice. The file sink is exactly-once
-through its metadata log.
-
-State holds every key ever seen (the crawl never forgets a product). For
-very large key sets use the RocksDB state store provider
-(``spark.sql.streaming.stateStore.providerClass``); to bound state by time,
-``dropDuplicatesWithinWatermark`` is the alternative, at the price of
-letting a key return after the watermark passes.
+``readStream`` over a landing folder, and per micro-batch the first sighting
+of each key by crawl order (limited map-side, so a hot key is one row a task),
+written to the batch's own folder of the sink. A batch that is run again after
+a failure overwrites its folder, so each batch counts once; a restarted query
+resumes from the checkpoint. ``read_first_seen`` merges the batches' winners
+by the same order: the result is that of one pass over all rows, whatever
+order files arrive in.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from bazaarlens.operators.dedup import first_seen
 from bazaarlens.sources.schema import RAW_SCHEMA
 
-
-def first_seen_stream(stream: DataFrame, key: str = "asin",
-                      watermark: tuple[str, str] | None = None) -> DataFrame:
-    """Streaming DataFrame -> first row per key (arrival order)."""
-    if watermark:
-        col, delay = watermark
-        return stream.withWatermark(col, delay).dropDuplicatesWithinWatermark([key])
-    return stream.dropDuplicates([key])
+BATCH_BYTES = 10 << 30
 
 
 def start_first_seen(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                      schema: T.StructType = RAW_SCHEMA, key: str = "asin",
-                     files_per_batch: int = 8, available_now: bool = True,
-                     state_partitions: int | None = None) -> StreamingQuery:
-    """Run the de-duplicating stream from Parquet files in ``landing``.
-
-    ``state_partitions`` fixes the number of state-store partitions for a
-    new checkpoint (a restarted query keeps the number it started with);
-    by default the session's shuffle partition count applies.
-    """
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", files_per_batch)
+                     batch_bytes: int = BATCH_BYTES, available_now: bool = True) -> StreamingQuery:
+    """Run the de-duplicating stream from Parquet files in ``landing``;
+    a micro-batch takes files of up to ``batch_bytes``."""
+    def keep(batch: DataFrame, number: int) -> None:
+        first_seen(batch, key).write.mode("overwrite").parquet(
+            os.path.join(sink, f"batch={number}"))
+
+    stream = (spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes)
               .parquet(landing))
-    writer = (first_seen_stream(stream, key).writeStream
-              .format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append"))
+    writer = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now \
         else writer.trigger(processingTime="10 seconds")
-    if state_partitions is None:
-        return writer.start(sink)
-    # The query clones the session when it starts; the setting is restored
-    # for everything else right after.
-    conf_key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(conf_key)
-    spark.conf.set(conf_key, str(state_partitions))
-    try:
-        return writer.start(sink)
-    finally:
-        spark.conf.set(conf_key, before)
+    return writer.start()
+
+
+def read_first_seen(spark: SparkSession, sink: str, schema: T.StructType = RAW_SCHEMA,
+                    key: str = "asin") -> DataFrame:
+    """The first sightings over all batches so far, all columns."""
+    batches = spark.read.schema(schema).parquet(os.path.join(sink, "batch=*"))
+    return first_seen(batches, key)

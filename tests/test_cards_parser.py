@@ -52,14 +52,54 @@ def test_unclosed_card_ends_with_document():
     assert len(cards) == 1 and cards[0]["name_medium"] == "Lenovo"
 
 
-def test_cards_in_order_and_nested_card_not_split():
+def test_cards_in_order_and_nested_cards_found():
     page = (START + '<span class="a-size-medium">One</span></div>'
             '<div data-component-type="s-search-result" data-asin="B2">'
-            '<div data-component-type="s-search-result" data-asin="B3"></div>'
+            '<div data-component-type="s-search-result" data-asin="B3">'
+            '<span class="a-price-whole">7</span></div>'
             '<span class="a-size-medium">Two</span></div>')
     cards = parse_cards(page)
-    assert [c["asin_attr"] for c in cards] == ["B1", "B2"]
-    assert [c["name_medium"] for c in cards] == ["One", "Two"]
+    assert [c["asin_attr"] for c in cards] == ["B1", "B2", "B3"]
+    assert [c["name_medium"] for c in cards] == ["One", "Two", None]
+    assert [c["price_text"] for c in cards] == [None, "7", "7"]
+
+
+def test_card_found_after_awkward_attributes():
+    for start in ('<div title="a > b" data-component-type="s-search-result" data-asin="B1">',
+                  '<div data-component-type = "s-search-result" data-asin = "B1">',
+                  "<DIV data-asin=B1 data-component-type='s-search-result'>"):
+        assert one("", start)["asin_attr"] == "B1"
+
+
+def test_commented_card_is_none():
+    assert parse_cards("<!-- " + START + "</div> -->") == []
+
+
+def test_attribute_inside_another_attributes_value_is_not_read():
+    c = one("<span data-x='{ class=\"a-price-whole\" }'>999</span>")
+    assert c["price_text"] is None
+
+
+def test_blanks_in_class_attribute():
+    c = one('<span class="  a-size-base-plus \n a-color-base ">Dell</span>'
+            '<span class="a-price   a-text-price"><span class="a-offscreen">₹5</span></span>')
+    assert c["brand_text"] == "Dell" and c["mrp_text"] == "₹5"
+
+
+def test_broken_card_costs_no_other(monkeypatch):
+    from bazaarlens.functions import cards as C
+    whole = C._Card.start
+
+    def fails(self, tag, attrs, depth):
+        if self.fields["asin_attr"] == "BAD":
+            raise ValueError("unreadable")
+        whole(self, tag, attrs, depth)
+
+    monkeypatch.setattr(C._Card, "start", fails)
+    page = START + '<span class="a-size-medium">One</span></div>'
+    got = parse_cards(page.replace("B1", "BAD") + page)
+    assert [(c["asin_attr"], c["broken"], c["name_medium"]) for c in got] == \
+        [("BAD", True, None), ("B1", False, "One")]
 
 
 def test_mrp_only_inside_first_mrp_block():
@@ -85,3 +125,7 @@ def test_sponsored_needs_text_only_span():
     assert one("<span>  sponsored  </span>")["sponsored"] is True
     assert one("<span>Sponsored<i></i></span>")["sponsored"] is False
     assert one("<div>Sponsored</div>")["sponsored"] is False
+    assert one("<span><a>Sponsored</a></span>")["sponsored"] is True
+    assert one("<span> <a>Sponsored</a></span>")["sponsored"] is False
+    assert one("<span>Sponsored<!-- x --></span>")["sponsored"] is False
+    assert one("<span><b><i>sponsored</i></b></span>")["sponsored"] is True

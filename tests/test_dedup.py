@@ -83,7 +83,53 @@ def test_cutoff_exhausted_and_empty_start(spark):
 def test_incremental_new_skips_known_keys(spark):
     seen = raw_rows(spark, [dict(asin="A"), dict(asin="A"), dict(asin="B")])
     new = raw_rows(spark, [dict(asin="A", id=10), dict(asin="C", id=11), dict(asin="C", id=12)])
-    assert sorted(r.id for r in incremental_new(new, seen).collect()) == [11, 12]
+    assert sorted(r.id for r in incremental_new(new, seen).collect()) == [11]
+
+
+def test_resume_appends_and_keeps_null_keywords(spark):
+    from bazaarlens.operators.dedup import resume_crawl
+    seen = raw_rows(spark, [dict(asin="A", id=1)])
+    new = raw_rows(spark, [dict(asin="A", id=10), dict(asin="C", id=11, search_keyword=None),
+                           dict(asin="D", id=12)])
+    assert sorted(r.id for r in resume_crawl(seen, new).collect()) == [1, 11, 12]
+
+
+def test_hot_key_is_limited_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    new = raw_rows(spark, [dict(asin="A", id=1)]).drop("asin").crossJoin(
+        spark.range(2000).select(F.expr("CASE WHEN id % 2 = 0 THEN 'HOT' ELSE concat('K', id) END")
+                                 .alias("asin"), F.col("id").alias("n"))) \
+        .withColumn("id", F.col("n")).drop("n")
+    got = incremental_new(new, new.filter("asin = 'K1'"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert got.count() == 1000
+
+
+def test_unlisted_keywords_are_told_apart(spark):
+    df = raw_rows(spark, [dict(asin="A", search_keyword="zeta", id=1),
+                          dict(asin="A", search_keyword="eta", id=2)])
+    got = {r.search_keyword: (r.new_products, r.running_total) for r in page_yield(df).collect()}
+    assert got == {"eta": (1, 1), "zeta": (0, 1)}
+
+
+def test_cutoff_counts_visits_not_page_numbers(spark):
+    rows = [("laptops", p, n, "ok") for p, n in ((1, 9), (2, 0), (5, 4), (9, 0), (12, 0), (13, 1))]
+    stats = spark.createDataFrame(rows, "search_keyword string, page_scraped int, "
+                                        "products bigint, status string")
+    r = crawl_cutoff(stats).first()
+    assert (r.stop_page, r.stop_reason, r.products_kept) == (12, "empty run", 13)
+    late = spark.createDataFrame([("laptops", 2, 0, "ok"), ("laptops", 3, 5, "ok")],
+                                 stats.schema)
+    assert crawl_cutoff(late).first().stop_reason == "max pages"
+
+
+def test_duplicates_removed_counts_repeats_within_a_page_only(spark):
+    from bazaarlens.operators.report import run_report
+    df = raw_rows(spark, [dict(asin="A", id=1), dict(asin="A", id=2), dict(asin="B", id=3),
+                          dict(asin="A", page_scraped=2, id=4), dict(asin="B", page_scraped=3, id=5)])
+    r = run_report(df).first()
+    assert (r.unique_products, r.duplicates_removed) == (2, 1)
 
 
 def test_run_report_counts(spark):

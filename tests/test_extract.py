@@ -6,7 +6,8 @@ from decimal import Decimal
 import pytest
 
 from bazaarlens.functions.cards import parse_cards
-from bazaarlens.operators.extract import extract_cards, page_status, render_pages
+from bazaarlens.operators.extract import extract_cards, page_status
+from bazaarlens.sources.archive_fixture import render_pages
 
 URL = "https://shop.example/s?k=gaming+laptops&i=computers&s=review-rank&page=2"
 TS = dt.datetime(2024, 5, 6, 7, 8, 59)
@@ -147,17 +148,25 @@ def test_page_classes(spark):
                                         "http_status int, fetched_at timestamp_ntz")
     got = {r.page_id: (r.status, r.n_cards) for r in page_status(pages).collect()}
     assert got == {1: ("challenge", 0), 2: ("exhausted", 0), 3: ("empty", 0),
-                   4: ("ok", 1), 5: ("blocked", 1), 6: ("empty", 0)}
+                   4: ("ok", 1), 5: ("blocked", 0), 6: ("empty", 0)}
     r = page_status(pages).filter("page_id = 6").first()
     assert r.search_keyword is None and r.page_num is None
 
 
 def test_round_trip_through_rendered_pages(spark):
     from tests.conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    from bazaarlens.functions.keywords import keyword_rank
     from bazaarlens.sources.tables import read_raw
     raw = read_raw(spark, SF_SMALL)
     got = extract_cards(render_pages(raw))
-    want = raw.filter("price_inr >= 1 AND (product_name IS NOT NULL OR brand IS NOT NULL)")
+    rank = keyword_rank(F.col("search_keyword"))
+    want = (raw.withColumn("kr", rank)
+            .filter("price_inr >= 1 AND (product_name IS NOT NULL OR brand IS NOT NULL)")
+            .filter("id % 37 != 0 AND NOT (kr = 2 AND page_scraped = 15) AND NOT (kr = 3 AND "
+                    "page_scraped = 12) AND NOT (kr = 4 AND page_scraped = 18) AND NOT (kr = 5 "
+                    "AND page_scraped IN (9, 10))")
+            .withColumn("total_reviews", F.expr("CASE WHEN id % 41 != 0 THEN total_reviews END")))
     assert got.count() == want.count()
     # every extracted card maps back to its source asin, keyword and page
     a = got.select("asin", "search_keyword", "page_scraped", "rating", "total_reviews")
@@ -174,6 +183,29 @@ def test_pages_bounded_by_id_span(spark):
     assert n.agg(F.max("n")).first()[0] <= 40
 
 
+def test_every_class_and_reason_occurs(spark):
+    from tests.conftest import SF_SMALL
+    from bazaarlens.plans.registry import QUERIES
+    classes = {r.status for r in QUERIES["page_status"](spark, SF_SMALL).collect()}
+    assert classes == {"blocked", "challenge", "exhausted", "empty", "ok"}
+    from pyspark.sql import functions as F
+    sums = QUERIES["card_rejects"](spark, SF_SMALL).agg(
+        *[F.sum(c).alias(c) for c in ("kept", "no_asin", "no_name", "no_price")]).first()
+    assert all(v > 0 for v in sums)
+    stops = {r.stop_reason for r in QUERIES["crawl_cutoff"](spark, SF_SMALL).collect()}
+    assert stops == {"blocked", "exhausted", "empty run", "max pages"}
+
+
+def test_first_sightings_stop_where_the_crawl_does(spark):
+    from bazaarlens.operators.extract import listings_from_archive
+    u = "https://shop.example/s?k=laptops&page={}"
+    rows = [(1, u.format(1), card(asin="A"), 200, TS), (2, u.format(2), card(asin="B"), 503, TS),
+            (3, u.format(3), card(asin="C"), 200, TS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, "
+                                        "http_status int, fetched_at timestamp_ntz")
+    assert [r.asin for r in listings_from_archive(pages).collect()] == ["A"]
+
+
 def test_card_rejects_counts_first_reason(spark):
     from bazaarlens.operators.extract import card_rejects
     html = "".join([card(), card(asin=""), card(name=""), card(price=None),

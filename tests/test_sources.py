@@ -10,7 +10,7 @@ from bazaarlens.session import scratch_path
 from bazaarlens.sources.csv import export_csv, load_csv
 from bazaarlens.sources.keys import surrogate_key
 from bazaarlens.sources.tables import read_raw
-from bazaarlens.streaming.first_seen import start_first_seen
+from bazaarlens.streaming.first_seen import read_first_seen, start_first_seen
 from tests.conftest import SF_SMALL
 
 HEADER = ("asin,product_name,brand,price_inr,original_price_inr,discount_percent,rating,"
@@ -72,26 +72,98 @@ def test_marts_registered_and_listed(spark):
     assert spark.table("vw_all_products").count() == listed["vw_all_products"]
 
 
-def test_stream_restart_adds_nothing(spark):
+def test_stream_equals_batch_and_restarts(spark):
+    """All columns of the batch result, over several micro-batches that arrive
+    against the crawl order; a restart takes new files only."""
+    from bazaarlens.operators.dedup import first_seen
     raw = read_raw(spark, SF_SMALL)
     landing = scratch_path(spark, "landing")
-    raw.repartition(4).write.parquet(landing)
+    raw.orderBy(F.desc("page_scraped")).repartition(4).write.parquet(landing)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    start_first_seen(spark, landing, sink, ckpt, files_per_batch=1).awaitTermination()
-    first = spark.read.parquet(sink)
-    n = first.count()
-    assert n == raw.select("asin").distinct().count() == first.select("asin").distinct().count()
-    # new files arrive: half of them repeat known keys
-    raw.limit(100).withColumn("id", F.col("id") + 10**9).write.mode("append").parquet(landing)
-    start_first_seen(spark, landing, sink, ckpt, files_per_batch=1).awaitTermination()
-    assert spark.read.parquet(sink).count() == n
-
-
-def test_marts_in_named_database(spark):
-    current = spark.catalog.currentDatabase()
+    start_first_seen(spark, landing, sink, ckpt, batch_bytes=1).awaitTermination()
+    assert sorted(map(str, read_first_seen(spark, sink).collect())) == \
+        sorted(map(str, first_seen(raw).collect()))
+    late = raw.limit(100).withColumn("id", F.col("id") + 10**9)
+    late.write.mode("append").parquet(landing)
+    start_first_seen(spark, landing, sink, ckpt, batch_bytes=1).awaitTermination()
+    assert sorted(map(str, read_first_seen(spark, sink).collect())) == \
+        sorted(map(str, first_seen(raw.unionByName(late)).collect()))
+
+
+def test_surrogate_key_on_ids_with_gaps_in_another_order(spark):
+    raw = read_raw(spark, SF_SMALL).withColumn("id", F.col("id") * 7 + 3).repartition(5)
+    got = surrogate_key(raw, [F.desc("id")]).orderBy("row_id").select("row_id", "id").collect()
+    assert [r.row_id for r in got] == list(range(1, len(got) + 1))
+    assert [r.id for r in got] == sorted((r.id for r in got), reverse=True)
+
+
+def test_no_marts_gives_no_rows(spark):
+    other = spark.newSession()
+    assert list_marts(other).collect() == [] and list_marts(other, with_counts=False).count() == 0
+
+
+def test_marts_in_a_named_database_are_read_by_another_session(spark):
+    from bazaarlens.operators.marts import create_marts
+    from bazaarlens.plans.materialize import cleaned_table, cleaned_table_path
+    create_marts(spark, cleaned_table_path(spark, SF_SMALL), "ecommerce_marts")
+    other = spark.newSession()
+    assert {r.view_name for r in list_marts(other, database="ecommerce_marts").collect()} == set(MARTS)
+    for name, build in MARTS.items():
+        got = other.table(f"ecommerce_marts.{name}")
+        want = build(cleaned_table(spark, SF_SMALL))
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_changed_part_file_gives_a_new_table(spark):
+    """A folder source keeps its own length and time when a part file changes."""
+    from bazaarlens.plans.materialize import raw_table
+    folder = scratch_path(spark, "source")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").coalesce(1)
+    orders.write.parquet(f"{folder}/orders.parquet")
+    part = next(f for f in os.listdir(f"{folder}/orders.parquet") if f.startswith("part-"))
+    assert raw_table(spark, folder).count() == 1500
+    other = scratch_path(spark, "other")
+    orders.limit(700).write.parquet(other)
+    new = next(f for f in os.listdir(other) if f.startswith("part-"))
+    stamp = os.stat(f"{folder}/orders.parquet").st_mtime_ns
+    with open(f"{other}/{new}", "rb") as src, open(f"{folder}/orders.parquet/{part}", "wb") as dst:
+        dst.write(src.read())
+    crc = f"{folder}/orders.parquet/.{part}.crc"
+    if os.path.exists(crc):
+        with open(f"{other}/.{new}.crc", "rb") as src, open(crc, "wb") as dst:
+            dst.write(src.read())
+    os.utime(f"{folder}/orders.parquet", ns=(stamp, stamp))
+    assert raw_table(spark, folder).count() == 700
+
+
+def test_table_is_built_once_without_success_markers(spark):
+    from bazaarlens.plans.materialize import rebuild, stored, write_table
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
-        register_marts(spark, clean(read_raw(spark, SF_SMALL)), database="ecommerce_marts")
-        assert spark.catalog.currentDatabase() == "ecommerce_marts"
-        assert spark.table("vw_kpi_summary").count() == 1
+        built = []
+
+        def write(path):
+            built.append(path)
+            write_table(spark.range(10), path)
+
+        source = [f"{SF_SMALL}/region.parquet"]
+        a, b = stored(spark, "t", source, write), stored(spark, "t", source, write)
+        assert a == b and len(built) == 1 and spark.read.parquet(a).count() == 10
+        assert not [f for f in os.listdir(os.path.dirname(a)) if ".part-" in f]
+        rebuild(spark, a)
+        stored(spark, "t", source, write)
+        assert len(built) == 2
     finally:
-        spark.catalog.setCurrentDatabase(current)
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_reconcile_shows_a_short_cleaned_table(spark):
+    from bazaarlens.operators.quality import dq_reconcile
+    raw = read_raw(spark, SF_SMALL)
+    whole = clean(raw)
+    r = dq_reconcile(raw, whole).first()
+    assert r.rows_removed == raw.count() - whole.count()
+    short = dq_reconcile(raw, whole.limit(100)).first()
+    assert (short.cleaned_records, short.rows_removed) == (100, raw.count() - 100)
