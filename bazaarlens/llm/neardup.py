@@ -42,7 +42,7 @@ from bazaarlens.llm.components import UnionFind, components
 BANDS, ROWS = 30, 5
 SHINGLE = 2
 SIMILARITY = (80, 100)     # intersection * 100 >= union * 80
-PORTION = 2_000            # members that one unit of comparison streams
+PORTION = 500              # members that one unit of comparison streams
 BLOCK = 500                # documents that one unit holds in memory
 MAX_WORDS = 200_000
 
