@@ -16,7 +16,7 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from bazaarlens.plans.registry import QUERIES  # noqa: E402
 from bazaarlens.session import get_session  # noqa: E402
 
 
@@ -56,7 +56,7 @@ def main():
     parts = ["# PLANS", "",
              f"Physical plans of every registered key (`scripts/explain_plans.py`, {sf_dir}, "
              "before adaptive re-planning). Generated; do not edit.", ""]
-    for k, fn in queries().items():
+    for k, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         parts += [f"## {k}", "", "```"] + summarise(plan_text(df)) + ["```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
