@@ -11,9 +11,9 @@ more: at least 1/8 (a template of one shingle in a window of 8), so all
 Retrieved templates are verified by exact containment of their shingles, as
 words, in the window.
 
-Windows are only made for documents that hold one of the ``MARKERS``: more than
-0.2 of every template's shingles hold one (checked when templates are signed),
-so no match is without one and that step loses nothing. Templates are a fixed list: their
+Windows are only made where one of the ``MARKERS`` stands: more than 0.2 of
+every template's shingles hold one (checked when templates are signed), so no
+match is without one and that step loses nothing. Templates are a fixed list: their
 signatures are the only table that is broadcast.
 
 Null and empty texts match nothing; every row is a document of its own.
@@ -102,11 +102,19 @@ def signature(digests: Column) -> Column:
     return F.array(*[least(_mask(j)) for j in range(HASHES)])
 
 
-def window_starts(n: Column, size: int) -> Column:
-    """Array of (size, at): windows of ``size`` over ``n`` shingles, half overlapping."""
-    last = F.greatest(n - 1, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last, F.lit(size // 2)),
-                       lambda at: F.struct(F.lit(size).alias("size"), at.alias("at")))
+def window_starts(places: Column, size: int) -> Column:
+    """Array of (size, at): the windows of ``size`` shingles, half overlapping,
+    that hold a shingle with a marker; ``places`` are the markers' words. The
+    word at p is in the shingles p - 4 to p, and a shingle i in the windows
+    that start at i's half and at the half before."""
+    half = size // 2
+
+    def around(p):
+        first = F.greatest(F.floor((p - (SHINGLE - 1)) / half) - 1, F.lit(0))
+        return F.sequence(first.cast("int"), F.floor(p / half).cast("int"))
+
+    return F.transform(F.array_distinct(F.flatten(F.transform(places, around))),
+                       lambda k: F.struct(F.lit(size).alias("size"), (k * half).alias("at")))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -139,17 +147,19 @@ def scan(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     enough = F.size("w") >= SHINGLE
     following = [F.slice(F.col("w"), k + 1, F.greatest(F.size("w") - SHINGLE + 1, F.lit(0)))
                  .alias(f"w{k}") for k in range(SHINGLE)]
-    shingled = words.select("row", "doc_id", F.when(enough, F.transform(
+    places = F.filter(F.transform("w", lambda x, i: F.when(x.isin(*MARKERS), i)),
+                      lambda i: i.isNotNull())
+    shingled = words.select("row", "doc_id", places.alias("places"), F.when(enough, F.transform(
         F.arrays_zip(*following), lambda z: F.concat_ws(" ", *[z[f"w{k}"] for k in range(SHINGLE)])))
         .alias("s"))
     known = templates(spark)
     sizes = sorted({size_class(len(template_shingles(t))) for t in TEMPLATES.values()})
-    starts = F.flatten(F.array(*[window_starts(F.size("s"), n) for n in sizes]))
+    starts = F.flatten(F.array(*[window_starts(F.col("places"), n) for n in sizes]))
     # explode twice: the shingles are computed once per document, not per window
     held = shingled.filter(F.col("s").isNotNull()).select("row", "s", starts.alias("starts"))
     cut = held.select("row", "s", F.explode("starts").alias("g")).select(
         "row", "g.size", F.slice("s", F.col("g.at") + 1, F.col("g.size")).alias("window"))
-    signed = cut.withColumn("digests", F.transform("window", lambda x: F.xxhash64(x)))
+    signed = cut.filter(F.size("window") > 0).withColumn("digests", F.transform("window", lambda x: F.xxhash64(x)))
     bands = signed.select("row", "size", "window", F.posexplode(signature(F.col("digests")))
                           .alias("band", "value"))
     found = (bands.join(F.broadcast(known), ["size", "band", "value"])
