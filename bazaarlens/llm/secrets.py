@@ -27,6 +27,8 @@ Null text is empty; every row is a document of its own, repeated ids included.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,9 @@ ENDPOINT = (r"(https?|postgres|postgresql|mysql|mongodb|redis|amqp|jdbc:[a-z]+):
             r"[A-Za-z0-9.:@_-]+")
 REACH = 200
 
+# What every match of a kind holds: a cheap test before the pattern is tried.
+HOLDS = {"assign": (":", "="), "access": ("AKIA",), "login": (":", "="), "endpoint": ("://",)}
+
 # kind -> (pattern, least code points or None, order, role, strong)
 KINDS = {
     "assign": (ASSIGN, None, 0, "S", True),
@@ -77,7 +82,10 @@ def _parts(kind: str, text: Column) -> Column:
         F.char_length(z["m"]).alias("size"), F.coalesce(good(z["m"]), F.lit(False)).alias("good"),
         z["m"].isNotNull().alias("real")))
     none = F.filter(part, lambda x: F.lit(False))
-    return F.when(text.rlike(pattern), F.filter(part, lambda x: x["real"])).otherwise(none)
+    may = F.lit(True)
+    if kind in HOLDS:
+        may = functools.reduce(Column.__or__, [F.contains(text, F.lit(x)) for x in HOLDS[kind]])
+    return F.when(may & text.rlike(pattern), F.filter(part, lambda x: x["real"])).otherwise(none)
 
 
 def find_parts(docs: DataFrame, text: str = "text") -> DataFrame:
