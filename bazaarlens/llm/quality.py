@@ -3,13 +3,14 @@
 ``features`` measures every whole text. ``learn_cutoffs`` picks, per stratum
 (language) and rule, a cutoff from labelled holdouts: a cutoff is certified
 when the exact binomial test rejects "the rule discards more than ``alpha``
-of the good documents of this stratum" at level ``delta`` divided by the
-number of tests (Bonferroni over strata, rules and grid points), and
-``alpha`` itself is split over the rules, so that all rules together discard
+of the good documents of this stratum" at level ``delta`` divided by strata and
+rules (Bonferroni); along the grid the cutoffs are tested from the loosest on
+and the first that is not certified ends the sequence, which needs no further
+division. ``alpha`` itself is split over the rules, so that all rules together discard
 at most ``alpha_total`` of a stratum's good documents with confidence
 ``1 - delta``. Among certified cutoffs the one with the best
-``bad rejected - cost * good rejected`` is used; a rule that gains nothing in
-a stratum is off there. A stratum with too few good labels certifies nothing
+``bad rejected - cost * good rejected`` is used; a rule that gains less than
+``LEAST_GAIN`` in a stratum is off there. A stratum with too few good labels certifies nothing
 and only the base rule applies.
 
 Null text has no words (base rule fails it); null and empty languages are one
@@ -33,6 +34,8 @@ from bazaarlens.llm.common import arrow_map, guarded, ship, store
 SYMBOLS = b"#*$%&|<>"
 WS = b" \t\n\x0b\x0c\r"
 
+LEAST_GAIN = 5   # a rule that gains less than this many bad documents is not used
+
 # rule -> (numerator, denominator, width of a grid step); a document's grid
 # index is floor(ratio / step), at most GRID
 RULES = {
@@ -129,18 +132,18 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, alpha: float, level: float,
     n = int(good.sum())
     rejected_good = n - np.cumsum(good)
     rejected_bad = int(bad.sum()) - np.cumsum(bad)
-    best, best_gain = None, 0.0
+    best, best_gain = None, LEAST_GAIN - 1.0
     for c in range(len(good) - 1, -1, -1):
         k = int(rejected_good[c])
         if n == 0 or k > alpha * n or binomial_cdf(k, n, alpha) > level:
-            break  # rejections only grow as c falls
+            break  # the sequence of tests ends here
         gain = float(rejected_bad[c]) - cost * k
         if gain > best_gain:
             best, best_gain = c, gain
     return best
 
 
-def learn_cutoffs(measured: DataFrame, labels: DataFrame, alpha_total: float = 0.01,
+def learn_cutoffs(measured: DataFrame, labels: DataFrame, alpha_total: float = 0.02,
                   delta: float = 0.05, cost: float = 20.0) -> DataFrame:
     """(stratum, rule, cutoff, good, good_rejected, bad, bad_rejected).
 
@@ -164,7 +167,7 @@ def learn_cutoffs(measured: DataFrame, labels: DataFrame, alpha_total: float = 0
     alpha = alpha_total / len(RULES)
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        level = delta / (float(pdf["n_strata"].iloc[0]) * len(RULES) * (GRID + 1))
+        level = delta / (float(pdf["n_strata"].iloc[0]) * len(RULES))
         good, bad = np.zeros(GRID + 1, np.int64), np.zeros(GRID + 1, np.int64)
         good[pdf["idx"]], bad[pdf["idx"]] = pdf["good"], pdf["bad"]
         c = choose_cutoff(good, bad, alpha, level, cost)

@@ -82,7 +82,7 @@ def test_cutoff_is_certified_and_useful():
 
 
 def test_false_rejection_is_limited(spark):
-    """On fresh documents of the same kind at most alpha of the good go."""
+    """On fresh documents of the same kind at most alpha_total of the good go."""
     rnd = random.Random(9)
 
     def text(good):
@@ -98,5 +98,5 @@ def test_false_rejection_is_limited(spark):
     kept = {r.doc_id for r in Q.quality_filter(spark, docs.withColumnRenamed("n_chars", "n_words"),
                                                labels).collect()}
     fresh = range(7000, 8000)
-    assert sum(i not in kept for i in fresh if i % 5) <= 0.01 * 800
+    assert sum(i not in kept for i in fresh if i % 5) <= 0.02 * 800
     assert sum(i in kept for i in fresh if i % 5 == 0) <= 0.05 * 200
