@@ -222,7 +222,8 @@ def kept_cards(cards: DataFrame) -> DataFrame:
 
 
 def listings_from_cards(cards: DataFrame, status: DataFrame,
-                        keywords: Sequence[str] = KEYWORDS) -> DataFrame:
+                        keywords: Sequence[str] = KEYWORDS,
+                        sorted_path: str | None = None) -> DataFrame:
     """The crawl's own output as a raw listing table (RAW_SCHEMA).
 
     ``cards``: parsed cards, ``status``: page classes. Each keyword's pages up
@@ -238,7 +239,7 @@ def listings_from_cards(cards: DataFrame, status: DataFrame,
     reached = within_cutoff(kept, crawl_cutoff(page_stats(status, kept))).withColumn(
         "keyword_rank", keyword_rank(F.col("search_keyword"), keywords))
     unique = first_seen(reached, order=CARD_ORDER, keywords=keywords)
-    keyed = surrogate_key(unique, list(CARD_ORDER), name="id")
+    keyed = surrogate_key(unique, list(CARD_ORDER), name="id", sorted_path=sorted_path)
     return keyed.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
 
 

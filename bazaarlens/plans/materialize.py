@@ -215,7 +215,21 @@ def archive_listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(folder: str) -> None:
         cards = parsed_cards(spark, sf_dir)
         status = page_status(page_archive(spark, sf_dir), cards)
-        write_table(listings_from_cards(cards, status), folder)
+        write_table(listings_from_cards(cards, status, sorted_path=f"{folder}.sorted"), folder)
+        _delete(spark, f"{folder}.sorted")
 
     path = stored(spark, "archive_listings", _archive_sources(sf_dir), write)
     return spark.read.schema(RAW_SCHEMA).parquet(path)
+
+
+def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``laptops_raw`` with a dense key in id order, stored once."""
+    from bazaarlens.sources.keys import surrogate_key
+
+    def write(folder: str) -> None:
+        write_table(surrogate_key(raw_table(spark, sf_dir), ["id"],
+                                  sorted_path=f"{folder}.sorted"), folder)
+        _delete(spark, f"{folder}.sorted")
+
+    path = stored(spark, "laptops_keyed", [table_path(sf_dir, "orders")], write)
+    return spark.read.parquet(path)

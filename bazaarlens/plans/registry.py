@@ -25,7 +25,6 @@ from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
 from bazaarlens.plans import materialize as M
 from bazaarlens.sources.csv import load_csv
-from bazaarlens.sources.keys import surrogate_key
 from bazaarlens.sources.schema import LISTING_SCHEMA, RAW_SCHEMA
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -144,7 +143,7 @@ def _export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogate_key(raw(spark, sf_dir), ["id"])
+    return M.keyed_table(spark, sf_dir)
 
 
 def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from bazaarlens.session import scratch_path
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str = "row_id") -> DataFrame:
+def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str = "row_id",
+                  sorted_path: str | None = None) -> DataFrame:
+    """``sorted_path``: folder for the sorted copy, for callers that store the
+    result and delete the copy; a new scratch folder by default."""
     cols = df.columns
-    path = scratch_path(df.sparkSession, "sorted")
+    path = sorted_path or scratch_path(df.sparkSession, "sorted")
     df.orderBy(*order).write.parquet(path)
     rows = df.sparkSession.read.schema(df.schema).parquet(path).select(
         F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"),
