@@ -27,7 +27,8 @@ sample is bounded by ``MAX_TOXIC`` and ``MAX_CLEAN`` documents of up to
 ``MAX_CHARS`` code points, drawn by digest of the id.
 
 Null and empty texts have the decision value 0 of a text without
-subsequences. Null and repeated ids are allowed (a null id is not held out
+subsequences. Null and repeated ids are allowed; of an id's rows one text is
+learned from (a null id is not held out
 and carries no label); conflicting labels of an id count as toxic. Without
 both classes in the sample every score is the share of toxic labels (0.0
 without labels).
@@ -349,12 +350,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame):
     """Model (weights, curve) from the bounded sample, trained in one task."""
     truth = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~held_out()))
-    rows = (docs.select("doc_id", "text").join(truth, "doc_id")
-            .filter((F.col("text") != "") & (F.char_length("text") <= MAX_CHARS)))
-    order = [F.md5(F.col("doc_id").cast("string")), F.col("text")]
-    toxic = rows.filter("toxic >= 1").orderBy(*order).limit(MAX_TOXIC)
-    clean = rows.filter("toxic < 1").orderBy(*order).limit(MAX_CLEAN)
-    sample = store(toxic.unionByName(clean), "toxic-sample")
+    fits = (F.col("text") != "") & (F.char_length("text") <= MAX_CHARS)
+    # ids and labels travel, texts do not: the chosen ids, bounded by the
+    # constants above, go to the texts
+    known = (docs.filter(fits).select("doc_id").join(truth, "doc_id").distinct())
+    order = F.md5(F.col("doc_id").cast("string"))
+    chosen = store(known.filter("toxic >= 1").orderBy(order).limit(MAX_TOXIC).unionByName(
+        known.filter("toxic < 1").orderBy(order).limit(MAX_CLEAN)), "toxic-ids")
+    sample = store(docs.filter(fits).select("doc_id", "text")
+                   .join(F.broadcast(chosen), "doc_id")
+                   .groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+                   .select("doc_id", "text", "toxic"), "toxic-sample")
     schema = pa.schema([("number", pa.int64()), ("weight", pa.float64())])
 
     def run(batches):
