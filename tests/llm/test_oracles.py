@@ -120,3 +120,9 @@ def test_segments_change_nothing(spark, monkeypatch):
     cut = C.format_conversations(spark, turns)
     assert cut.count() > 5
     assert C.read_back(spark, cut).collect() == whole
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scan", "op6_license_scan"])
+def test_native_queries_run_no_python(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
