@@ -23,7 +23,9 @@ So every pair that shares a bucket is compared or already connected. A
 pivot's or block's members are dealt in salted portions of bounded size.
 
 Texts without words, and null texts, have an empty set and link with nothing;
-one word is a set of that word; repeated rows are copies of one another.
+one word is a set of that word; repeated rows are copies of one another. Ids
+name texts: rows that share an id but not the text are one vertex, compared by
+the text whose digest comes first.
 """
 
 from __future__ import annotations
