@@ -98,5 +98,23 @@ def test_false_rejection_is_limited(spark):
     kept = {r.doc_id for r in Q.quality_filter(spark, docs.withColumnRenamed("n_chars", "n_words"),
                                                labels).collect()}
     fresh = range(7000, 8000)
-    assert sum(i not in kept for i in fresh if i % 5) <= 0.02 * 800
+    assert sum(i not in kept for i in fresh if i % 5) <= 0.01 * 800
     assert sum(i in kept for i in fresh if i % 5 == 0) <= 0.05 * 200
+
+
+def test_all_rules_together_lose_at_most_one_percent(spark):
+    """Four rules that each lose a few good documents: the sum is limited, not each."""
+    plain_row, rows = (100, 400, 0, 0, 0, 10), []
+    odd = [(100, 400, 280, 0, 0, 10), (100, 400, 0, 7, 0, 10), (100, 400, 0, 0, 45, 10),
+           (100, 1800, 0, 0, 0, 10)]
+    for i in range(4000):
+        rows.append((i, "en", *(odd[i % 4] if i < 36 else plain_row)))
+    rows += [(4000 + i, "en", *odd[i % 4]) for i in range(1200)]
+    measured = spark.createDataFrame(
+        rows, "doc_id bigint, lang string, " + ", ".join(f"{m} bigint" for m in Q.MEASURES))
+    labels = spark.createDataFrame([(i, int(i < 4000)) for i in range(5200)],
+                                   "doc_id bigint, quality int")
+    kept = {r.doc_id for r in Q.judge(measured, Q.cutoffs_wide(
+        Q.learn_cutoffs(measured, labels))).filter("kept").collect()}
+    lost = sum(i not in kept for i in range(4000))
+    assert Q.binomial_cdf(lost, 4000, 0.01) <= 0.05
