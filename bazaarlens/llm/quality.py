@@ -1,17 +1,22 @@
 """Quality rules with risk-controlled cutoffs (operator 8).
 
-``features`` measures every whole text. ``learn_cutoffs`` picks, per stratum
-(language) and rule, a cutoff from labelled holdouts: a cutoff is certified
-when the exact binomial test rejects "the rule discards more than ``alpha``
-of the good documents of this stratum" at level ``delta`` divided by strata and
-rules (Bonferroni); along the grid the cutoffs are tested from the loosest on
-and the first that is not certified ends the sequence, which needs no further
-division. ``alpha`` itself is split over the rules, so that all rules together discard
-at most ``alpha_total`` of a stratum's good documents with confidence
-``1 - delta``. Among certified cutoffs the one with the best
-``bad rejected - cost * good rejected`` is used; a rule that gains less than
-``LEAST_GAIN`` in a stratum is off there. A stratum with too few good labels certifies nothing
-and only the base rule applies.
+``features`` measures every whole text. ``learn_cutoffs`` picks the cutoffs of a
+stratum (language) from labelled holdouts and certifies all rules together: the
+exact binomial test must reject "the rules discard more than ``alpha_total`` of
+the good documents of this stratum" at level ``delta`` divided by the strata.
+
+Order of the tests. A path leads from "all rules off" to one target cutoff per
+rule, a grid step at a time, the rule with the largest gain first. The targets
+are learned from the bad documents and one good document in ``ORDER_SHARE`` (by
+digest of the id). The other good documents, which had no part in the path, test
+its points from the loosest on; the first point that is not certified ends the
+sequence, so the level needs no division by points or rules. Among certified
+points the one with the best ``bad rejected - cost * good rejected`` is used.
+
+Strata. With n good documents to test with, a stratum can certify a point only
+if ``(1 - alpha_total)^n`` is at most its level. The level is divided by the strata
+that can, so rare languages do not weaken the others; in a stratum that cannot,
+only the base rule applies.
 
 Null text has no words (base rule fails it); null and empty languages are one
 stratum; repeated labels of a document count once, good if any says good;
@@ -34,7 +39,7 @@ from bazaarlens.llm.common import arrow_map, guarded, ship, store
 SYMBOLS = b"#*$%&|<>"
 WS = b" \t\n\x0b\x0c\r"
 
-LEAST_GAIN = 5   # a rule that gains less than this many bad documents is not used
+ORDER_SHARE = 10   # one good label in so many orders the tests and takes no part in them
 
 # rule -> (numerator, denominator, width of a grid step); a document's grid
 # index is floor(ratio / step), at most GRID
@@ -132,7 +137,7 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, alpha: float, level: float,
     n = int(good.sum())
     rejected_good = n - np.cumsum(good)
     rejected_bad = int(bad.sum()) - np.cumsum(bad)
-    best, best_gain = None, LEAST_GAIN - 1.0
+    best, best_gain = None, 0.0
     for c in range(len(good) - 1, -1, -1):
         k = int(rejected_good[c])
         if n == 0 or k > alpha * n or binomial_cdf(k, n, alpha) > level:
@@ -143,43 +148,111 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, alpha: float, level: float,
     return best
 
 
+def plan_path(good: dict[str, np.ndarray], bad: dict[str, np.ndarray],
+              cost: float) -> list[tuple[str, int]]:
+    """(rule, target cutoff), largest gain first; rules without gain are left
+    out. Of cutoffs with the same gain the loosest is the target."""
+    found = []
+    for r in RULES:
+        gain = (int(bad[r].sum()) - np.cumsum(bad[r])
+                - cost * ORDER_SHARE * (int(good[r].sum()) - np.cumsum(good[r])))
+        target = max(range(GRID + 1), key=lambda c: (gain[c], c))
+        if gain[target] > 0:
+            found.append((-float(gain[target]), r, target))
+    return [(r, target) for _, r, target in sorted(found)]
+
+
+def certifiable(n: int, sizes: list[int], alpha: float, delta: float) -> bool:
+    """Whether n good labels can certify anything when the level is divided by
+    the strata with at least as many."""
+    rank = max(1, sum(x >= n for x in sizes))
+    return n * math.log1p(-alpha) <= math.log(delta / rank)
+
+
 def learn_cutoffs(measured: DataFrame, labels: DataFrame, alpha_total: float = 0.01,
                   delta: float = 0.05, cost: float = 20.0) -> DataFrame:
-    """(stratum, rule, cutoff, good, good_rejected, bad, bad_rejected).
-
-    The holdout is joined on doc_id and reduced to counts per (stratum, rule,
-    grid index, label): at most rules x (GRID + 1) x 2 rows per stratum, map
-    side first; only those counts meet in a task. Documents that the base
-    rule fails are not part of the holdout: the verdict never reaches them."""
+    """(stratum, rule, cutoff, good, good_rejected, bad, bad_rejected); the
+    counts are of all rules together, good ones of the documents tested with.
+
+    The holdout is joined on doc_id and reduced twice, map side first: to
+    counts per (stratum, rule, grid index), which give the path, and per
+    (stratum, first point of the path that rejects the document), which
+    certify its points. Only those counts meet in a task, at most
+    rules x (GRID + 1) rows per stratum. Documents that the base rule fails
+    are not part of the holdout: the verdict never reaches them."""
     truth = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
-    held = (measured.filter(~base_failed())
-            .select("doc_id", stratum().alias("stratum"),
-                    *[grid_index(r).alias(f"i_{r}") for r in RULES])
-            .join(truth, "doc_id"))
+    digest = F.crc32(F.concat(F.lit("order:"), F.col("doc_id").cast("string")).cast("binary"))
+    good = F.col("quality") >= 1
+    held = store(
+        measured.filter(~base_failed())
+        .select("doc_id", stratum().alias("stratum"),
+                *[grid_index(r).alias(f"i_{r}") for r in RULES])
+        .join(truth, "doc_id")
+        .select("stratum", *[f"i_{r}" for r in RULES], (~good).cast("int").alias("bad"),
+                (good & (digest % ORDER_SHARE == 0)).cast("int").alias("orders"),
+                (good & (digest % ORDER_SHARE != 0)).cast("int").alias("tests")),
+        "quality-held")
+
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = {}
+        for kind in ("orders", "bad"):
+            counts[kind] = {r: np.zeros(GRID + 1, np.int64) for r in RULES}
+            for r, i, n in zip(pdf["rule"], pdf["idx"], pdf[kind]):
+                counts[kind][r][i] = n
+        row = {"stratum": pdf["stratum"].iloc[0], "points": 0}
+        row |= {f"{x}_{r}": v for r in RULES for x, v in (("off", 0), ("to", GRID))}
+        for r, target in plan_path(counts["orders"], counts["bad"], cost):
+            row[f"off_{r}"], row[f"to_{r}"] = row["points"], target
+            row["points"] += GRID - target
+        return pd.DataFrame([row])
+
     pairs = ", ".join(f"'{r}', i_{r}" for r in RULES)
-    counts = (held.selectExpr("stratum", "quality", f"stack({len(RULES)}, {pairs}) as (rule, idx)")
-              .groupBy("stratum", "rule", "idx")
-              .agg(F.sum(F.when(F.col("quality") >= 1, 1).otherwise(0)).alias("good"),
-                   F.sum(F.when(F.col("quality") >= 1, 0).otherwise(1)).alias("bad")))
-    counts = store(counts, "quality-counts")
-    n_strata = counts.select(F.count_distinct("stratum").alias("n")).scalar()
-    alpha = alpha_total / len(RULES)
+    fields = ["points"] + [f"{x}_{r}" for r in RULES for x in ("off", "to")]
+    ship()
+    path = store(
+        held.selectExpr("stratum", "orders", "bad",
+                        f"stack({len(RULES)}, {pairs}) as (rule, idx)")
+        .groupBy("stratum", "rule", "idx")
+        .agg(F.sum("orders").alias("orders"), F.sum("bad").alias("bad"))
+        .groupBy("stratum")
+        .applyInPandas(plan, "stratum string, " + ", ".join(f"{x} int" for x in fields)),
+        "quality-path")
+
+    # the first point that rejects a document, counted from the end; 0: none does
+    point = F.least(*[F.when(F.col(f"i_{r}") > F.col(f"to_{r}"),
+                             F.col(f"off_{r}") + GRID - F.col(f"i_{r}") + 1) for r in RULES])
+    counts = store(
+        held.join(path, "stratum")
+        .withColumn("idx", F.coalesce(F.col("points") - point + 1, F.lit(0)))
+        .groupBy("stratum", *fields, "idx")
+        .agg(F.sum("tests").alias("good"), F.sum("bad").alias("bad")), "quality-counts")
+    least = math.log(delta) / math.log1p(-alpha_total)
+    sizes = (counts.groupBy("stratum").agg(F.sum("good").alias("n"))
+             .filter(F.col("n") >= least).select(F.collect_list("n").alias("n")).scalar())
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        level = delta / (float(pdf["n_strata"].iloc[0]) * len(RULES))
-        good, bad = np.zeros(GRID + 1, np.int64), np.zeros(GRID + 1, np.int64)
+        first, sizes = pdf.iloc[0], [int(n) for n in pdf["sizes"].iloc[0]]
+        points = int(first["points"])
+        good, bad = np.zeros(points + 1, np.int64), np.zeros(points + 1, np.int64)
         good[pdf["idx"]], bad[pdf["idx"]] = pdf["good"], pdf["bad"]
-        c = choose_cutoff(good, bad, alpha, level, cost)
+        if not certifiable(int(good.sum()), sizes, alpha_total, delta):
+            return pd.DataFrame([])
+        level = delta / sum(certifiable(n, sizes, alpha_total, delta) for n in sizes)
+        c = choose_cutoff(good, bad, alpha_total, level, cost)
         if c is None:
             return pd.DataFrame([])
-        return pd.DataFrame([{
-            "stratum": pdf["stratum"].iloc[0], "rule": pdf["rule"].iloc[0], "cutoff": c,
-            "good": good.sum(), "good_rejected": good[c + 1:].sum(),
-            "bad": bad.sum(), "bad_rejected": bad[c + 1:].sum()}])
-
-    ship()
-    return (counts.withColumn("n_strata", n_strata).groupBy("stratum", "rule")
+        out = []
+        for r in RULES:
+            steps = min(points - c - int(first[f"off_{r}"]), GRID - int(first[f"to_{r}"]))
+            if steps > 0:
+                out.append({
+                    "stratum": first["stratum"], "rule": r, "cutoff": GRID - steps,
+                    "good": good.sum(), "good_rejected": good[c + 1:].sum(),
+                    "bad": bad.sum(), "bad_rejected": bad[c + 1:].sum()})
+        return pd.DataFrame(out)
+
+    return (counts.withColumn("sizes", sizes).groupBy("stratum")
             .applyInPandas(choose, "stratum string, rule string, cutoff int, good bigint, "
                                    "good_rejected bigint, bad bigint, bad_rejected bigint"))
 

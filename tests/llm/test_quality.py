@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 
@@ -118,3 +119,100 @@ def test_all_rules_together_lose_at_most_one_percent(spark):
         Q.learn_cutoffs(measured, labels))).filter("kept").collect()}
     lost = sum(i not in kept for i in range(4000))
     assert Q.binomial_cdf(lost, 4000, 0.01) <= 0.05
+
+
+def labelled_docs():
+    """Documents of three languages: enough labels, few but enough for all rules
+    together, and too few. Most have a label, some labels are repeated or null."""
+    rnd = random.Random(4)
+    docs, labels = [], []
+    for lang, n in (("en", 1600), ("de", 560), ("fr", 90)):
+        for _ in range(n):
+            i, bad = len(docs), rnd.random() < 0.12
+            words = [f"{rnd.choice('abcdefgh')}{rnd.randrange(10**4)}" for _ in range(60)]
+            if bad and i % 2:
+                words = [w + "x" * 12 for w in words]
+            elif bad:
+                words = [w + "#" * rnd.randrange(1, 4) for w in words]
+            elif rnd.random() < 0.02:
+                words[rnd.randrange(60)] += "##"
+            lines = [" ".join(words[k:k + 12]) for k in range(0, 60, 12)]
+            if rnd.random() < 0.1:
+                lines.append(lines[0])
+            docs.append((i, "\n".join(lines), lang, "s", 1))
+            if rnd.random() < 0.97:
+                labels += [(i, None if i % 50 == 7 else int(not bad), 0)] * (1 + (i % 9 == 0))
+    return docs, labels
+
+
+def plain_verdicts(docs, labels):
+    """Ids of the documents kept, point by point of the path."""
+    truth = {}
+    for i, q, _ in labels:
+        if q is not None:
+            truth[i] = max(q, truth.get(i, 0))
+    idx, langs = {}, {}
+    for i, text, lang, _, _ in docs:
+        n, chars, symbols, dup, rep = plain(text)
+        lines = len([x for x in text.split("\n") if WORD.search(x)])
+        if n >= 50 and 100 * rep <= 50 * n:
+            idx[i] = {"symbols": symbols / chars / 0.01, "dup_lines": dup / lines / 0.01,
+                      "repeats": rep / n / 0.01, "word_length": chars / n / 0.25}
+            idx[i] = {r: min(100, math.floor(v)) for r, v in idx[i].items()}
+            langs[i] = lang
+    orders = {i for i in truth if zlib.crc32(f"order:{i}".encode()) % 10 == 0}
+    part = {}
+    for lang in set(langs.values()):
+        of = [i for i in truth if langs.get(i) == lang]
+        part[lang] = ([i for i in of if truth[i] and i in orders],
+                      [i for i in of if truth[i] and i not in orders],
+                      [i for i in of if not truth[i]])
+    sizes = {lang: len(p[1]) for lang, p in part.items()}
+    able = [a for a in sizes if 0.99 ** sizes[a] <= 0.05 / sum(n >= sizes[a] for n in sizes.values())]
+    used = {}
+    for lang in able:
+        good, test, bad = part[lang]
+        targets = []
+        for r in ("symbols", "dup_lines", "repeats", "word_length"):
+            gain = {c: sum(idx[i][r] > c for i in bad) - 200 * sum(idx[i][r] > c for i in good)
+                    for c in range(101)}
+            c = max(k for k in gain if gain[k] == max(gain.values()))
+            if gain[c] > 0:
+                targets.append((-gain[c], r, c))
+        point, best = {}, 0
+        steps = [(r, c) for _, r, target in sorted(targets) for c in range(99, target - 1, -1)]
+        for r, c in steps:
+            point[r] = c
+            gone = [sum(any(idx[i][x] > v for x, v in point.items()) for i in ids)
+                    for ids in (test, bad)]
+            n = len(test)
+            chance = sum(math.comb(n, k) * 0.01**k * 0.99 ** (n - k) for k in range(gone[0] + 1))
+            if chance > 0.05 / len(able):
+                break
+            if gone[1] - 20 * gone[0] > best:
+                best, used[lang] = gone[1] - 20 * gone[0], dict(point)
+    return able, used, {i for i, v in idx.items()
+                        if not any(v[r] > c for r, c in used.get(langs[i], {}).items())}
+
+
+def test_learned_verdicts_match_a_plain_version(spark, tmp_path):
+    docs, labels = labelled_docs()
+    able, used, want = plain_verdicts(docs, labels)
+    assert sorted(able) == sorted(used) == ["de", "en"]       # de has too few for each rule alone
+    frame = docs_frame(spark, docs)
+    truth = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    measured = Q.features(frame, ["doc_id", "lang"])
+    got = {}
+    for r in Q.learn_cutoffs(measured, truth).collect():
+        got.setdefault(r.stratum, {})[r.rule] = r.cutoff
+    assert got == used
+    folder = write_tables(spark, tmp_path / "q", documents=frame, labels=truth)
+    report = QUERIES["op8_quality_rules"](spark, folder).collect()
+    assert {r.doc_id for r in report if r.kept} == want
+    assert {r.doc_id for r in Q.quality_filter(spark, frame, truth).collect()} == want
+    assert len(want) < len(docs)
+
+
+def test_rare_strata_do_not_weaken_others():
+    assert Q.certifiable(427, [427, 440, 1800], 0.01, 0.05)
+    assert not Q.certifiable(307, [307, 427, 440, 1800], 0.01, 0.05)
