@@ -118,15 +118,16 @@ def link_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
     order = [F.col("start"), F.col("kind")]
     w = Window.partitionBy("row").orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    # a running minimum from the right: a frame open to the right is computed anew for each row
+    after = (Window.partitionBy("row").orderBy(*[c.desc() for c in order])
+             .rowsBetween(Window.unboundedPreceding, -1))
     out = parts.withColumn("strong", _among(kind, lambda v: v[4]))
-    for role in "SIE":
-        is_role = _among(kind, lambda v, role=role: v[3] == role)
-        out = out.withColumn(f"left_{role}", F.max(F.when(is_role, F.col("end"))).over(before)) \
-                 .withColumn(f"right_{role}", F.min(F.when(is_role, F.col("start"))).over(after))
-    strong = F.when(_among(kind, lambda v: v[4]), F.lit(True))
-    out = (out.withColumn("left_strong", F.max(F.when(strong, F.col("end"))).over(before))
-           .withColumn("right_strong", F.min(F.when(strong, F.col("start"))).over(after)))
+    of = {role: _among(kind, lambda v, role=role: v[3] == role) for role in "SIE"}
+    of["strong"] = _among(kind, lambda v: v[4])
+    out = out.withColumns({f"left_{x}": F.max(F.when(is_x, F.col("end"))).over(before)
+                           for x, is_x in of.items()})
+    out = out.withColumns({f"right_{x}": F.min(F.when(is_x, F.col("start"))).over(after)
+                           for x, is_x in of.items()})
 
     def near(role: str) -> Column:
         return (F.coalesce(F.col("start") - F.col(f"left_{role}") <= reach, F.lit(False))
