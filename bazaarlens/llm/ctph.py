@@ -6,16 +6,15 @@ borders depend on nearby text only and move along with it. A fingerprint is
 ``size:chunks at size:chunks at 2 * size``, two characters (12 bits of a
 polynomial hash of the whole chunk) for each chunk.
 
-- The block size follows the text's length: about ``CHUNKS`` / 2 to ``CHUNKS``
-  chunks. Text with fewer than ``CHUNKS`` / 4 borders (repetitive text) takes the
-  next smaller size that has them, 3 at least.
+- The block size follows the text's length alone: about ``CHUNKS`` / 2 to
+  ``CHUNKS`` chunks. Where two block sizes pass without a border (repetitive
+  text), a chunk ends there.
 - A signature holds at most ``2 * CHUNKS`` chunks; the last one then is the whole
   rest of the text. Every code point of a text enters its fingerprint.
 - ``likeness`` compares signatures of equal block size: 1 - (insertions and
   deletions between them) / (chunks of both), the greater value where both sizes
   agree, 0 where none does, 1 for equal fingerprints. Replacing half of a text
-  changes its length by at most half, so sizes stay compatible for texts that are
-  not repetitive.
+  at most halves its length, so the two stay comparable.
 
 ``neighbours`` puts documents in order of id (nulls last, rows of one id by
 digest of the text, equal rows next to each other) and compares each with the
@@ -98,62 +97,62 @@ def _borders(text: str):
         yield base, c, at + 1, level
 
 
-def _level(n: int, counts: np.ndarray) -> int:
-    """Block size (as a power of two) for a text of n code points with
-    ``counts`` borders of each level or above."""
-    k = 0
-    while (SMALLEST << k) * CHUNKS < n:
-        k += 1
-    while k and counts[k] < CHUNKS // 4:
-        k -= 1
-    return k
-
-
-def _above(levels: list[np.ndarray]) -> np.ndarray:
-    counts = sum(np.bincount(x, minlength=64) for x in levels)
-    return np.cumsum(counts[::-1])[::-1]
-
-
-def _signature(ends: np.ndarray, sums: np.ndarray, back: np.ndarray) -> str:
-    """Tokens of the chunks between borders; the last border is the text's end."""
-    if len(ends) > 2 * CHUNKS:
-        pick = np.r_[0:2 * CHUNKS - 1, len(ends) - 1]
-        sums, back = sums[pick], back[pick]
+def _cuts(ends: np.ndarray, last: int, stop: int, whole: int, size: int) -> np.ndarray:
+    """Ends of chunks up to ``stop``: the given borders, and a cut every
+    ``2 * size`` code points where the next border is farther away. ``last`` is
+    the end before; the text's end (``whole``) ends the last chunk."""
+    if stop < whole:
+        fence = np.append(ends, stop + 1)     # only a limit for cuts
+    elif len(ends) and ends[-1] == whole:
+        fence = ends
+    else:
+        fence = np.append(ends, whole)
+    start = np.concatenate([[last], fence[:-1]])
+    extra = (fence - start - 1) // (2 * size)
+    if extra.any():
+        group = np.repeat(np.arange(len(fence)), extra + 1)
+        turn = np.arange(len(group)) - np.repeat(np.cumsum(extra + 1) - extra - 1, extra + 1)
+        fence = np.where(turn < extra[group], start[group] + (turn + 1) * 2 * size, fence[group])
+    return fence[:-1] if stop < whole else fence
+
+
+def _longer(known: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """At most ``2 * CHUNKS`` chunks: all others join the last one."""
+    both = np.concatenate([known, more])
+    return both if len(both) <= 2 * CHUNKS else np.append(both[:2 * CHUNKS - 1], both[-1])
+
+
+def _signature(sums: np.ndarray, back: np.ndarray) -> str:
+    """Tokens of the chunks between ends, from the running sum at each end and
+    the power that takes it back to the start of a text."""
     start = np.concatenate([np.zeros(1, np.uint64), sums[:-1]])
     shift = np.concatenate([np.ones(1, np.uint64), back[:-1]])
     return "".join([TOKENS[h] for h in (_mixed((sums - start) * shift) & np.uint64(4095)).tolist()])
 
 
 def fingerprint(text: str) -> str:
-    n = len(text)
+    n, k = len(text), 0
     if not n:
         return f"{SMALLEST}::"
-    blocks = list(_borders(text)) if n <= BLOCK else None
-    k = _level(n, _above([b[3] for b in (blocks or _borders(text))]))
-    ends, levels, sums, back, total = [], [], [], [], 0
+    while (SMALLEST << k) * CHUNKS < n:
+        k += 1
+    none = np.zeros(0, np.uint64)
+    last, sums, back, total = [0, 0], [none, none], [none, none], 0
     up, down = _table("up", _STEP), _table("down", _BACK)
-    for base, c, at, level in (blocks or _borders(text)):
+    for base, c, at, level in _borders(text):
         run = np.cumsum(c * up[:len(c)], dtype=np.uint64)
         if base:
             run *= np.uint64(pow(_STEP, base, _WRAP))
             run += np.uint64(total)
         total = int(run[-1])
-        keep = level >= k
-        if base + len(c) == n:            # the end of the text ends the last chunk
-            last = len(at) and at[-1] == len(c)
-            at = at if last else np.append(at, len(c))
-            level = np.append(level[:-1] if last else level, 64)
-            keep = level >= k
-        at = at[keep]
-        ends.append(at + base)
-        levels.append(level[keep])
-        sums.append(run[at - 1])
-        back.append(down[at] * np.uint64(pow(_BACK, base, _WRAP)) if base else down[at])
-    ends, levels = np.concatenate(ends), np.concatenate(levels)
-    sums, back = np.concatenate(sums), np.concatenate(back)
-    coarse = levels > k
-    return (f"{SMALLEST << k}:{_signature(ends, sums, back)}:"
-            f"{_signature(ends[coarse], sums[coarse], back[coarse])}")
+        away = np.uint64(pow(_BACK, base, _WRAP))
+        for j in (0, 1):
+            ends = _cuts(at[level >= k + j] + base, last[j], base + len(c), n, SMALLEST << (k + j))
+            if len(ends):
+                last[j] = int(ends[-1])
+                sums[j] = _longer(sums[j], run[ends - base - 1])
+                back[j] = _longer(back[j], down[ends - base] * away)
+    return f"{SMALLEST << k}:{_signature(sums[0], back[0])}:{_signature(sums[1], back[1])}"
 
 
 def _common(a: list[str], b: list[str]) -> int:

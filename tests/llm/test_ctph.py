@@ -33,9 +33,10 @@ def plain_fingerprint(text):
         return out
 
     def signature(size):
-        at = ends(size)
-        if not at or at[-1] != len(c):
-            at.append(len(c))
+        at, found = [], set(ends(size)) | {len(c)}
+        for i in range(1, len(c) + 1):
+            if i in found or i - (at[-1] if at else 0) == 2 * size:
+                at.append(i)
         if len(at) > 128:
             at = at[:127] + at[-1:]
         out, start = "", 0
@@ -50,8 +51,6 @@ def plain_fingerprint(text):
     size = 3
     while size * 64 < len(c):
         size *= 2
-    while size > 3 and len(ends(size)) < 16:
-        size //= 2
     return f"{size}:{signature(size)}:{signature(2 * size)}"
 
 
