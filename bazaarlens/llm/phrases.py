@@ -40,6 +40,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,20 +114,20 @@ class _Chunk:
     def add(self, words: list[bytes]) -> None:
         self.parts.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
 
-    def counts(self, n: int, flags: np.ndarray | None):
-        """(phrase, count) of the phrases of n words that the flags ask for."""
+    def counts(self, n: int, flags: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
+        """The phrases of n words that the flags ask for, and their counts."""
         w = np.concatenate(self.parts)
         names = list(self.ids)
         base = len(names)
+        written = pa.array(names[1:], pa.binary()).cast(pa.string())   # number 1 first
         if n == 1:
-            count = np.bincount(w, minlength=base)
-            return [(names[i], int(count[i])) for i in range(1, base)]
+            return written, np.bincount(w, minlength=base)[1:]
         word = np.array([0] + [_word_hash(self.lang, x) for x in names[1:]], np.uint64)
         usable = (flags[_cell(word)] & WORD) > 0
         usable[0] = False
         m = len(w) - n + 1
         if m < 1:
-            return []
+            return written[:0], w[:0]
         good = usable[w]
         at = good[:m].copy()
         for k in range(1, n):
@@ -155,8 +156,9 @@ class _Chunk:
             known, g = np.unique(g, return_inverse=True)
             g = g * np.int64(base) + w[at + k]
         _, first, count = np.unique(g, return_index=True, return_counts=True)
-        return [(b" ".join([names[w[i + k]] for k in range(n)]), c)
-                for i, c in zip(at[first].tolist(), count.tolist())]
+        at = at[first]
+        return pc.binary_join_element_wise(*[written.take(pa.array(w[at + k] - 1))
+                                             for k in range(n)], " "), count
 
 
 def _count(docs: DataFrame, n: int, flags: np.ndarray | None) -> DataFrame:
@@ -169,13 +171,12 @@ def _count(docs: DataFrame, n: int, flags: np.ndarray | None) -> DataFrame:
 
         def flush():
             for lang, chunk in chunks.items():
-                found = chunk.counts(n, shared.value)
+                found, count = chunk.counts(n, shared.value)
                 for k in range(0, len(found), 100_000):
                     part = found[k:k + 100_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang.decode()] * len(part), pa.string()),
-                         pa.array([p for p, _ in part], pa.binary()).cast(pa.string()),
-                         pa.array([c for _, c in part], pa.int64())],
+                        [pa.repeat(pa.scalar(lang.decode(), pa.string()), len(part)), part,
+                         pa.array(count[k:k + 100_000], pa.int64())],
                         names=["lang", "phrase", "f"])
 
         for batch in batches:
