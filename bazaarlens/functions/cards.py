@@ -51,9 +51,9 @@ FIELDS = ("asin_attr", "name_medium", "name_base_plus", "name_h2", "brand_text",
 #   3 "/" for an end tag, 4 tag name, 5 attribute text
 #   6 text - character data (a stray "<" counts as text)
 _TOKEN = re.compile(
-    r"(<(?:script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?:script|style)\s*>|\Z))"
+    r"(<(?:script|style)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?:script|style)\s*>|\Z))"
     r"|(<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([A-Za-z][A-Za-z0-9:_-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|([^<]+|<)", re.S | re.I)
 # Attributes from left to right: name, then a double-quoted, quoted or bare value.
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -70,18 +70,22 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class _Card:
-    """Field capture for one open card; ``depth`` is that of its div."""
+    """Field capture for one open card; ``depth`` is that of its div, ``texts``
+    the page's texts so far: a capture is the texts from its start to its end."""
 
-    def __init__(self, asin: str | None, depth: int):
+    def __init__(self, asin: str | None, depth: int, texts: list[str]):
         self.fields = dict.fromkeys(FIELDS)
         self.fields.update(asin_attr=asin, sponsored=False, broken=False)
-        self.depth = depth
-        self.captures: list[tuple[str, int, list[str]]] = []
+        self.depth, self.texts = depth, texts
+        # captures under way: first text by field, and the fields that end at each depth
+        self.captures: dict[str, int] = {}
+        self.ends: dict[int, list[str]] = {}
         self.mrp_depth, self.mrp_seen = -1, False
 
     def _capture(self, field: str, depth: int) -> None:
-        if self.fields[field] is None and all(c[0] != field for c in self.captures):
-            self.captures.append((field, depth, []))
+        if self.fields[field] is None and field not in self.captures:
+            self.captures[field] = len(self.texts)
+            self.ends.setdefault(depth, []).append(field)
 
     def start(self, tag: str, attrs: dict[str, str], depth: int) -> None:
         if tag == "h2":
@@ -104,39 +108,44 @@ class _Card:
             self._capture("reviews_text", depth)
         if whole == MRP_BLOCK_CLASS and not self.mrp_seen:
             self.mrp_seen, self.mrp_depth = True, depth
+            self.ends.setdefault(depth, [])
         elif MRP_CLASS in tokens and self.mrp_depth >= 0:
             self._capture("mrp_text", depth)
 
-    def text(self, data: str) -> None:
-        for c in self.captures:
-            c[2].append(data)
-
     def end(self, depth: int) -> None:
         if self.mrp_depth == depth:
             self.mrp_depth = -1
-        for field, at, parts in self.captures:
-            if at == depth:
-                self.fields[field] = "".join(parts)
-        self.captures = [c for c in self.captures if c[1] != depth]
+        for field in self.ends.pop(depth, ()):
+            self.fields[field] = "".join(self.texts[self.captures.pop(field):])
 
 
 class _Page:
-    """The open elements and the open cards of one page."""
+    """The open elements and the open cards of one page.
+
+    A token costs the same however many elements are open: ``tags`` counts the
+    open elements of each tag, so an end tag without a start is known at once,
+    and ``ending`` names the cards that wait for the end of a depth. Only cards
+    inside cards are visited one by one."""
 
     def __init__(self):
         self.cards: list[_Card] = []      # all, in page order
-        self.open: list[_Card] = []
-        self.stack: list[list] = []       # [tag, children, own string, last child is text]
-
-    def _each(self, step, *args) -> None:
-        """One event for every open card; a card that fails is marked broken."""
-        for card in self.open:
-            try:
-                getattr(card, step)(*args)
-            except Exception:  # noqa: BLE001 - one card must not cost the others
-                card.fields["broken"] = True
-
-    def _child(self, string: str | None = None) -> None:
+        self.open: list[_Card] = []       # a stack: an inner card is deeper
+        self.texts: list[str] = []        # stripped, since the outermost open card began
+        # per element: tag, children, own string, last child is text. The string
+        # is a list of text parts, or, from an only child, whether it holds the word
+        self.stack: list[list] = []
+        self.tags: dict[str, int] = {}
+        self.ending: dict[int, list[_Card]] = {}
+        self.flagged = 0                  # open cards, from the outermost, known as sponsored
+
+    def _step(self, card: _Card, step: str, *args) -> None:
+        """One event for one card; a card that fails is marked broken."""
+        try:
+            getattr(card, step)(*args)
+        except Exception:  # noqa: BLE001 - one card must not cost the others
+            card.fields["broken"] = True
+
+    def _child(self, string=None) -> None:
         if self.stack:
             top = self.stack[-1]
             top[1] += 1
@@ -148,12 +157,12 @@ class _Page:
         data = _html.unescape(data) if "&" in data else data
         top = self.stack[-1]
         if top[3]:
-            top[2] += data
+            top[2].append(data)
         else:
-            self._child(data)
+            self._child([data])
             top[3] = True
         if data.strip():
-            self._each("text", data.strip())
+            self.texts.append(data.strip())
 
     def start(self, tag: str, attr_text: str) -> None:
         if tag in VOID or attr_text.endswith("/"):
@@ -161,32 +170,48 @@ class _Page:
             return
         depth = len(self.stack)
         is_card = tag == "div" and CARD_ATTR[1] in attr_text
-        wanted = is_card or (self.open and tag in ("span", "h2"))
-        attrs = _attributes(attr_text) if wanted else {}
-        if self.open:
-            self._each("start", tag, attrs, depth)
+        wanted = tag in ("span", "h2") and bool(self.open)
+        attrs = _attributes(attr_text) if is_card or wanted else {}
+        if wanted:
+            for card in self.open:
+                self._step(card, "start", tag, attrs, depth)
+                if depth in card.ends:
+                    self.ending.setdefault(depth, []).append(card)
         self._child()
         self.stack.append([tag, 0, None, False])
+        self.tags[tag] = self.tags.get(tag, 0) + 1
         if is_card and attrs.get(CARD_ATTR[0]) == CARD_ATTR[1]:
-            card = _Card(attrs.get("data-asin"), depth)
+            if not self.open:
+                self.texts = []
+            card = _Card(attrs.get("data-asin"), depth, self.texts)
             self.cards.append(card)
             self.open.append(card)
 
     def _close(self) -> str:
         depth = len(self.stack) - 1
         tag, children, string, _ = self.stack.pop()
-        own = string if children == 1 else None
-        if tag == "span" and own and SPONSORED_WORD in own.lower():
-            for card in self.open:
+        self.tags[tag] -= 1
+        if children != 1 or string is None:
+            word = None
+        elif isinstance(string, list):
+            word = SPONSORED_WORD in "".join(string).lower()
+        else:
+            word = string
+        if tag == "span" and word:
+            for card in self.open[self.flagged:]:
                 card.fields["sponsored"] = True
+            self.flagged = len(self.open)
         if self.stack and self.stack[-1][1] == 1:
-            self.stack[-1][2] = own      # an only child's string is its parent's
-        self._each("end", depth)
-        self.open = [c for c in self.open if c.depth != depth]
+            self.stack[-1][2] = word      # an only child's string is its parent's
+        for card in self.ending.pop(depth, ()):
+            self._step(card, "end", depth)
+        if self.open and self.open[-1].depth == depth:
+            self.open.pop()
+            self.flagged = min(self.flagged, len(self.open))
         return tag
 
     def end(self, tag: str) -> None:
-        if any(e[0] == tag for e in self.stack):
+        if self.tags.get(tag):
             while self._close() != tag:
                 pass
 
@@ -201,9 +226,17 @@ def parse_cards(page: str | None) -> list[dict]:
     if not page or CARD_ATTR[1] not in page:
         return []
     state = _Page()
+    last = page.rfind(">")
     for m in _TOKEN.finditer(page):
         raw, skip, closing, tag, attr_text, text = m.groups()
         if text:
+            if text == "<" and m.start() > last:   # no tag ends any more: text up to a comment
+                rest, comment, _ = page[m.start():].partition("<!--")
+                for piece in re.findall(r"[^<]+|<", rest):
+                    state.text(piece)
+                if comment:
+                    state._child()
+                break
             state.text(text)
         elif raw or skip:
             state._child()

@@ -1,5 +1,9 @@
 """The per-page card finder on awkward markup (pure Python, no Spark)."""
 
+import time
+
+import pytest
+
 from bazaarlens.functions.cards import parse_cards
 
 START = '<div data-component-type="s-search-result" data-asin="B1">'
@@ -129,3 +133,36 @@ def test_sponsored_needs_text_only_span():
     assert one("<span> <a>Sponsored</a></span>")["sponsored"] is False
     assert one("<span>Sponsored<!-- x --></span>")["sponsored"] is False
     assert one("<span><b><i>sponsored</i></b></span>")["sponsored"] is True
+
+
+@pytest.mark.parametrize("body", [
+    "<b>" * 20000 + "</i>" * 20000,                       # unclosed tags, stray end tags
+    '<span class="a-size-medium">x' * 20000,
+    "<" * 200_000, "<a " * 20000, '<a "' * 20000,         # no tag that ends
+    "<span>" * 20000 + "Sponsored " * 1000 + "</span>" * 20000,
+    "<!-- x" * 20000, "<script " * 20000 + ">",
+], ids=["stray", "spans", "lt", "open", "quote", "nested", "comments", "script"])
+def test_awkward_pages_take_linear_time(body):
+    def seconds(page):
+        t0 = time.process_time()
+        assert len(parse_cards(page)) == 1
+        return time.process_time() - t0
+
+    least = min(seconds(START + body[:len(body) // 4]) for _ in range(2))
+    assert seconds(START + body) < max(1.0, 8 * least)
+
+
+def test_open_tags_with_stray_ends_read_as_before():
+    page = (START + "<b></i></p>" + '<span class="a-size-medium">One</i></span></span></u>'
+            + '<span class="a-price-whole">7<b>0</span></div></div>' + START + "</b></div>")
+    got = parse_cards(page)
+    assert [(c["name_medium"], c["price_text"]) for c in got] == [("One", "70"), (None, None)]
+
+
+def test_sponsored_string_of_an_only_child_chain():
+    assert one("<span><b><i>Spon<!-- -->sored</i></b></span>")["sponsored"] is False
+    assert one("<span><b><i>A Sponsored ad</i></b></span>")["sponsored"] is True
+    assert one("<span><b>x</b><i>Sponsored</i></span>")["sponsored"] is False
+    inner = '<div data-component-type="s-search-result" data-asin="B2"><span>sponsored</span></div>'
+    both = parse_cards(START + inner + START.replace("B1", "B3") + "</div></div>")
+    assert [c["sponsored"] for c in both] == [True, True, False]
