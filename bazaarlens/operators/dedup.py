@@ -27,12 +27,52 @@ def first_seen(df: DataFrame, key: str = "asin",
     """One row per key: the earliest in crawl order (ties broken by the last
     order column, which must be unique).
 
-    ``row_number() == 1`` lets Spark insert a partial WindowGroupLimit before
-    the shuffle, so each map task ships at most one row per key: a key that
-    holds a third of all rows costs one row per map task, not a third of the
-    data in one reducer.
+    In the default order the winners' ids are found first, on four narrow
+    columns, and their rows fetched by a semi-join (see ``_winner_ids``). In any
+    other order ``row_number() == 1`` lets Spark insert a partial
+    WindowGroupLimit before the shuffle. Either way each map task ships at most
+    one row per key: a key that holds a third of all rows costs one row per map
+    task, not a third of the data in one reducer.
     """
     cols = df.columns
+    if tuple(order) == CRAWL_ORDER and "keyword_rank" not in cols:
+        return df.join(_winner_ids(df, key, keywords), "id", "left_semi").select(*cols)
+    return _first_in_window(df, key, order, keywords)
+
+
+def _position() -> Column:
+    """Rank, page (null first) and id of a row of a known keyword as one exact
+    number of fixed width, so that its minimum is a hash aggregate."""
+    def part(c: Column, digits: int) -> Column:
+        return c.cast(f"decimal({digits},0)")
+
+    def shifted(c: Column, zeros: int) -> Column:
+        return c * part(F.lit("1" + "0" * zeros), zeros + 1)
+
+    page = F.coalesce(F.col("page_scraped").cast("bigint") + F.lit(2 ** 31 + 1), F.lit(0))
+    row = part(F.col("id"), 20) + part(F.lit(str(2 ** 63)), 20)
+    return (shifted(part(F.col("keyword_rank"), 7), 30) + shifted(part(page, 10), 20)
+            + row).cast("decimal(38,0)")
+
+
+def _winner_ids(df: DataFrame, key: str, keywords: Sequence[str]) -> DataFrame:
+    """Ids of the first sightings in crawl order. Only key, keyword, page and id
+    are read, and nothing is sorted but rows of keywords outside the list, whose
+    order is by name; they count for keys without a row of a listed keyword."""
+    narrow = with_crawl_order(df.select(key, "search_keyword", "page_scraped", "id"), keywords)
+    listed = F.col("search_keyword").isin(*keywords)
+    known = (narrow.filter(listed).select(key, "id", _position().alias("_at"))
+             .groupBy(key).agg(F.min_by("id", "_at").alias("id")))
+    others = narrow.filter(F.col("search_keyword").isNull() | ~listed)
+    seen = known.select(F.col(key).alias("_seen"))
+    rest = _first_in_window(others, key, CRAWL_ORDER, keywords).join(
+        seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+    return known.select("id").unionByName(rest.select("id"))
+
+
+def _first_in_window(df: DataFrame, key: str, order: Sequence[str | Column],
+                     keywords: Sequence[str]) -> DataFrame:
+    cols = df.columns
     ranked = with_crawl_order(df, keywords) if "keyword_rank" not in cols else df
     w = Window.partitionBy(key).orderBy(*[F.col(c) if isinstance(c, str) else c
                                           for c in order])
@@ -86,41 +126,87 @@ def page_yield(df: DataFrame, key: str = "asin",
         (F.col("ahead") + F.col("upto")).cast("bigint").alias("running_total"))
 
 
-# Page classes that stop a keyword's crawl.
+# Page classes that stop a keyword's crawl, and the most pages
+# the crawl visits for a keyword.
 STOP_STATUSES = ("blocked", "exhausted")
+MAX_PAGES = 20
+
+BLOCK_PAGES = 1000   # page numbers of one keyword that one window sees
 
 
-def crawl_cutoff(page_stats: DataFrame, run: int = 2) -> DataFrame:
+def _block_summaries(page_stats: DataFrame, run: int, block: int) -> DataFrame:
+    """One row per keyword and block of page numbers: visits, products, visits
+    without products at its end (``trail``), pages of the first such visits
+    (``lead``, fewer than ``run``), and the first stop that the block shows by
+    itself, with the products up to it."""
+    inside = Window.partitionBy("search_keyword", "block").orderBy("page_scraped") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = F.coalesce(F.col("products") > 0, F.lit(False))
+    visits = (page_stats
+              .withColumn("block", F.floor(F.col("page_scraped") / block))
+              .withColumn("visit", F.count(F.lit(1)).over(inside))
+              .withColumn("last_full", F.max(F.when(full, F.col("visit"))).over(inside))
+              .withColumn("so_far", F.sum("products").over(inside)))
+    empty_run = F.col("visit") - F.coalesce("last_full", F.lit(0))
+    hard_stop = F.coalesce(F.col("status").isin(*STOP_STATUSES), F.lit(False))
+    reason = F.when(hard_stop, F.col("status")).when(empty_run >= run, F.lit("empty run"))
+    page = F.col("page_scraped")
+    leading = F.col("last_full").isNull() & (F.col("visit") < run)
+    stop = F.when(F.col("reason").isNotNull(), page)
+    return (visits.withColumn("reason", reason)
+            .groupBy("search_keyword", "block")
+            .agg(F.count(F.lit(1)).alias("visits"), F.sum("products").alias("products"),
+                 F.max("last_full").alias("last_full"), F.max(page).alias("last_page"),
+                 F.array_sort(F.collect_list(F.when(leading, page))).alias("lead"),
+                 F.min(stop).alias("stop"), F.min_by("reason", stop).alias("reason"),
+                 F.min_by("so_far", stop).alias("kept"))
+            .withColumn("trail", F.col("visits") - F.coalesce("last_full", F.lit(0))))
+
+
+def crawl_cutoff(page_stats: DataFrame, run: int = 2, max_pages: int | None = MAX_PAGES,
+                 block: int = BLOCK_PAGES) -> DataFrame:
     """Where each keyword's crawl stops.
 
     ``page_stats``: (search_keyword, page_scraped, products, status), one row
-    per visited page, pages without products included. A keyword stops after a
-    blocked or exhausted page, or at the ``run``-th visit in a row without
-    products; otherwise at its last page. Visits are counted, not page
-    numbers. The window is per keyword over its pages only."""
-    w = Window.partitionBy("search_keyword").orderBy("page_scraped")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    visit = F.row_number().over(w)
-    staged = page_stats.withColumn("visit", visit)
-    last_full = F.max(F.when(F.col("products") > 0, F.col("visit"))).over(upto)
-    empty_run = F.col("visit") - F.coalesce(last_full, F.lit(0))
-    hard_stop = F.coalesce(F.col("status").isin(*STOP_STATUSES), F.lit(False))
-    first_stop = F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_scraped"))) \
-        .over(Window.partitionBy("search_keyword"))
-    staged = staged.select(
-        "search_keyword", "page_scraped", "products",
-        F.when(hard_stop, F.col("status"))
-         .when(empty_run >= run, F.lit("empty run")).alias("stop_reason"))
-    staged = staged.withColumn("first_stop", first_stop)
-    at_stop = F.col("page_scraped") == F.col("first_stop")
-    kept = F.col("first_stop").isNull() | (F.col("page_scraped") <= F.col("first_stop"))
-    return (staged.groupBy("search_keyword")
-            .agg(F.coalesce(F.min("first_stop"), F.max("page_scraped")).cast("int")
-                  .alias("stop_page"),
-                 F.coalesce(F.max(F.when(at_stop, F.col("stop_reason"))), F.lit("max pages"))
-                  .alias("stop_reason"),
-                 F.sum(F.when(kept, F.col("products")).otherwise(0)).cast("bigint")
-                  .alias("products_kept")))
+    per visited page, pages without products included; pages above ``max_pages``
+    are not visited (None: no limit). A keyword stops after a blocked or exhausted
+    page, or at the ``run``-th visit in a row without products; otherwise at its
+    last page. Visits are counted, not page numbers.
+
+    A keyword's pages are dealt over tasks in blocks of ``block`` page numbers,
+    each summed up in one row; how many visits without products end the blocks
+    before decides whether a block's first visits complete a run. The window over
+    a keyword sees one row a block."""
+    visited = page_stats if max_pages is None \
+        else page_stats.filter(F.col("page_scraped") <= max_pages)
+    blocks = _block_summaries(visited, run, block)
+    before = Window.partitionBy("search_keyword").orderBy("block") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("search_keyword").orderBy("block") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("search_keyword")
+    # visits up to the last one with products, seen from the end of each block
+    blocks = blocks.withColumn("full_until", F.when(
+        F.col("last_full").isNotNull(), F.sum("visits").over(here) - F.col("trail")))
+    carry = (F.coalesce(F.sum("visits").over(before), F.lit(0))
+             - F.coalesce(F.max("full_until").over(before), F.lit(0)))
+    blocks = blocks.withColumn("carry", carry).withColumn("joined", F.when(
+        (F.col("carry") > 0) & (F.col("carry") < run),
+        F.try_element_at("lead", (F.lit(run) - F.col("carry")).cast("int"))))
+    joins = F.col("joined").isNotNull() & (F.col("stop").isNull()
+                                           | (F.col("joined") < F.col("stop")))
+    blocks = (blocks.withColumn("reason", F.when(joins, F.lit("empty run"))
+                                .otherwise(F.col("reason")))
+              .withColumn("kept", F.when(joins, F.lit(0)).otherwise(F.col("kept")))
+              .withColumn("stop", F.least("stop", "joined")))
+    blocks = blocks.withColumn("first_stop", F.min("stop").over(whole))
+    counted = (F.when(F.col("stop") == F.col("first_stop"), F.col("kept"))
+               .when(F.col("first_stop").isNull() | (F.col("last_page") < F.col("first_stop")),
+                     F.col("products")))
+    return (blocks.groupBy("search_keyword")
+            .agg(F.coalesce(F.min("stop"), F.max("last_page")).cast("int").alias("stop_page"),
+                 F.coalesce(F.min_by("reason", "stop"), F.lit("max pages")).alias("stop_reason"),
+                 F.coalesce(F.sum(counted), F.lit(0)).cast("bigint").alias("products_kept")))
 
 
 def page_stats(status: DataFrame, cards: DataFrame) -> DataFrame:

@@ -51,13 +51,14 @@ def vw_discount_analysis(cleaned: DataFrame) -> DataFrame:
 
 
 def vw_top_products(cleaned: DataFrame) -> DataFrame:
-    # Sorted on read by the output (raw-or-0) discount, as the view names it.
+    # Sorted on read by the output (raw-or-0) discount, as the view names it; the
+    # id splits equal pairs over range partitions and makes the order total.
     return (cleaned.filter(F.col("rating").isNotNull())
             .select("product_name", "brand", "price_inr", "original_price_inr",
                     _zero("discount_percent", "decimal(5,1)"),
                     _zero("savings_inr", "decimal(11,2)"),
                     "rating", "rating_category", "price_segment", "discount_tier")
-            .orderBy(F.desc("rating"), F.desc("discount_percent")))
+            .orderBy(F.desc("rating"), F.desc("discount_percent"), "id"))
 
 
 def vw_kpi_summary(cleaned: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ FROM {{table}} WHERE brand != '{OTHER_BRAND}' GROUP BY brand, discount_tier""",
   {_zero_sql('discount_percent', 'DECIMAL(5,1)')}, {_zero_sql('savings_inr', 'DECIMAL(11,2)')},
   rating, rating_category, price_segment, discount_tier
 FROM {{table}} WHERE rating IS NOT NULL
-ORDER BY rating DESC, coalesce(discount_percent, 0) DESC""",
+ORDER BY rating DESC, coalesce(discount_percent, 0) DESC, id""",
     "vw_kpi_summary": f"""SELECT count(*) AS total_products, count(DISTINCT brand) AS total_brands,
   {_avg('price_inr', 0)} AS avg_price, min(price_inr) AS min_price, max(price_inr) AS max_price,
   {_avg('rating', 2)} AS avg_rating, {_avg('discount_percent', 1)} AS avg_discount,

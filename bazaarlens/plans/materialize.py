@@ -38,6 +38,7 @@ from bazaarlens.sources.tables import listings_from_orders, read_table, table_pa
 _lock = threading.RLock()
 MARKER = "_COMPLETE"
 TABLES_SUFFIX = ""            # a run that wants tables of its own sets this
+LANDING_FILES = 4             # arrivals at the stream
 ARCHIVE_PAGES_PER_FILE = 64   # pages are large rows: a few MB of markup a file
 
 
@@ -159,20 +160,11 @@ def export_path(spark: SparkSession, sf_dir: str) -> str:
                   lambda folder: export_parquet(first_seen(raw_table(spark, sf_dir)), folder))
 
 
-def stream_winners_path(spark: SparkSession, sf_dir: str) -> str:
-    """First sightings found by the stream over the stored listing files, run
-    to the end of its input once per input."""
-    from bazaarlens.session import scratch_path
-    from bazaarlens.streaming.first_seen import read_first_seen, start_first_seen
-
-    def run(folder: str) -> None:
-        work = scratch_path(spark, "first-seen")
-        q = start_first_seen(spark, raw_table_path(spark, sf_dir), f"{work}/sink", f"{work}/ckpt")
-        q.awaitTermination()
-        write_table(read_first_seen(spark, f"{work}/sink"), folder)
-        _delete(spark, work)
-
-    return stored(spark, "stream_first_seen", [table_path(sf_dir, "orders")], run)
+def landing_path(spark: SparkSession, sf_dir: str) -> str:
+    """The raw listings as files that arrive at the stream, written once per
+    input; every file holds rows of all keywords and pages."""
+    return stored(spark, "landing", [table_path(sf_dir, "orders")], lambda folder: write_table(
+        raw_table(spark, sf_dir).repartition(LANDING_FILES, "id"), folder))
 
 
 def cleaned_table_path(spark: SparkSession, sf_dir: str) -> str:

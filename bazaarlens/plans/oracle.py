@@ -248,7 +248,22 @@ FROM archived WHERE served GROUP BY page_id""",
     "load_csv": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM laptops_raw",
     "export_raw": f"SELECT {RAW_COLS.replace('id, ', '', 1)} FROM first_seen",
     "surrogate_key": f"SELECT ROW_NUMBER() OVER (ORDER BY id) AS row_id, {RAW_COLS} FROM laptops_raw",
+    "surrogate_key_loads": f"""SELECT ROW_NUMBER() OVER (ORDER BY CASE WHEN {KR} <= 3 THEN 1 ELSE 2 END,
+  id) AS row_id, {RAW_COLS} FROM laptops_raw""",
     "stream_first_seen": f"SELECT {RAW_COLS} FROM first_seen",
+    "crawl_checkpoint": f"SELECT {RAW_COLS} FROM first_seen",
+    "crawl_cutoff_long": """SELECT search_keyword,
+  CAST(COALESCE(MIN(stop), MAX(page)) AS INT) AS stop_page,
+  COALESCE(arg_min(reason, page) FILTER (WHERE reason IS NOT NULL), 'max pages') AS stop_reason,
+  CAST(COALESCE(SUM(products) FILTER (WHERE first_stop IS NULL OR page <= first_stop), 0) AS BIGINT)
+    AS products_kept
+FROM (SELECT *, MIN(stop) OVER (PARTITION BY search_keyword) AS first_stop
+  FROM (SELECT *, CASE WHEN reason IS NOT NULL THEN page END AS stop
+    FROM (SELECT *, CASE WHEN blocked THEN 'blocked' WHEN products = 0 AND
+        LAG(products) OVER (PARTITION BY search_keyword ORDER BY page) = 0 THEN 'empty run' END AS reason
+      FROM (SELECT concat('long ', o_orderkey % 3) AS search_keyword, o_orderkey // 3 AS page,
+          o_custkey % 60 AS products, o_orderkey % 9973 = 0 AS blocked FROM orders))))
+GROUP BY search_keyword""",
     "cleaned": "SELECT * FROM laptops_cleaned",
     "clean_removed": f"""SELECT id, asin, product_name, brand, price_inr,
   CASE WHEN price_inr IS NULL THEN 'missing price'

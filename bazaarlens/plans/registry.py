@@ -23,9 +23,14 @@ from bazaarlens.operators import marts as V
 from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
+from bazaarlens.operators.checkpoint import checkpoint_crawl, read_checkpoint
 from bazaarlens.plans import materialize as M
+from bazaarlens.session import scratch_path
 from bazaarlens.sources.csv import load_csv
-from bazaarlens.sources.schema import LISTING_SCHEMA, RAW_SCHEMA
+from bazaarlens.sources.keys import keyed_load
+from bazaarlens.sources.schema import LISTING_SCHEMA
+from bazaarlens.sources.tables import read_table
+from bazaarlens.streaming.first_seen import read_first_seen, start_first_seen
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -147,8 +152,39 @@ def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First sightings as the stream over the stored listing files found them."""
-    return spark.read.schema(RAW_SCHEMA).parquet(M.stream_winners_path(spark, sf_dir))
+    """First sightings by the stream over the landed files, in two micro-batches;
+    the stream runs in the query, with state and sink of its own."""
+    work = scratch_path(spark, "first-seen")
+    start_first_seen(spark, M.landing_path(spark, sf_dir), f"{work}/sink", f"{work}/ckpt",
+                     batch_files=M.LANDING_FILES // 2).awaitTermination()
+    return read_first_seen(spark, f"{work}/sink")
+
+
+def _crawl_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl that ends after three keywords, and a second run that resumes."""
+    path = scratch_path(spark, "crawl-checkpoint")
+    checkpoint_crawl(raw(spark, sf_dir), path, at_most=RESUME_AFTER_KEYWORDS)
+    checkpoint_crawl(raw(spark, sf_dir), path)
+    return read_checkpoint(spark, path)
+
+
+def _surrogate_key_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of one table: the keys of the second continue the first's."""
+    table = f"{scratch_path(spark, 'keyed-loads')}/table"
+    for part in _split_for_resume(raw(spark, sf_dir)):
+        keyed_load(part, ["id"], table)
+    return spark.read.parquet(table)
+
+
+def _crawl_cutoff_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stop rules over keywords of thousands of pages (visits derived from
+    ``orders``), which are dealt over tasks in blocks."""
+    visits = read_table(spark, sf_dir, "orders").select(
+        F.expr("concat('long ', o_orderkey % 3)").alias("search_keyword"),
+        F.expr("cast(o_orderkey div 3 as int)").alias("page_scraped"),
+        F.expr("cast(o_custkey % 60 as bigint)").alias("products"),
+        F.expr("if(o_orderkey % 9973 = 0, 'blocked', 'ok')").alias("status"))
+    return D.crawl_cutoff(visits, max_pages=None)
 
 
 def _dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +203,7 @@ QUERIES: dict[str, QueryFn] = {
     "load_csv": _load_csv,
     "export_raw": _export_raw,
     "surrogate_key": _surrogate_key,
+    "surrogate_key_loads": _surrogate_key_loads,
     "cleaned": cleaned,
     "clean_removed": _on_raw(C.clean_removed),
     "list_marts": _list_marts,
@@ -191,6 +228,8 @@ QUERIES: dict[str, QueryFn] = {
     "first_seen": _on_raw(D.first_seen),
     "page_yield": _on_raw(D.page_yield),
     "crawl_cutoff": _crawl_cutoff,
+    "crawl_cutoff_long": _crawl_cutoff_long,
+    "crawl_checkpoint": _crawl_checkpoint,
     "incremental_new": _incremental_new,
     "resume_crawl": _resume_crawl,
     "stream_first_seen": _stream_first_seen,
