@@ -261,17 +261,23 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame,
     valid = rows.filter(F.col("klass").isNotNull())
     copies = valid.groupBy("klass").agg(F.count(F.lit(1)).alias("copies"))
     classes = store(valid.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-                    .select("klass", F.col("vec_id").alias("id"), "label", "dim", "unit")
-                    .join(copies, "klass"), "emb-classes")
+                    .select("klass", "vec_id", "label", "dim", "unit").join(copies, "klass")
+                    .withColumn("id", F.monotonically_increasing_id()), "emb-classes")
     placed = store(place(spark, classes, fit_cells(classes), threshold), "emb-placed")
     found = store(compare(placed, threshold), "emb-links")
     comps = components(found.filter(F.col("b").isNotNull()).select("a", "b"))
     links = (found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("id"))
              .agg(F.sum("links").alias("links")))
-    named = (classes.select("klass", "id", "copies").join(links, "id", "left")
-             .join(comps.withColumnRenamed("node", "id"), "id", "left")
-             .select("klass", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                     F.coalesce("component", "id").alias("component")))
+    # classes are the vertices of links (two may share a vec_id); a component is
+    # named by its smallest vec_id at the end
+    group = F.coalesce("component", "id").alias("group")
+    joined = store(classes.select("klass", "vec_id", "id", "copies").join(links, "id", "left")
+                   .join(comps.withColumnRenamed("node", "id"), "id", "left")
+                   .select("klass", "vec_id", group,
+                           (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")),
+                   "emb-groups")
+    named = joined.drop("vec_id").join(
+        joined.groupBy("group").agg(F.min("vec_id").alias("component")), "group")
     out = rows.select("vec_id", "klass").join(store(named, "emb-named"), "klass", "left")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
                       F.coalesce("component", "vec_id").alias("component_id"),

@@ -9,7 +9,11 @@ State of a ``LineStore``, all in tables below ``spark.checkpoint.dir``:
 
 ``insert`` and ``delete`` add or subtract documents: reference counts are
 merged exactly, and only keys that cross the threshold are inserted into or
-deleted from their shard's filter, so a deletion undoes an insertion.
+deleted from their shard's filter, so a deletion undoes an insertion. Counts may
+be negative: a deletion that comes before its insertion is remembered. A filter
+that is full, or an exact table that has outgrown its shards, makes all filters
+anew with more shards. ``save`` and ``LineStore.open`` keep the state under a
+name for later sessions; a store that holds nothing drops nothing.
 ``dropped`` asks the filters first and confirms every positive against the
 exact table; false positives of the filter never reach a document.
 
@@ -91,18 +95,40 @@ class LineStore:
 
     def _change(self, delta: DataFrame) -> None:
         if self.refs is None:
-            self.refs = store(delta.filter("refs > 0"), "line-refs")
+            self.refs = store(delta.filter("refs <> 0"), "line-refs")
             return self._rebuild()
         old = self.refs.select("key", F.col("refs").alias("old"), F.lit(0).cast("bigint").alias("d"))
         new = delta.select("key", F.lit(0).cast("bigint").alias("old"), F.col("refs").alias("d"))
         merged = store(old.unionByName(new).groupBy("key").agg(
             F.sum("old").alias("old"), (F.sum("old") + F.sum("d")).alias("refs")), "line-merge")
-        self.refs = store(merged.filter("refs > 0").select("key", "refs"), "line-refs")
+        self.refs = store(merged.filter("refs <> 0").select("key", "refs"), "line-refs")
+        if self.refs.count() > 2 * SHARD_REFS * self.n_shards:
+            return self._rebuild()
         hot_before, hot = F.col("old") >= self.min_docs, F.col("refs") >= self.min_docs
         moves = merged.filter(hot_before != hot).select(
             "key", F.when(hot, F.lit(1)).otherwise(F.lit(2)).alias("op"))
         self._update(moves)
 
+    def save(self, folder: str) -> None:
+        """Keep the state in a new folder of a shared file system."""
+        if self.refs is not None:
+            self.refs.write.parquet(f"{folder}/refs")
+            self.filters.write.parquet(f"{folder}/filters")
+        self.spark.range(1).select(F.lit(self.min_docs).alias("min_docs"),
+                                   F.lit(self.n_shards).alias("n_shards")) \
+            .write.parquet(f"{folder}/settings")      # written last: the state is whole
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> LineStore:
+        """The state that ``save`` kept; changes are not written back to the folder."""
+        kept = spark.read.parquet(f"{folder}/settings").first()
+        out = cls(spark, kept.min_docs)
+        if kept.n_shards:
+            out.n_shards = kept.n_shards
+            out.refs = spark.read.parquet(f"{folder}/refs")
+            out.filters = spark.read.parquet(f"{folder}/filters")
+        return out
+
     def _hot(self) -> DataFrame:
         return self.refs.filter(F.col("refs") >= self.min_docs).select("key")
 
@@ -143,6 +169,8 @@ class LineStore:
 
     def dropped(self, keys: DataFrame) -> DataFrame:
         """Of distinct keys (column ``key``) those to drop: filter, then exact table."""
+        if self.filters is None:
+            return keys.select("key").filter(F.lit(False))
         asked = keys.select(_shard(self.n_shards).alias("shard"), F.lit(1).alias("op"), "key",
                             F.lit(None).cast("binary").alias("blob"))
         rows = asked.unionByName(self.filters.select(

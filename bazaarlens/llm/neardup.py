@@ -23,9 +23,9 @@ So every pair that shares a bucket is compared or already connected. A
 pivot's or block's members are dealt in salted portions of bounded size.
 
 Texts without words, and null texts, have an empty set and link with nothing;
-one word is a set of that word; repeated rows are copies of one another. Ids
-name texts: rows that share an id but not the text are one vertex, compared by
-the text whose digest comes first.
+one word is a set of that word; repeated rows are copies of one another. Links
+are between classes of equal sets, numbered by themselves: rows that share an id
+but not the text are different vertices, and rows without an id take part.
 """
 
 from __future__ import annotations
@@ -226,14 +226,10 @@ def _salt(id_col, n):
     return F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), n).cast("int")
 
 
-def link_classes(spark: SparkSession, docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
-    """(node, component) over class representatives.
-
-    ``marks``: the stored ``signed`` rows. A class is named by the smallest doc_id in it."""
-    first = Window.partitionBy("klass").orderBy("doc_id", "rk")
-    classes = (marks.filter(F.col("klass").isNotNull() & F.col("doc_id").isNotNull())
-               .withColumn("nth", F.row_number().over(first)).filter("nth = 1"))
-    slots = store(classes.select(F.col("doc_id").alias("id"), "rk", F.col("n_shingles").alias("n"),
+def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(node, component) over the stored ``classes`` of equal sets: vertex (a
+    number), rk of the row that stands for the class, n_shingles, bands."""
+    slots = store(classes.select(F.col("vertex").alias("id"), "rk", F.col("n_shingles").alias("n"),
                                  F.explode("bands").alias("band")), "band-slots")
     shared = (slots.groupBy("band").agg(F.count(F.lit(1)).alias("members"),
                                         F.min("id").alias("pivot"))
@@ -302,21 +298,31 @@ def link_classes(spark: SparkSession, docs: DataFrame, marks: DataFrame, size: i
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Per document row: doc_id, rk, n_shingles, component_id, kept.
 
-    ``component_id`` is the smallest doc_id reachable by links; a document
-    without id is its own, with a null component, and stays."""
+    ``component_id`` is the smallest doc_id reachable by links. A document
+    without id is kept only if no document with an id is reachable; of a component
+    without ids the text whose digest comes first is kept, with a null component."""
     marks = store(signed(docs, size), "signed")
-    comps = link_classes(spark, docs, marks, size)
-    of_class = store(marks.filter(F.col("klass").isNotNull()).groupBy("klass")
-                     .agg(F.min("doc_id").alias("class_id")), "classes")
-    named = store(of_class.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left")
-                  .select("klass", F.coalesce("component", "class_id").alias("component_id")),
-                  "class-components")
-    rows = (marks.select("doc_id", "rk", "n_shingles", "klass").join(named, "klass", "left")
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(),
-                                               F.coalesce("component_id", "doc_id"))))
-    return rows.select("doc_id", "rk", "n_shingles", "component_id",
-                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-                       .alias("kept"))
+    first = Window.partitionBy("klass").orderBy(F.col("doc_id").asc_nulls_last(), "rk")
+    classes = store(marks.filter(F.col("klass").isNotNull())
+                    .withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+                    .select("klass", "doc_id", "rk", "n_shingles", "bands",
+                            F.monotonically_increasing_id().alias("vertex")), "classes")
+    comps = link_classes(spark, docs, classes, size)
+    grouped = store(classes.select("klass", "doc_id", "rk", F.col("vertex").alias("node"))
+                    .join(comps, "node", "left")
+                    .select("klass", "doc_id", "rk", F.coalesce("component", "node").alias("group")),
+                    "class-groups")
+    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"),
+                                         F.min("rk").alias("first_rk"))
+    named = store(grouped.select("klass", "group").join(least, "group")
+                  .select("klass", "component_id", "first_rk"), "class-components")
+    rows = marks.select("doc_id", "rk", "n_shingles", "klass").join(named, "klass", "left")
+    kept = (F.when(F.col("klass").isNull(), F.lit(True))
+            .when(F.col("component_id").isNull(), F.col("rk") == F.col("first_rk"))
+            .otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+    return rows.select("doc_id", "rk", "n_shingles",
+                       F.coalesce("component_id", "doc_id").alias("component_id"),
+                       kept.alias("kept"))
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:

@@ -69,3 +69,42 @@ def test_stage_keeps_columns_and_clashing_names(spark):
         {(i, f"own {i}", len(f"own {i}"), "x", 1) for i in range(10)}
     assert drop_lines(spark, docs).count() == 10
     assert dedup_lines(spark, docs.limit(0).drop("kept_text", "n_lines")).count() == 0
+
+
+def _counts(store):
+    return {bytes(r.key): r.refs for r in store.refs.collect()}
+
+
+def test_insertions_and_deletions_commute(spark, tmp_path, monkeypatch):
+    """Any order of insertions and deletions equals a recount; a saved state goes
+    on in another session; shards grow with the exact table."""
+    import bazaarlens.llm.linededup as L
+    monkeypatch.setattr(L, "SHARD_REFS", 8)
+    rnd = random.Random(11)
+    batches = [[(b * 100 + i, "\n".join(f"L{rnd.randint(0, 30)}" for _ in range(5)), "en", "s", 1)
+                for i in range(6)] for b in range(4)]
+    frames = [docs_frame(spark, rows) for rows in batches]
+    store = LineStore(spark, min_docs=3)
+    assert _gone(store, frames[0]) == set()                # nothing held, nothing dropped
+    assert drop_lines(spark, frames[0], state=store).filter("n_dropped > 0").count() == 0
+    store.delete(frames[0])                                # before its insertion
+    store.insert(frames[1])
+    store.insert(frames[0])
+    store.insert(frames[2])
+    shards = store.n_shards
+    store.save(str(tmp_path / "state"))
+    again = LineStore.open(spark.newSession(), str(tmp_path / "state"))
+    assert again.min_docs == 3 and again.n_shards == shards
+    again.delete(frames[1])
+    again.insert(frames[3])
+    held = [r for b in (2, 3) for r in batches[b]]
+    expected = {}
+    for r in held:
+        for k in set(keys_of(r[1])[1]):
+            expected[k] = expected.get(k, 0) + 1
+    assert _counts(again) == expected
+    assert _gone(again, frames[3]) == {k for k in set().union(
+        *[keys_of(r[1])[1] for r in batches[3]]) if expected[k] >= 3}
+    empty = LineStore(spark)
+    empty.save(str(tmp_path / "empty"))
+    assert LineStore.open(spark, str(tmp_path / "empty")).refs is None

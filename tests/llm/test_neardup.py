@@ -1,6 +1,7 @@
 """Near-duplicates against brute force; SuperMinHash; components."""
 
 import collections
+import hashlib
 import random
 
 import numpy as np
@@ -33,8 +34,6 @@ def brute(rows, size=2):
 
     holders = collections.defaultdict(list)
     for k, s in sets.items():
-        if rows[k][0] is None:
-            continue
         seen = collections.Counter(j for x in s for j in holders[x])
         for j, n in seen.items():
             if 100 * n >= 80 * (len(s) + len(sets[j]) - n):
@@ -47,22 +46,30 @@ def brute(rows, size=2):
     for k, (i, _) in enumerate(rows):
         if i is not None:
             least[find(k)] = min(least.get(find(k), i), i)
-    return [least.get(find(k)) for k in range(len(rows))], sets
+    return [least.get(find(k)) for k in range(len(rows))], sets, [find(k) for k in range(len(rows))]
 
 
 def check(spark, rows, size=2):
+    """Links are between rows; rows that share an id are rows of their own."""
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in
                   N.near_duplicates(spark, docs, size).collect()), key=str)
-    comps, sets = brute(rows, size)
-    assert got == sorted(((i, len(sets[k]), c, c is None or i == c)
+    comps, sets, groups = brute(rows, size)
+    # of a component without ids the texts of the first digest are kept
+    md5 = [hashlib.md5(f"-:{t or ''}".encode()).hexdigest() for _, t in rows]
+    bare = {}
+    for k, c in enumerate(comps):
+        if c is None:
+            bare.setdefault(groups[k], []).append(md5[k])
+    assert got == sorted(((i, len(sets[k]), c, i == c if c is not None else
+                           not sets[k] or md5[k] == min(bare[groups[k]]))
                           for k, ((i, _), c) in enumerate(zip(rows, comps))), key=str)
 
 
 def test_small_table(spark):
     docs = [(r.doc_id, r.text) for r in
             spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
-    comps, sets = brute(docs)
+    comps, sets, _ = brute(docs)
     got = {r.doc_id: r for r in QUERIES["op9_minhash_neardup"](spark, SF_SMALL).collect()}
     for (i, _), c, k in zip(docs, comps, range(len(docs))):
         assert (got[i].component_id, got[i].n_shingles, got[i].kept) == (c, len(sets[k]), c == i)
@@ -93,6 +100,23 @@ def test_awkward_documents(spark):
     check(spark, [(r[0], r[1]) for r in awkward_docs()], 5)
 
 
+def test_shared_and_null_ids(spark):
+    """Rows that share an id keep the links of each of their texts; rows without
+    an id link, also with one another."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    check(spark, [(1, a), (2, a + " x"), (2, b), (3, b + " y"), (3, c)])
+    check(spark, [(None, a), (None, a + " x"), (7, b), (None, b + " y"), (None, c), (None, c),
+                  (None, None), (None, ""), (5, c + " z"), (None, "one"), (None, "one two")])
+    rnd = random.Random(9)
+    rows = []
+    for _ in range(120):
+        t = rnd.choice([a, b, c]).split()
+        for _ in range(rnd.randrange(4)):
+            t[rnd.randrange(40)] = f"x{rnd.randrange(50)}"
+        rows.append((rnd.choice([None, rnd.randrange(20)]), " ".join(t)))
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(spark, docs_frame(spark).limit(0)).count() == 0
 
@@ -102,7 +126,7 @@ def test_stage_keeps_one_per_group(spark):
     out = N.keep_first(spark, docs, 5)
     assert out.columns == docs.columns
     ids = sorted((r.doc_id for r in out.collect()), key=str)
-    assert ids == sorted([1, None, 3, 4, 5, 6, 7, 8], key=str)
+    assert ids == sorted([1, 3, 4, 5, 6, 7, 8], key=str)   # the one without id copies 1
 
 
 def test_super_minhash_estimates_with_low_variance():

@@ -85,6 +85,15 @@ def test_vectors(spark, tmp_path):
     assert got == ["(1, 0, 1, True)", "(None, 0, None, True)", "(None, 0, None, True)"]
 
 
+def test_vectors_that_share_an_id_are_vertices_of_their_own(spark):
+    from bazaarlens.llm.embeddings import near_duplicates
+    base, n, o = [1.0] + [0.0] * 7, [1.0, 0.2] + [0.0] * 6, [0.0, 0.0, 1.0] + [0.0] * 5
+    rows = [(1, base, 1), (2, n, 1), (2, o, 1), (3, o, 1), (4, o, 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_duplicates(spark, df).collect())
+    assert got == [(1, 1, 1), (2, 1, 1), (2, 2, 2), (3, 2, 2), (4, 2, 2)]
+
+
 def test_conversations(spark, tmp_path):
     tricky = ["<|im_end|>", "<\\|x", "<", "|im_start|>", "a<|", "<\\\\|", None, "", "é🙂 <|im_sep|>"]
     rows = [(1, k, ("user", "assistant", "system")[k % 3], t) for k, t in enumerate(tricky)]
