@@ -26,6 +26,7 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarlens.operators.clean import clean
 from bazaarlens.operators.extract import (CARD_SCHEMA, as_page_archive, card_fields,
@@ -152,6 +153,30 @@ def raw_csv_path(spark: SparkSession, sf_dir: str) -> str:
                   lambda folder: export_csv(raw_table(spark, sf_dir), folder))
 
 
+def flawed_csv_path(spark: SparkSession, sf_dir: str) -> str:
+    """The raw listings as CSV lines that end with CRLF, some of them flawed by
+    their id: numbers and dates that are none, lines cut short or too long."""
+    from bazaarlens.sources.schema import LISTING_SCHEMA
+
+    def write(folder: str) -> None:
+        flaws = {"price_inr": (83, "n/a"), "total_reviews": (89, "12.5"), "rating": (101, "4,5"),
+                 "scraped_at": (107, "yesterday")}
+        cols = []
+        for f in LISTING_SCHEMA.fields:
+            c = F.coalesce(F.col(f.name).cast("string"), F.lit(""))
+            if f.name in flaws:
+                every, value = flaws[f.name]
+                c = F.when(F.col("id") % every == 0, F.lit(value)).otherwise(c)
+            cols.append(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+        line = F.when(F.col("id") % 131 == 0, F.concat_ws(",", *cols[:3])) \
+            .otherwise(F.concat_ws(",", *cols))
+        line = F.when(F.col("id") % 137 == 0, F.concat(line, F.lit(",more"))).otherwise(line)
+        raw_table(spark, sf_dir).select(line.alias("value")).write.mode("overwrite") \
+            .option("lineSep", "\r\n").text(folder)
+
+    return stored(spark, "laptops_flawed_csv", [table_path(sf_dir, "orders")], write)
+
+
 def export_path(spark: SparkSession, sf_dir: str) -> str:
     """The de-duplicated listings exported once (the run's raw export)."""
     from bazaarlens.operators.dedup import first_seen

@@ -265,6 +265,7 @@ FROM (SELECT *, MIN(stop) OVER (PARTITION BY search_keyword) AS first_stop
           o_custkey % 60 AS products, o_orderkey % 9973 = 0 AS blocked FROM orders))))
 GROUP BY search_keyword""",
     "cleaned": "SELECT * FROM laptops_cleaned",
+    "cleaned_stored": "SELECT * FROM laptops_cleaned",
     "clean_removed": f"""SELECT id, asin, product_name, brand, price_inr,
   CASE WHEN price_inr IS NULL THEN 'missing price'
        WHEN price_inr <= {PRICE_LOW} THEN 'price too low'
@@ -405,6 +406,33 @@ BODIES["archive_kpi_summary"] = MART_SQL["vw_kpi_summary"].replace(
     f"FROM ({cleaned_sql('(' + BODIES['archive_listings'] + ') AS archive_raw')}) AS archive_cleaned")
 
 
+# Flaws of the CSV input, by id: fields, lines cut after three fields, lines with one
+# field more. All fields are quoted.
+_FLAWS = [("price_inr", 83, "n/a", "decimal(10,2)"), ("total_reviews", 89, "12.5", "int"),
+          ("rating", 101, "4,5", "decimal(3,1)"), ("scraped_at", 107, "yesterday", "timestamp_ntz")]
+
+
+def _line_sql(n: int) -> str:
+    """The first n fields of a listing as the flawed file holds them."""
+    flaws = {field: f"WHEN id % {every} = 0 THEN '{value}' " for field, every, value, _ in _FLAWS}
+    fields = [f"""'"' || replace(CASE {flaws.get(c, "")}WHEN {c} IS NULL THEN ''
+      ELSE CAST({c} AS VARCHAR) END, '"', '""') || '"'""" for c in RAW_COLS.split(", ")[1:n + 1]]
+    return " || ',' || ".join(fields)
+
+
+BODIES["load_rejects"] = " UNION ALL ".join(
+    [f"""SELECT asin, '{field}' AS field, '{value}' AS value, 'not a {kind}' AS reason
+FROM laptops_raw WHERE id % {every} = 0 AND id % 131 <> 0""" for field, every, value, kind in _FLAWS]
+    + [f"""SELECT asin, NULL AS field, CASE WHEN id % 131 = 0 THEN {_line_sql(3)} ELSE {_line_sql(12)} END
+  || CASE WHEN id % 137 = 0 THEN ',more' ELSE '' END AS value,
+  CASE WHEN id % 131 = 0 THEN 'too few fields' ELSE 'too many fields' END AS reason
+FROM laptops_raw WHERE id % 131 = 0 OR id % 137 = 0""",
+       """SELECT asin, 'price_inr', 'more', 'not a decimal(10,2)'
+FROM laptops_raw WHERE id % 131 = 0 AND id % 137 = 0"""])   # the fourth of a short line's fields
+BODIES |= {name.replace("vw_", "merged_"): MART_SQL[name] for name in
+           ("vw_brand_performance", "vw_price_segments", "vw_discount_analysis", "vw_kpi_summary")}
+
+
 def with_base(body: str) -> str:
     return (f"WITH laptops_raw AS ({raw_from_orders_sql('orders')}),\n"
             f"laptops_cleaned AS ({CLEANED_SQL}),\n"

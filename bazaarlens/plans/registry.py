@@ -19,14 +19,16 @@ from bazaarlens.operators import clean as C
 from bazaarlens.operators import dedup as D
 from bazaarlens.operators import extract as X
 from bazaarlens.operators import insights as B
+from bazaarlens.operators import mart_state as S
 from bazaarlens.operators import marts as V
 from bazaarlens.operators import measures as I
 from bazaarlens.operators import quality as Q
 from bazaarlens.operators import report as R
 from bazaarlens.operators.checkpoint import checkpoint_crawl, read_checkpoint
+from bazaarlens.plans import catalog as K
 from bazaarlens.plans import materialize as M
 from bazaarlens.session import scratch_path
-from bazaarlens.sources.csv import load_csv
+from bazaarlens.sources.csv import load_csv, load_rejects
 from bazaarlens.sources.keys import keyed_load
 from bazaarlens.sources.schema import LISTING_SCHEMA
 from bazaarlens.sources.tables import read_table
@@ -58,6 +60,10 @@ def _on_cleaned(fn) -> QueryFn:
     return lambda spark, sf_dir: fn(cleaned_table(spark, sf_dir))
 
 
+def _on_bucketed(fn) -> QueryFn:
+    return lambda spark, sf_dir: fn(K.raw_bucketed(spark, sf_dir))
+
+
 def _on_raw(fn) -> QueryFn:
     return lambda spark, sf_dir: fn(raw(spark, sf_dir))
 
@@ -95,7 +101,7 @@ def _split_for_resume(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _incremental_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen, new = _split_for_resume(raw(spark, sf_dir))
+    seen, new = _split_for_resume(K.raw_bucketed(spark, sf_dir))
     return D.incremental_new(new, seen)
 
 
@@ -143,6 +149,22 @@ def _load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_csv(spark, M.raw_csv_path(spark, sf_dir))
 
 
+def _load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of a flawed file cannot take (the file's place left out)."""
+    return load_rejects(spark, M.flawed_csv_path(spark, sf_dir), header=False).drop(
+        "file", "block_start")
+
+
+def _merged(name: str) -> QueryFn:
+    """A mart from the merged states of two loads (the keywords of the resume)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, "mart-state")
+        for part in _split_for_resume(cleaned_table(spark, sf_dir)):
+            state = S.update_state(part, folder)
+        return S.STATE_MARTS[name](state)
+    return run
+
+
 def _export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(LISTING_SCHEMA).parquet(M.export_path(spark, sf_dir))
 
@@ -201,15 +223,17 @@ QUERIES: dict[str, QueryFn] = {
     # sources / catalog
     "raw_count": _on_raw(Q.raw_count),
     "load_csv": _load_csv,
+    "load_rejects": _load_rejects,
     "export_raw": _export_raw,
     "surrogate_key": _surrogate_key,
     "surrogate_key_loads": _surrogate_key_loads,
     "cleaned": cleaned,
+    "cleaned_stored": K.cleaned_bucketed,
     "clean_removed": _on_raw(C.clean_removed),
     "list_marts": _list_marts,
     # data quality
     "dq_profile": _on_raw(Q.dq_profile),
-    "dq_duplicates": _on_raw(Q.dq_duplicates),
+    "dq_duplicates": _on_bucketed(Q.dq_duplicates),
     "dq_reconcile": _dq_reconcile,
     # market questions
     "brand_leaderboard": _on_cleaned(B.brand_leaderboard),
@@ -224,8 +248,10 @@ QUERIES: dict[str, QueryFn] = {
     "brand_positioning": _on_cleaned(B.brand_positioning),
     # reporting marts, read through their registered views
     **{name: _via_view(name) for name in V.MARTS},
+    # the grouped marts, kept up to date over two loads
+    **{name.replace("vw_", "merged_"): _merged(name) for name in S.STATE_MARTS},
     # dedup and crawl bookkeeping
-    "first_seen": _on_raw(D.first_seen),
+    "first_seen": _on_bucketed(D.first_seen),
     "page_yield": _on_raw(D.page_yield),
     "crawl_cutoff": _crawl_cutoff,
     "crawl_cutoff_long": _crawl_cutoff_long,
