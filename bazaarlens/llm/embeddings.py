@@ -276,8 +276,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame,
                    .select("klass", "vec_id", group,
                            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")),
                    "emb-groups")
-    named = joined.drop("vec_id").join(
-        joined.groupBy("group").agg(F.min("vec_id").alias("component")), "group")
+    least = store(joined.groupBy("group").agg(F.min("vec_id").alias("component")), "emb-least")
+    named = joined.drop("vec_id").join(least, "group")
     out = rows.select("vec_id", "klass").join(store(named, "emb-named"), "klass", "left")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
                       F.coalesce("component", "vec_id").alias("component_id"),

@@ -312,8 +312,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE) -
                     .join(comps, "node", "left")
                     .select("klass", "doc_id", "rk", F.coalesce("component", "node").alias("group")),
                     "class-groups")
-    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"),
-                                         F.min("rk").alias("first_rk"))
+    # stored apart, so that the join of a large component's classes can be split
+    least = store(grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"),
+                                               F.min("rk").alias("first_rk")), "class-least")
     named = store(grouped.select("klass", "group").join(least, "group")
                   .select("klass", "component_id", "first_rk"), "class-components")
     rows = marks.select("doc_id", "rk", "n_shingles", "klass").join(named, "klass", "left")
