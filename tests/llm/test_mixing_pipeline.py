@@ -86,7 +86,7 @@ def plain_pipeline(docs, kept_ids, library):
     for i, text, source in docs:
         lines, keys = keys_of(text or "")
         cut.append((i, "\n".join(x for x, k in zip(lines, keys) if k not in gone), source))
-    comps, _ = brute([(d[0], d[1]) for d in cut], 5)
+    comps, _, _ = brute([(d[0], d[1]) for d in cut], 5)
     cut = [d for d, c in zip(cut, comps) if c == d[0]]
     sizes = collections.Counter()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
