@@ -7,16 +7,21 @@ starts and checks each neighbouring pair. ``Transducer`` determinises it while
 it reads: a state is the set of live guesses (trie node of the unfinished
 token, token before it); transitions are computed on first use and kept, and
 each tells the one token that ends there in the encoding of the prefix read.
-A guess lives at most as long as the longest token, so a token is settled
-after that many bytes of lookahead and is emitted. The state table is emptied
-when it outgrows ``MAX_STATES``; the result does not depend on it.
+A guess lives at most as long as the longest token, and the live guesses'
+token boundaries soon agree; what stands before the last boundary they share
+is settled. Every ``SETTLE`` bytes the settled tokens are emitted and only the
+bytes after them are remembered, so memory does not grow with the length of a
+piece. The state table is emptied when it outgrows ``MAX_STATES``; the result
+does not depend on it.
 
 Decoding streams: token bytes go through an incremental UTF-8 state machine
 that hands on whole characters and holds back an unfinished one.
 
 Null texts have no tokens and decode to no bytes; texts of any length are
-worked on in windows that end where a word ends, which the split pattern
-never crosses.
+worked on in windows that end where a word ends (by the split pattern's own
+white space), which the split pattern never crosses. Empty tables give empty
+results; other columns of the documents are kept, of which none may be named
+like the result.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from bazaarlens.llm.common import arrow_map
 LEAF: dict[int, int] = {}  # of all trie nodes without children
 MAX_STATES = 200_000  # per worker; about 0.5 kB each
 MAX_PIECES = 250_000  # per generation; about 0.2 kB each
+MAX_KEPT = 256  # characters of a piece that is kept with its ids
+SETTLE = 4096  # bytes after which the settled tokens of a piece are emitted
 WINDOW = 1 << 18  # characters worked on at a time
 
 
@@ -134,6 +141,7 @@ class Transducer:
         self.size = [len(t) for t in tokens]
         self.child: list[dict[int, int]] = [{}]   # trie
         self.ends: list[int] = [-1]
+        self.depth = array("H", [0])
         for i, t in enumerate(tokens):
             node = 0
             for b in t:
@@ -142,17 +150,21 @@ class Transducer:
                     nxt = len(self.child)
                     self.child.append({})
                     self.ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                     self.child[node][b] = nxt
                 node = nxt
             self.ends[node] = i
         self.child = [c or LEAF for c in self.child]
         self._clear()
 
-    def _clear(self):
+    def _clear(self, live: tuple = ((0, -1),)) -> int:
+        """Forget all states but the first and one of the guesses ``live``,
+        whose number (times 256) is returned."""
         start = ((0, -1),)
-        self.states = [start]
-        self.number = {start: 0}
+        self.states = list(dict.fromkeys((start, live)))
+        self.number = {s: i << 8 for i, s in enumerate(self.states)}
         self.step: dict[int, tuple[int, int]] = {}   # by 256 * state + byte
+        return self.number[live]
 
     def _move(self, state: int, byte: int) -> tuple[int, int]:
         """(256 * next state, token that ends here in the encoding of the prefix)."""
@@ -178,24 +190,49 @@ class Transducer:
         got = self.step[state | byte] = at, closing
         return got
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one match of the split pattern."""
-        if len(self.states) > MAX_STATES:
-            self._clear()
-        state, step, closing = 0, self.step.get, []
-        for b in piece:
-            got = step(state | b)
-            if got is None:
-                got = self._move(state, b)
-            state, token = got
-            closing.append(token)
-        ids, at, size = [], len(piece), self.size
-        while at:  # a guess older than the longest token is dead: what stands before is settled
+    def _settled(self, state: int, closing: list[int]) -> int:
+        """Last token boundary on which all live guesses agree, as a number of
+        the bytes remembered: their starts are walked back until they meet."""
+        n, size = len(closing), self.size
+        starts = {n - self.depth[node] for node, _ in self.states[state >> 8]}
+        while len(starts) > 1:
+            last = max(starts)
+            starts.remove(last)
+            starts.add(last - size[closing[last - 1]])
+        return starts.pop()
+
+    def _walk_back(self, closing: list[int], at: int) -> list[int]:
+        """Tokens of the first ``at`` bytes remembered."""
+        ids, size = [], self.size
+        while at:
             token = closing[at - 1]
             ids.append(token)
             at -= size[token]
         ids.reverse()
-        return tuple(ids)
+        return ids
+
+    def emit(self, piece: bytes) -> Iterator[list[int]]:
+        """Runs of ids of one match of the split pattern, as they are settled."""
+        state, closing = 0, []
+        for start in range(0, len(piece), SETTLE):
+            if start:
+                done = self._settled(state, closing)
+                yield self._walk_back(closing, done)
+                del closing[:done]
+            if len(self.states) > MAX_STATES:
+                state = self._clear(self.states[state >> 8])
+            step = self.step.get
+            for b in piece[start:start + SETTLE]:
+                got = step(state | b)
+                if got is None:
+                    got = self._move(state, b)
+                state, token = got
+                closing.append(token)
+        yield self._walk_back(closing, len(closing))
+
+    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+        """Ids of one match of the split pattern."""
+        return tuple(i for run in self.emit(piece) for i in run)
 
 
 class _Pieces(dict):
@@ -214,20 +251,25 @@ class _Pieces(dict):
         ids = self.old.get(piece)
         if ids is None:
             ids = array("i", self.transducer.encode_piece(piece.encode())).tobytes()
+            if len(piece) > MAX_KEPT:
+                return ids
         self[piece] = ids
         return ids
 
 
 def windows(text: str, size: int = WINDOW) -> Iterator[str]:
     """Cuts of a text that no match of the split pattern crosses: each ends
-    before white space that follows something else."""
+    before white space (as the pattern's ``\\s`` has it) that follows
+    something else."""
+    import regex
+    word_end = regex.compile(r"\S\s")
     start, n = 0, len(text)
     while n - start > size:
-        cut = start + size
-        while cut < n and not (text[cut].isspace() and not text[cut - 1].isspace()):
-            cut += 1
-        yield text[start:cut]
-        start = cut
+        end = word_end.search(text, start + size - 1)
+        if end is None:
+            break
+        yield text[start:end.start() + 1]
+        start = end.start() + 1
     yield text[start:]
 
 

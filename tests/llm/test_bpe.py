@@ -49,6 +49,41 @@ def test_windows_change_nothing(library, encoder):
         assert got == library.encode_ordinary(text)
 
 
+def test_windows_cut_by_the_pattern_s_white_space(library, encoder):
+    rnd = random.Random(11)
+    signs = "ab1.!  \n\x1c\x1d\x1e\x1f\x85\u00a0\u2028\u200b\x00"
+    for _ in range(300):
+        text = "".join(rnd.choice(signs) for _ in range(60))
+        for size in (1, 3, 10):
+            parts = list(windows(text, size))
+            assert "".join(parts) == text
+            assert [m for w in parts for m in encoder.find(w)] == encoder.find(text)
+    assert list(windows("..\x1c.. b", 2)) == ["..\x1c..", " b"]
+    assert list(windows("", 3)) == [""]
+
+
+def test_settled_tokens_are_emitted_early(library, encoder, monkeypatch):
+    """A long piece leaves the transducer in runs; what is remembered stays
+    below a settling step and a few times the longest token."""
+    import bazaarlens.llm.bpe as B
+    machine, rnd = encoder.pieces.transducer, random.Random(12)
+    longest, held = max(map(len, TOKENS)), []
+    plain = B.Transducer._settled
+    monkeypatch.setattr(B.Transducer, "_settled", lambda self, state, closing: (
+        held.append(len(closing)), plain(self, state, closing))[1])
+    for settle in (1, 7, 64):
+        monkeypatch.setattr(B, "SETTLE", settle)
+        for piece in (bytes(rnd.choice(b"abcdeinorst") for _ in range(3000)), b"a" * 3000,
+                      "é日🙂".encode() * 200, b"".join(rnd.choice(TOKENS) for _ in range(400))):
+            runs = list(machine.emit(piece))
+            assert [i for r in runs for i in r] == library._encode_single_piece(piece)
+            assert len(runs) == -(-len(piece) // settle)
+        assert max(held) <= settle + 3 * longest
+    monkeypatch.setattr(B, "MAX_STATES", 20)   # emptied within a piece
+    piece = bytes(rnd.choice(b"abcdeinorst") for _ in range(3000))
+    assert list(B.Transducer(TOKENS).encode_piece(piece)) == library._encode_single_piece(piece)
+
+
 def test_small_state_table_changes_nothing(library, encoder, monkeypatch):
     import bazaarlens.llm.bpe as B
     monkeypatch.setattr(B, "MAX_STATES", 20)
