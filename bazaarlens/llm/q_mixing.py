@@ -1,4 +1,5 @@
-"""Query op2: mix all documents to target weights."""
+"""Query op2: mix all documents to target weights; rows stand in training order
+of each document's first take, documents that are not taken last."""
 
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ NAME = "op2_mixing"
 
 def query(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mix(spark, docs)
+    mixed = mix(spark, docs).orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "ord")
     return mixed.select("doc_id", "size", "source_size", "target", "taken",
                         F.size("positions").cast("bigint").alias("n_takes"),
                         F.round(F.get("positions", F.lit(0)), 6).alias("first_position"))
