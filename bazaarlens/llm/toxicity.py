@@ -26,6 +26,11 @@ modulo 5, is 0) are learned from; text is the only input of a score. The
 sample is bounded by ``MAX_TOXIC`` and ``MAX_CLEAN`` documents of up to
 ``MAX_CHARS`` code points, drawn by digest of the id.
 
+Letters are compared without case and in their compatibility form, so
+full-width and styled Latin letters are the plain ones. Letters of other
+scripts share the ``SYMBOLS - SCRIPT`` codes that remain, by a digest of the
+code point; vowel signs and other marks are no letters.
+
 Null and empty texts have the decision value 0 of a text without
 subsequences. Null and repeated ids are allowed; of an id's rows one text is
 learned from (a null id is not held out
@@ -63,16 +68,23 @@ CLEAN_QUANTILE = 0.995     # toxic documents' further sentences must exceed clea
 PIECE = 1 << 18            # characters scored at a time
 
 # Letter codes 1-26 a to z, then START (the sign before a word),
-# accented Latin letters by base, and OTHER letters; 0 is everything else.
+# OTHER Latin letters, accented ones by base, letters of other scripts from
+# SCRIPT on; 0 is everything else.
 START, OTHER = 27, 28
 ACCENTED = "eaioun"
-SYMBOLS = 36
+SCRIPT, SYMBOLS = 35, 48
+LATIN, PLANES, IDEOGRAPHS = 0x250, 0x20000, 0x40000   # ends of ranges of code points
+
+
+def script_code(points):
+    """Code of letters (code points) of scripts other than Latin."""
+    return SCRIPT + (points * 0x9E3779B1 >> 16) % (SYMBOLS - SCRIPT)
 
 
 def _letter_codes() -> np.ndarray:
-    """Code of each code point below 0x250; case is dropped."""
-    out = np.zeros(0x250, np.uint8)
-    for cp in range(len(out)):
+    """Code of each code point below PLANES; case is dropped."""
+    out = np.zeros(PLANES, np.uint8)
+    for cp in range(LATIN):
         low = chr(cp).lower()
         base = unicodedata.normalize("NFD", low)[0]
         if not low[0].isalpha():
@@ -83,6 +95,18 @@ def _letter_codes() -> np.ndarray:
             out[cp] = OTHER + 1 + ACCENTED.index(base)
         else:
             out[cp] = OTHER
+    for cp in range(LATIN, PLANES):
+        if not chr(cp).isalpha():
+            continue
+        low = ord(unicodedata.normalize("NFKC", chr(cp)).lower()[0])
+        base = ord(unicodedata.normalize("NFD", chr(low))[0])
+        if low < LATIN:
+            out[cp] = out[low]
+        elif base < LATIN:   # a Latin letter with marks beyond the first blocks
+            accent = ACCENTED.find(chr(base))
+            out[cp] = OTHER + 1 + accent if accent >= 0 else OTHER
+        else:
+            out[cp] = script_code(base)
     return out
 
 
@@ -92,7 +116,10 @@ CODES = _letter_codes()
 def codes_of(text: str) -> np.ndarray:
     """One code per character, and one in front of the text."""
     points = np.frombuffer((" " + text).encode("utf-32-le", "replace"), np.uint32)
-    c = CODES[np.minimum(points, len(CODES) - 1)] * (points < len(CODES))
+    c = CODES[np.minimum(points, PLANES - 1)] * (points < PLANES)
+    if len(points) and points.max() >= PLANES:
+        far = (points >= PLANES) & (points < IDEOGRAPHS)
+        c[far] = script_code(points[far].astype(np.int64))
     c[:-1][(c[:-1] == 0) & (c[1:] > 0)] = START
     return c
 
@@ -157,6 +184,7 @@ def weigh(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
         if len(offsets) == 3:
             number = number * SYMBOLS + c[offsets[2]:offsets[2] + m]
         out[:m] += np.float32(weight) * table[number]
+    out[c == 0] = 0   # no letter starts there, though its 4-letter numbers look like 3-letter ones
     return out
 
 

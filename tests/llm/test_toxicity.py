@@ -1,6 +1,8 @@
 """Toxicity: kernel, held-out accuracy, awkward rows."""
 
+import itertools
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -73,6 +75,67 @@ def test_long_texts_are_scored_whole(model, monkeypatch):
     assert whole > 1
 
 
+def plain_peaks(text, weights):
+    """Worst stretches by the definition: the decision value of a start is the
+    weighted sum over all letter subsequences of length 3 and 4 from it that
+    span at most SPAN + 1 characters (SPAN for three letters)."""
+    codes = [int(c) for c in X.codes_of(text)]
+    starts = []
+    for i in range(len(codes)):
+        total = 0.0
+        for n in (3, 4):
+            reach = X.SPAN - 1 if n == 3 else X.SPAN
+            for rest in itertools.combinations(range(i + 1, min(len(codes), i + reach + 1)), n - 1):
+                picked = [codes[i]] + [codes[j] for j in rest]
+                if 0 not in picked:
+                    number = 0
+                    for c in picked:
+                        number = number * X.SYMBOLS + c
+                    total += X.DECAY ** (rest[-1] - i + 1) * weights.get(number, 0.0)
+        starts.append(total)
+    runs = [sum(starts[i:i + X.STRETCH]) for i in range(len(starts))]
+    tiles = [max(runs[i:i + X.TILE]) for i in range(0, len(runs), X.TILE)]
+    return sorted(tiles + [0.0] * X.PEAKS, reverse=True)[:X.PEAKS]
+
+
+def test_scores_equal_a_plain_scorer():
+    rows = corpus(300, seed=5)
+    weights, curve = X.train([r[1] for r in rows], [bool(r[2]) for r in rows])
+    table = np.zeros(X.N_CODES, np.float32)
+    table[list(weights)] = list(weights.values())
+    texts = [t for _, t, _ in corpus(40, seed=6)] + \
+        ["", "a", "s.n.a.r.k.l.e", "snärkle Éa", "ｓｎａｒｋｌｅ vile", "x" * 90, "привет snarkle"]
+    for text in texts:
+        want = plain_peaks(text, weights)
+        got = X.peaks(text, table)
+        assert np.allclose(got, want, atol=1e-3), text
+        assert abs(X.probability(got, curve) - X.probability(np.array(want), curve)) < 1e-3
+
+
+def test_letters_of_all_scripts_have_codes(model):
+    score, _ = model
+    clean = "tarino meka sulo denfi gruta. " * 6
+    for styled in ("ｓｎａｒｋｌｅ", "ＳＮＡＲＫＬＥ", "𝐬𝐧𝐚𝐫𝐤𝐥𝐞"):
+        assert unicodedata.normalize("NFKC", styled).lower() == "snarkle"
+        assert score(clean + styled) == score(clean + "snarkle")
+    for letters in ("дурак", "ηλίθιε", "أحمق", "笨蛋", "바보", "\U00020000\U00020001"):
+        assert (X.codes_of(letters)[1:] >= X.SCRIPT).sum() >= 2
+        assert X.codes_of(letters).max() < X.SYMBOLS
+    assert (X.codes_of("ДУРАК") == X.codes_of("дурак")).all()
+    assert not X.codes_of("🙂 1,2 \U000E0041")[1:].any()
+
+
+def test_toxic_words_of_another_script_are_learned():
+    to = {ord(a): b for a, b in zip("abcdefghijklmnoprstuvwxyz", "абцдефгхийклмнопрстувшжыз")}
+    rows = [(i, t.translate(to), y) for i, t, y in corpus(600, seed=8)]
+    weights, curve = X.train([r[1] for r in rows], [bool(r[2]) for r in rows])
+    table = np.zeros(X.N_CODES, np.float32)
+    table[list(weights)] = list(weights.values())
+    fresh = [(t.translate(to), y) for _, t, y in corpus(300, seed=78)]
+    hits = [(X.probability(X.peaks(t, table), curve) >= 0.5) == bool(y) for t, y in fresh]
+    assert np.mean(hits) > 0.9
+
+
 def test_one_class_only():
     weights, curve = X.train(["abc def"], [False])
     assert not weights and X.probability(np.zeros(X.PEAKS), curve) < 0.01
