@@ -43,6 +43,7 @@ SAMPLE_PER_CELL = 48     # vectors k-means sees per cell
 ROUNDS = 10
 BLOCK = 1_000            # home vectors that one unit holds
 PORTION = 4_000          # members that one unit streams
+PRODUCTS = 1 << 20       # cosines with centroids held at a time (8 MB)
 
 _UNIT_DDL = "vec_id bigint, label int, dim int, klass binary, unit binary"
 
@@ -94,8 +95,10 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
         chosen.append(nxt)
         near = np.maximum(near, x @ x[nxt])
     c = x[chosen].copy()
+    block = max(1, PRODUCTS // len(c))
     for _ in range(rounds):
-        home = np.argmax(x @ c.T, axis=1)
+        home = np.concatenate([np.argmax(x[i:i + block] @ c.T, axis=1)
+                               for i in range(0, len(x), block)])
         total = np.zeros_like(c)
         np.add.at(total, home, x)
         size = np.linalg.norm(total, axis=1)
@@ -134,6 +137,15 @@ def fit_cells(classes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     return {k: np.stack(v) for k, v in cells.items()}
 
 
+def parts_of(groups: dict, cells: dict):
+    """(group, some of its members): so many that their cosines with all of
+    the group's centroids number PRODUCTS at most."""
+    for key, members in groups.items():
+        block = max(1, PRODUCTS // len(cells[key])) if key in cells else len(members)
+        for i in range(0, len(members), block):
+            yield key, members[i:i + block]
+
+
 def place(spark: SparkSession, classes: DataFrame, cells: dict, threshold: float) -> DataFrame:
     """(cell, home, id, copies, unit): every class at home and as a visitor.
     ``cell`` is the text label:dim:number."""
@@ -150,7 +162,7 @@ def place(spark: SparkSession, classes: DataFrame, cells: dict, threshold: float
             groups: dict = {}
             for n, key in enumerate(zip(labels, dims)):
                 groups.setdefault(key, []).append(n)
-            for key, members in groups.items():
+            for key, members in parts_of(groups, sent.value):
                 name = f"{key[0]}:{key[1]}:"
                 c = sent.value.get(key)
                 if c is None:

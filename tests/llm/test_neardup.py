@@ -129,6 +129,31 @@ def test_stage_keeps_one_per_group(spark):
     assert ids == sorted([1, 3, 4, 5, 6, 7, 8], key=str)   # the one without id copies 1
 
 
+def test_planted_near_copies(spark):
+    """Copies with 0 to 8 replaced words: the five-word stage drops exactly
+    those that are 0.8 alike or more, and no other document."""
+    rnd = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, due = [], set()
+    for g in range(60):
+        words = [rnd.choice(vocabulary) for _ in range(200)]
+        rows.append((g * 100, " ".join(words)))
+        for k in range(9):
+            copy = list(words)
+            for at in rnd.sample(range(200), k):
+                copy[at] = "new" + str(rnd.randrange(10 ** 9))
+            a, b = ({tuple(w[i:i + 5]) for i in range(196)} for w in (words, copy))
+            rows.append((g * 100 + k + 1, " ".join(copy)))
+            if 100 * len(a & b) >= 80 * len(a | b):
+                due.add(g * 100 + k + 1)
+    assert 250 < len(due) < 450
+    kept = {r.doc_id for r in N.keep_first(
+        spark, spark.createDataFrame(rows, "doc_id bigint, text string"), 5).collect()}
+    comps, _, _ = brute(rows, 5)
+    assert kept == {i for (i, _), c in zip(rows, comps) if c == i}
+    assert not kept & due
+
+
 def test_super_minhash_estimates_with_low_variance():
     rnd = np.random.default_rng(0)
     est = []

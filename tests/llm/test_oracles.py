@@ -94,6 +94,25 @@ def test_vectors_that_share_an_id_are_vertices_of_their_own(spark):
     assert got == [(1, 1, 1), (2, 1, 1), (2, 2, 2), (3, 2, 2), (4, 2, 2)]
 
 
+def test_bounded_products_change_no_link(spark, monkeypatch):
+    import numpy as np
+
+    import bazaarlens.llm.embeddings as E
+    rnd = np.random.default_rng(4)
+    centres = rnd.normal(size=(12, 8))
+    x = centres[rnd.integers(0, 12, 400)] + 0.25 * rnd.normal(size=(400, 8))
+    monkeypatch.setattr(E, "CELL_VECTORS", 20)
+    whole = E.spherical_kmeans(x / np.linalg.norm(x, axis=1)[:, None], 20)
+    monkeypatch.setattr(E, "PRODUCTS", 64)
+    assert np.allclose(E.spherical_kmeans(x / np.linalg.norm(x, axis=1)[:, None], 20), whole)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                               "vec_id bigint, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (u @ u.T >= E.THRESHOLD).sum(axis=1) - 1
+    got = sorted((r.vec_id, r.n_links) for r in E.near_duplicates(spark, df).collect())
+    assert got == list(enumerate(links.tolist())) and links.sum() > 100
+
+
 def test_conversations(spark, tmp_path):
     tricky = ["<|im_end|>", "<\\|x", "<", "|im_start|>", "a<|", "<\\\\|", None, "", "é🙂 <|im_sep|>"]
     rows = [(1, k, ("user", "assistant", "system")[k % 3], t) for k, t in enumerate(tricky)]
