@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import bpe, linededup, mixing, neardup, quality
-from bazaarlens.llm.common import store
+from bazaarlens.llm.common import drop_stored, store
 from bazaarlens.sources.tables import read_table
 
 NEAR_DUP_SHINGLE = 5   # words; similarity 0.8 or more
@@ -57,7 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage. A stage's table is deleted once the next
+    stage's is written, so two copies of the corpus at most are stored."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop_stored(spark, before)
+        before = docs
     return docs
