@@ -211,28 +211,38 @@ class Transducer:
         ids.reverse()
         return ids
 
+    def _read(self, raw: bytes, state: int, closing: list[int]) -> int:
+        """Next state after ``raw``; the token that ends at each byte is added
+        to ``closing``."""
+        if len(self.states) > MAX_STATES:
+            state = self._clear(self.states[state >> 8])
+        step, add = self.step.get, closing.append
+        for b in raw:
+            got = step(state | b)
+            if got is None:
+                got = self._move(state, b)
+            state, token = got
+            add(token)
+        return state
+
     def emit(self, piece: bytes) -> Iterator[list[int]]:
         """Runs of ids of one match of the split pattern, as they are settled."""
-        state, closing = 0, []
-        for start in range(0, len(piece), SETTLE):
-            if start:
-                done = self._settled(state, closing)
-                yield self._walk_back(closing, done)
-                del closing[:done]
-            if len(self.states) > MAX_STATES:
-                state = self._clear(self.states[state >> 8])
-            step = self.step.get
-            for b in piece[start:start + SETTLE]:
-                got = step(state | b)
-                if got is None:
-                    got = self._move(state, b)
-                state, token = got
-                closing.append(token)
+        closing: list[int] = []
+        state = self._read(piece[:SETTLE], 0, closing)
+        for start in range(SETTLE, len(piece), SETTLE):
+            done = self._settled(state, closing)
+            yield self._walk_back(closing, done)
+            del closing[:done]
+            state = self._read(piece[start:start + SETTLE], state, closing)
         yield self._walk_back(closing, len(closing))
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one match of the split pattern."""
-        return tuple(i for run in self.emit(piece) for i in run)
+        if len(piece) > SETTLE:
+            return [i for run in self.emit(piece) for i in run]
+        closing: list[int] = []
+        self._read(piece, 0, closing)
+        return self._walk_back(closing, len(closing))
 
 
 class _Pieces(dict):
