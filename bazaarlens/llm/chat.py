@@ -13,9 +13,13 @@ single ids, so no token crosses a mark. The turn spans noted while rendering
 (sorted) are met with the token spans by binary search: a token carries loss
 when it lies inside the text of an assistant turn.
 
-Conversations are worked off turn by turn in the order of one sort, and leave
-as segments that end at a turn, of about ``SEGMENT`` characters; a
-conversation of any length is a run of segments of bounded size.
+Turns are range-sorted by conversation and place, so a long conversation is
+dealt over many tasks; each task renders, encodes and masks its turns in order
+and lets them go as segments that end at a turn, of about ``SEGMENT``
+characters. Segments are numbered in order across tasks. Reading back unescapes
+and decodes every segment by itself, wherever it stands; only the bytes of
+conversations in several segments (or on the edge of a task) are put in order,
+for the two running digests that have to take them one after the other.
 
 Null texts and roles are empty; turns are ordered by turn (nulls first), then
 role, then text, so ties and repeated rows have one result; rows with null
@@ -45,8 +49,11 @@ _ESCAPE = re.compile(r"<(\\*)\|")
 _UNESCAPE = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(f"{re.escape(START)}(.*?){re.escape(SEP)}(.*?){re.escape(END)}", re.S)
 
-_SEGMENT_DDL = ("conv_id bigint, segment bigint, formatted string, ids array<int>, "
-                "starts array<int>, loss array<boolean>")
+_SEGMENT_DDL = ("conv_id bigint, segment bigint, whole boolean, formatted string, "
+                "ids array<int>, starts array<int>, loss array<boolean>")
+_PART_DDL = ("conv_id bigint, segment bigint, whole boolean, turns binary, loss binary, "
+             "n_turns bigint, loss_chars bigint, formatted_chars bigint, n_tokens bigint")
+EDGE = 64  # characters of roles and texts by which equal turns are dealt to ranges
 
 
 def escape(text: str) -> str:
@@ -91,21 +98,26 @@ def loss_mask(starts: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
 
 
 def _sorted_turns(turns: DataFrame) -> DataFrame:
-    return (turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn",
-                         F.coalesce("role", F.lit("")).alias("role"),
-                         F.coalesce("text", F.lit("")).alias("text"))
-            .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-            .select("conv_id", "role", "text"))
+    """Turns in order, over ranges of (conversation, place); the range bounds
+    hold the first ``EDGE`` characters of role and text, in the same order."""
+    rows = turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn",
+                        F.coalesce("role", F.lit("")).alias("role"),
+                        F.coalesce("text", F.lit("")).alias("text"))
+    start = F.when(F.length("role") < EDGE, F.substring("text", 1, EDGE)).otherwise("")
+    return (rows.repartitionByRange("conv_id", "turn", F.substring("role", 1, EDGE), start)
+            .sortWithinPartitions("conv_id", "turn", "role", "text")
+            .select("conv_id", "role", "text", F.spark_partition_id().alias("part")))
 
 
 def format_conversations(spark: SparkSession, turns: DataFrame, vocabulary: str | None = None,
                          pattern: str | None = None) -> DataFrame:
-    """Segments (conv_id, segment, formatted, ids, starts, loss) of all
-    conversations; a conversation's segments follow each other in one task."""
+    """Segments (conv_id, segment, whole, formatted, ids, starts, loss) of all
+    conversations. ``segment`` ascends within a conversation; ``whole`` marks
+    segments that are known to be a conversation by themselves."""
     path, default = default_vocabulary()
     pattern = pattern or default
     tokens = spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or path)})
-    schema = pa.schema([("conv_id", pa.int64()), ("segment", pa.int64()),
+    schema = pa.schema([("conv_id", pa.int64()), ("segment", pa.int64()), ("whole", pa.bool_()),
                         ("formatted", pa.string()), ("ids", pa.list_(pa.int32())),
                         ("starts", pa.list_(pa.int32())), ("loss", pa.list_(pa.bool_()))])
 
@@ -114,81 +126,108 @@ def format_conversations(spark: SparkSession, turns: DataFrame, vocabulary: str
         enc = _resident(held, "encoder " + pattern, lambda: Encoder(held["tokens"], pattern))
         sizes = np.array([len(t) for t in held["tokens"]] + [len(m) for m in MARKS])
         rows = Rows(schema)
-        conv, began, segment, turns_, chars = None, False, 0, [], 0
+        conv, began, turns_, chars, left = None, False, [], 0, 0
+        edge = True      # in the task's first conversation, which may have begun elsewhere
+        cut = False      # this conversation has left a segment already
 
-        def leave():
+        def leave(whole):
             text, spans = render(turns_)
             ids, starts = encode_with_offsets(text, enc, sizes)
-            return rows.add(len(text) + 9 * len(ids), conv, segment, text, ids, starts[:-1],
-                            loss_mask(starts, spans))
+            return rows.add(len(text) + 9 * len(ids), conv, part << 40 | left, whole, text, ids,
+                            starts[:-1], loss_mask(starts, spans))
 
         for batch in batches:
-            for c, role, text in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+            for c, role, text, part in zip(*[batch.column(k).to_pylist() for k in range(4)]):
                 if began and (c != conv or chars > SEGMENT):
-                    if leave():
+                    if leave(c != conv and not edge and not cut):
                         yield rows.take()
-                    segment = segment + 1 if c == conv else 0
-                    turns_, chars = [], 0
+                    edge, cut = edge and c == conv, c == conv
+                    turns_, chars, left = [], 0, left + 1
                 conv, began = c, True
                 turns_.append((role, text))
                 chars += len(role) + len(text)
         if began:
-            leave()
+            leave(False)
         yield from rows.rest()
 
     return arrow_map(_sorted_turns(turns), run, _SEGMENT_DDL)
 
 
+def _read_segments(spark: SparkSession, segments: DataFrame, vocabulary: str | None) -> DataFrame:
+    """Per segment: counts, and the bytes that its turns and its loss text give
+    to the digests of its conversation (of a whole one: the digests)."""
+    path, _ = default_vocabulary()
+    tokens = spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or path)})
+    schema = pa.schema([("conv_id", pa.int64()), ("segment", pa.int64()), ("whole", pa.bool_()),
+                        ("turns", pa.binary()), ("loss", pa.binary()), ("n_turns", pa.int64()),
+                        ("loss_chars", pa.int64()), ("formatted_chars", pa.int64()),
+                        ("n_tokens", pa.int64())])
+
+    def run(batches):
+        vocab = tokens.value["tokens"] + [m.encode() for m in MARKS]
+        dec = Decoder(vocab)
+        rows = Rows(schema)
+        for batch in batches:
+            for c, segment, whole, text, ids, loss in zip(*batch.columns):
+                text, whole = text.as_py(), whole.as_py()
+                turns = [f"{unescape(role)}\n{unescape(body)}\n" for role, body in _TURN.findall(text)]
+                ids = ids.values.to_numpy(zero_copy_only=False)
+                mask = loss.values.to_numpy(zero_copy_only=False)
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
+                said = [unescape(b"".join(dec.stream([ids[a:b]])).decode())
+                        for a, b in zip(edges[::2], edges[1::2])]
+                made = "".join(turns).encode(), "".join(said).encode()
+                if whole:
+                    made = [hashlib.sha256(m).digest() for m in made]
+                if rows.add(len(made[0]) + len(made[1]) + 48, c.as_py(), segment.as_py(), whole, *made,
+                            len(turns), sum(map(len, said)), len(text), len(ids)):
+                    yield rows.take()
+        yield from rows.rest()
+
+    return arrow_map(segments.select("conv_id", "segment", "whole", "formatted", "ids", "loss"), run,
+                     _PART_DDL)
+
+
 def read_back(spark: SparkSession, segments: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Digests of formatted conversations, from their strings, ids and masks
     alone: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars, n_tokens. Segments must come as ``format_conversations``
-    leaves them: a conversation's in order, in one task."""
-    path, _ = default_vocabulary()
-    tokens = spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or path)})
+    formatted_chars, n_tokens. Segments may come in any order."""
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()),
                         ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
                         ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
                         ("n_tokens", pa.int64())])
 
     def run(batches):
-        vocab = tokens.value["tokens"] + [m.encode() for m in MARKS]
-        dec = Decoder(vocab)
         rows = Rows(schema)
-        conv, began = None, False
+        conv, began, counts = None, False, [0] * 4
         turns_hash = loss_hash = None
-        n_turns = loss_chars = chars = n_tokens = 0
 
-        def close():
-            return rows.add(200, conv, n_turns, turns_hash.hexdigest(), loss_chars,
-                            loss_hash.hexdigest(), chars, n_tokens)
+        def add(c, turns, loss, n):
+            return rows.add(200, c, n[0], turns, n[1], loss, n[2], n[3])
 
         for batch in batches:
-            cols = [batch.column(k) for k in (0, 2, 3, 5)]
-            for c, text, ids, loss in zip(*cols):
-                c, text = c.as_py(), text.as_py()
+            cols = [batch.column(k) for k in (0, 2, 3, 4)]
+            numbers = zip(*[batch.column(k).to_pylist() for k in (5, 6, 7, 8)])
+            for (c, whole, turns, loss), n in zip(zip(*cols), numbers):
+                c, turns, loss = c.as_py(), turns.as_py(), loss.as_py()
+                if whole.as_py():
+                    if add(c, turns.hex(), loss.hex(), n):
+                        yield rows.take()
+                    continue
                 if not began or c != conv:
-                    if began and close():
+                    if began and add(conv, turns_hash.hexdigest(), loss_hash.hexdigest(), counts):
                         yield rows.take()
-                    conv, began = c, True
+                    conv, began, counts = c, True, [0] * 4
                     turns_hash, loss_hash = hashlib.sha256(), hashlib.sha256()
-                    n_turns = loss_chars = chars = n_tokens = 0
-                chars += len(text)
-                for role, body in _TURN.findall(text):
-                    n_turns += 1
-                    turns_hash.update(f"{unescape(role)}\n{unescape(body)}\n".encode())
-                ids = ids.values.to_numpy(zero_copy_only=False)
-                mask = np.asarray(loss.as_py(), bool)
-                n_tokens += len(ids)
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
-                for a, b in zip(edges[::2], edges[1::2]):
-                    said = unescape(b"".join(dec.stream([ids[a:b]])).decode())
-                    loss_chars += len(said)
-                    loss_hash.update(said.encode())
+                turns_hash.update(turns)
+                loss_hash.update(loss)
+                counts = [a + b for a, b in zip(counts, n)]
         if began:
-            close()
+            add(conv, turns_hash.hexdigest(), loss_hash.hexdigest(), counts)
         yield from rows.rest()
 
-    return arrow_map(segments, run, "conv_id bigint, n_turns bigint, turns_sha256 string, "
-                                    "loss_chars bigint, loss_sha256 string, "
-                                    "formatted_chars bigint, n_tokens bigint")
+    parts = (_read_segments(spark, segments, vocabulary)
+             .repartition("conv_id").sortWithinPartitions("conv_id", "segment"))
+    return arrow_map(parts, run, "conv_id bigint, n_turns bigint, turns_sha256 string, "
+                                 "loss_chars bigint, loss_sha256 string, "
+                                 "formatted_chars bigint, n_tokens bigint")

@@ -149,6 +149,40 @@ def test_segments_change_nothing(spark, monkeypatch):
     assert C.read_back(spark, cut).collect() == whole
 
 
+def test_long_conversation_is_dealt_over_tasks(spark, monkeypatch):
+    import hashlib
+
+    import bazaarlens.llm.chat as C
+    rows = [(7, k, "assistant" if k % 2 else "user", f"<|{k}| é " * 30) for k in range(3000)]
+    rows += [(8, None, "assistant", f"{k:04d}" * 20) for k in range(1000)]   # one place, many texts
+    rows += [(100 + k, j, "assistant", f"{k} {j}") for k in range(300) for j in range(2)]
+    monkeypatch.setattr(C, "SEGMENT", 2000)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+        segments = C.format_conversations(spark, turns.repartition(5))
+        parts = {(r.conv_id, r.segment >> 40, r.whole) for r in segments.collect()}
+        for hot in (7, 8):
+            assert len({p for c, p, _ in parts if c == hot}) > 1
+            assert not any(w for c, _, w in parts if c == hot)
+        assert sum(w for c, _, w in parts if c >= 100) > 280
+        got = {r.conv_id: r for r in C.read_back(spark, segments.orderBy(F.rand(3))).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    want = {}
+    for c, _, role, text in rows:
+        want.setdefault(c, []).append((role, text))
+    assert len(got) == len(want)
+    for c, turns_ in want.items():
+        said = "".join(t for r, t in turns_ if r == "assistant")
+        told = "".join(f"{r}\n{t}\n" for r, t in turns_)
+        assert got[c].n_turns == len(turns_) and got[c].loss_chars == len(said)
+        assert got[c].turns_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert got[c].formatted_chars == len(C.render(turns_)[0])
+
+
 @pytest.mark.parametrize("name", ["op1_secret_scan", "op6_license_scan"])
 def test_native_queries_run_no_python(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
