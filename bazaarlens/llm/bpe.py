@@ -271,6 +271,9 @@ def windows(text: str, size: int = WINDOW) -> Iterator[str]:
     """Cuts of a text that no match of the split pattern crosses: each ends
     before white space (as the pattern's ``\\s`` has it) that follows
     something else."""
+    if len(text) <= size:
+        yield text
+        return
     import regex
     word_end = regex.compile(r"\S\s")
     start, n = 0, len(text)
