@@ -387,72 +387,86 @@ def _resident(held: dict, what: str, make):
     return held[what]
 
 
+def _encoded(batches, held: dict, pattern: str, out: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ``out`` (ids) at the end in place of the first column (text)."""
+    enc = _resident(held, "encoder " + pattern, lambda: Encoder(held["tokens"], pattern))
+    for batch in batches:
+        start, size, rows = 0, 0, []
+        for i, t in enumerate(batch.column(0)):
+            ids = enc.encode(t.as_py() or "")
+            rows.append(ids)
+            size += 4 * len(ids) + 32
+            if size >= 1 << 22 or i + 1 == batch.num_rows:
+                ends = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+                rest = [c.slice(start, len(rows)) for c in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays(rest + [lists],
+                                                 names=batch.schema.names[1:] + [out])
+                start, size, rows = i + 1, 0, []
+
+
+def _decoded(batches, held: dict, at: int, out: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ``out`` (bytes of the ids in column ``at``) added at the end."""
+    dec = _resident(held, "decoder", lambda: Decoder(held["tokens"]))
+    for batch in batches:
+        start, size, rows = 0, 0, []
+        col = batch.column(at)
+        for i in range(batch.num_rows):
+            one = col[i].values
+            runs = [] if one is None else [one.slice(k, WINDOW).to_numpy(zero_copy_only=False)
+                                           for k in range(0, len(one), WINDOW)]
+            rows.append(b"".join(dec.stream(runs)))
+            size += len(rows[-1]) + 32
+            if size >= 1 << 22 or i + 1 == batch.num_rows:
+                rest = [c.slice(start, len(rows)) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays(rest + [pa.array(rows, pa.binary())],
+                                                 names=batch.schema.names + [out])
+                start, size, rows = i + 1, 0, []
+
+
+def _vocabulary(spark: SparkSession, vocabulary: str | None):
+    """Broadcast of one rank file; workers keep their machines in their copy."""
+    return spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or default_vocabulary()[0])})
+
+
+def _ddl(fields, *more: str) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + list(more))
+
+
+def _text_first(docs: DataFrame, text: str) -> tuple[DataFrame, list]:
+    keep = [f for f in docs.schema.fields if f.name != text]
+    return docs.select(F.col(text), *[F.col(f"`{f.name}`") for f in keep]), keep
+
+
 def encode(spark: SparkSession, docs: DataFrame, text: str = "text", vocabulary: str | None = None,
            pattern: str | None = None, out: str = "ids") -> DataFrame:
     """The documents with ``out`` (array of int) in place of ``text``."""
-    path, default = default_vocabulary()
-    tokens = spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or path)})  # one file
-    pattern = pattern or default
-    keep = [f for f in docs.schema.fields if f.name != text]
-    src = docs.select(F.col(text), *[F.col(f"`{f.name}`") for f in keep])
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
-                    + [f"`{out}` array<int>"])
-
-    def run(batches):
-        held = tokens.value
-        enc = _resident(held, "encoder " + pattern, lambda: Encoder(held["tokens"], pattern))
-        for batch in batches:
-            start, size, rows = 0, 0, []
-            for i, t in enumerate(batch.column(0)):
-                ids = enc.encode(t.as_py() or "")
-                rows.append(ids)
-                size += 4 * len(ids) + 32
-                if size >= 1 << 22 or i + 1 == batch.num_rows:
-                    ends = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
-                    rest = [c.slice(start, len(rows)) for c in batch.columns[1:]]
-                    yield pa.RecordBatch.from_arrays(rest + [lists],
-                                                     names=batch.schema.names[1:] + [out])
-                    start, size, rows = i + 1, 0, []
-
-    return arrow_map(src, run, ddl)
+    tokens, pattern = _vocabulary(spark, vocabulary), pattern or default_vocabulary()[1]
+    src, keep = _text_first(docs, text)
+    return arrow_map(src, lambda batches: _encoded(batches, tokens.value, pattern, out),
+                     _ddl(keep, f"`{out}` array<int>"))
 
 
 def decode(spark: SparkSession, coded: DataFrame, ids: str = "ids", vocabulary: str | None = None,
            out: str = "decoded") -> DataFrame:
     """Adds ``out`` (binary), the bytes of ``ids``; null ids decode to nothing."""
-    path, _ = default_vocabulary()
-    tokens = spark.sparkContext.broadcast({"tokens": read_ranks(vocabulary or path)})
-    at = coded.columns.index(ids)
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields]
-                    + [f"`{out}` binary"])
-
-    def run(batches):
-        held = tokens.value
-        dec = _resident(held, "decoder", lambda: Decoder(held["tokens"]))
-        for batch in batches:
-            start, size, rows = 0, 0, []
-            col = batch.column(at)
-            for i in range(batch.num_rows):
-                one = col[i].values
-                runs = [] if one is None else [one.slice(k, WINDOW).to_numpy(zero_copy_only=False)
-                                               for k in range(0, len(one), WINDOW)]
-                rows.append(b"".join(dec.stream(runs)))
-                size += len(rows[-1]) + 32
-                if size >= 1 << 22 or i + 1 == batch.num_rows:
-                    rest = [c.slice(start, len(rows)) for c in batch.columns]
-                    yield pa.RecordBatch.from_arrays(rest + [pa.array(rows, pa.binary())],
-                                                     names=batch.schema.names + [out])
-                    start, size, rows = i + 1, 0, []
-
-    return arrow_map(coded, run, ddl)
+    tokens, at = _vocabulary(spark, vocabulary), coded.columns.index(ids)
+    return arrow_map(coded, lambda batches: _decoded(batches, tokens.value, at, out),
+                     _ddl(coded.schema.fields, f"`{out}` binary"))
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None,
                pattern: str | None = None) -> DataFrame:
-    """Per document: doc_id, ids, decoded."""
-    coded = encode(spark, docs.select("doc_id", "text"), vocabulary=vocabulary, pattern=pattern)
-    return decode(spark, coded, vocabulary=vocabulary)
+    """Per document: doc_id, ids, decoded. Ids are decoded in the task that
+    made them, batch by batch, so one Python worker a core does both."""
+    tokens, pattern = _vocabulary(spark, vocabulary), pattern or default_vocabulary()[1]
+    src, keep = _text_first(docs.select("doc_id", "text"), "text")
+
+    def run(batches):
+        held = tokens.value
+        return _decoded(_encoded(batches, held, pattern, "ids"), held, 1, "decoded")
+
+    return arrow_map(src, run, _ddl(keep, "ids array<int>", "decoded binary"))
 
 
 def digests(coded: DataFrame) -> DataFrame:

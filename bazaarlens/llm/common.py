@@ -46,9 +46,15 @@ def ship() -> None:
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` with task code shipped by value."""
+    """``mapInArrow`` with task code shipped by value. Python workers are used
+    again by later tasks, so a task gives its Arrow buffers back at its end."""
     ship()
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 class Rows:
