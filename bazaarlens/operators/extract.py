@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from bazaarlens.functions.cards import CARD_ATTR, FIELDS, parse_cards
 from bazaarlens.functions.keywords import KEYWORDS, keyword_rank
+from bazaarlens.session import scratch_path
 from bazaarlens.sources.schema import CARD_FIELDS_SCHEMA, LISTING_SCHEMA, PAGE_ARCHIVE_SCHEMA
 
 # Page classification (case-insensitive body markers).
@@ -221,6 +222,11 @@ def kept_cards(cards: DataFrame) -> DataFrame:
     return cards.filter(_reject_reason(cols).isNull()).select("page_id", "pos", *typed)
 
 
+def cutoff_path(sorted_path: str) -> str:
+    """Where ``listings_from_cards`` stores the stops of the crawl."""
+    return f"{sorted_path}.cutoff"
+
+
 def listings_from_cards(cards: DataFrame, status: DataFrame,
                         keywords: Sequence[str] = KEYWORDS,
                         sorted_path: str | None = None) -> DataFrame:
@@ -230,13 +236,20 @@ def listings_from_cards(cards: DataFrame, status: DataFrame,
     to where its crawl stops; of each ASIN the first sighting in crawl order;
     ids 1..N in crawl order, as an auto-increment key on load would be.
     Shuffles: per-page counts, one on the ASIN (first-seen) and one range sort
-    for the ids; no single-task step."""
+    for the ids; no single-task step. Where keywords stop is stored before cards
+    are cut: its size is known then, a row per keyword is broadcast, and cards do
+    not move to one task per keyword. ``sorted_path``: see ``surrogate_key``; the
+    stops are stored beside it."""
     from bazaarlens.operators.dedup import crawl_cutoff, first_seen, page_stats, within_cutoff
     from bazaarlens.sources.keys import surrogate_key
     from bazaarlens.sources.schema import RAW_SCHEMA
 
-    kept = kept_cards(cards)
-    reached = within_cutoff(kept, crawl_cutoff(page_stats(status, kept))).withColumn(
+    spark, kept = cards.sparkSession, kept_cards(cards)
+    sorted_path = sorted_path or scratch_path(spark, "sorted")
+    stops = crawl_cutoff(page_stats(status, kept))
+    stops.write.parquet(cutoff_path(sorted_path))
+    stops = spark.read.schema(stops.schema).parquet(cutoff_path(sorted_path))
+    reached = within_cutoff(kept, stops).withColumn(
         "keyword_rank", keyword_rank(F.col("search_keyword"), keywords))
     unique = first_seen(reached, order=CARD_ORDER, keywords=keywords)
     keyed = surrogate_key(unique, list(CARD_ORDER), name="id", sorted_path=sorted_path)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.operators.clean import clean
 from bazaarlens.operators.extract import (CARD_SCHEMA, as_page_archive, card_fields,
-                                          listings_from_cards, page_status)
+                                          cutoff_path, listings_from_cards, page_status)
 from bazaarlens.session import checkpoint_root
 from bazaarlens.sources.archive_fixture import render_pages
 from bazaarlens.sources.schema import CLEANED_SCHEMA, PAGE_ARCHIVE_SCHEMA, RAW_SCHEMA
@@ -234,6 +234,7 @@ def archive_listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         status = page_status(page_archive(spark, sf_dir), cards)
         write_table(listings_from_cards(cards, status, sorted_path=f"{folder}.sorted"), folder)
         _delete(spark, f"{folder}.sorted")
+        _delete(spark, cutoff_path(f"{folder}.sorted"))
 
     path = stored(spark, "archive_listings", _archive_sources(sf_dir), write)
     return spark.read.schema(RAW_SCHEMA).parquet(path)

@@ -166,3 +166,23 @@ def test_sponsored_string_of_an_only_child_chain():
     inner = '<div data-component-type="s-search-result" data-asin="B2"><span>sponsored</span></div>'
     both = parse_cards(START + inner + START.replace("B1", "B3") + "</div></div>")
     assert [c["sponsored"] for c in both] == [True, True, False]
+
+
+def test_a_start_tag_of_a_page_is_read_once(monkeypatch):
+    from bazaarlens.functions import cards as C
+    read, plain = [], C._attributes
+    monkeypatch.setattr(C, "_attributes", lambda text: read.append(text) or plain(text))
+    card = START + '<span class="a-size-medium">One</span><span class="x">y</span></div>'
+    got = parse_cards(card * 50)
+    assert [c["name_medium"] for c in got] == ["One"] * 50
+    assert len([x for x in read if x.startswith(" class")]) == 2
+
+
+def test_leaf_elements_read_like_start_text_and_end():
+    c = one('<br>a</br><span/>b</span><span class="a-size-medium">T &amp; U</SPAN>'
+            '<h2> </h2><b><span class="a-price-whole">7</span></b><p>Sponsored</p>')
+    assert (c["name_medium"], c["price_text"], c["name_h2"]) == ("T & U", "7", "")
+    assert c["sponsored"] is False
+    leaf = '<div data-component-type="s-search-result" data-asin="B2">text</div>'
+    assert [x["asin_attr"] for x in parse_cards(START + leaf + "</div>" + leaf)] == ["B1", "B2", "B2"]
+    assert one("<span><a>Sponsored</a><!-- x --></span>")["sponsored"] is False

@@ -231,3 +231,18 @@ def test_listings_from_archive_first_sighting_and_ids(spark):
            for r in listings_from_archive(pages).orderBy("id").collect()]
     # crawl order: laptops p1 (B, A, B), laptops p2 (A, C), gaming p1 (C, D: no price)
     assert got == [(1, "B", "45990.00", 1), (2, "A", "40000.00", 1), (3, "C", "45990.00", 2)]
+
+
+def test_cards_do_not_move_by_keyword(spark, monkeypatch):
+    """The rows on reached pages are kept by a broadcast of the stored stops."""
+    from bazaarlens.operators import dedup
+    from bazaarlens.operators.extract import listings_from_archive
+    seen, plain = [], dedup.within_cutoff
+    monkeypatch.setattr(dedup, "within_cutoff",
+                        lambda cards, cutoff: seen.append(plain(cards, cutoff)) or seen[0])
+    pages = spark.createDataFrame([(1, URL, card(), 200, TS)],
+                                  "page_id long, url string, html string, http_status int, "
+                                  "fetched_at timestamp_ntz")
+    assert [r.asin for r in listings_from_archive(pages).collect()] == ["B0X"]
+    plan = seen[0]._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
