@@ -233,6 +233,24 @@ def test_listings_from_archive_first_sighting_and_ids(spark):
     assert got == [(1, "B", "45990.00", 1), (2, "A", "40000.00", 1), (3, "C", "45990.00", 2)]
 
 
+def test_markers_are_searched_in_markup_once(spark):
+    """Any marker in any letter case, letters of A-Z and a-z alone alike; no copy
+    of the markup in lower case and no second search of it."""
+    rows = [(1, URL, "₹ <b>CaptchA</b>", 200, None), (2, URL, "ENTER THE Characters", None, None),
+            (3, URL, '<SPAN\nid=x>\n é No Results FOR "zzz"', 200, None),
+            (4, URL, "<span><b>no results for</b></span>", 200, None),
+            (5, URL, "<ſpan>no results for", 200, None), (6, URL, "no reſults for", 200, None),
+            (7, URL, None, 200, None), (8, URL, "captcha", 503, None), (None, URL, "", None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, "
+                                        "http_status int, fetched_at timestamp_ntz")
+    status = page_status(pages)
+    assert {r.page_id: r.status for r in status.collect()} == {
+        1: "challenge", 2: "challenge", 3: "exhausted", 4: "empty", 5: "empty", 6: "empty",
+        7: "empty", 8: "blocked", None: "empty"}
+    plan = status._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "lower(html" not in plan and "rlike" not in plan
+
+
 def test_cards_do_not_move_by_keyword(spark, monkeypatch):
     """The rows on reached pages are kept by a broadcast of the stored stops."""
     from bazaarlens.operators import dedup
