@@ -20,7 +20,7 @@ candidates that could cover it are counted exactly. A language is settled when
 included) or when the floor is 0 and everything is open; else its floor goes
 down to the pair at twice the rank, and it is counted again.
 
-Counting. Tasks number the words of about a million tokens at a time, count
+Counting. Tasks number the words of about five million bytes at a time, count
 n-grams with NumPy and hand on (lang, phrase, count); Spark adds up, so a hot
 word, pair or language is one row a chunk. Which words are frequent and which
 pairs and triples are open reaches the tasks as flags in a table of
@@ -31,7 +31,7 @@ rounds is in tables below ``spark.checkpoint.dir``.
 
 Null and empty texts have no words, a null language is ``und``, repeated rows
 count each, an empty table gives an empty table; other columns are not read.
-Memory of a task: a chunk of tokens, at least the longest text.
+Memory of a task: a chunk of texts, at least the longest text.
 """
 
 from __future__ import annotations
@@ -53,23 +53,18 @@ COVER = 80              # percent of a phrase's count that a longer candidate ne
 MAX_WORDS = 4
 TABLE_BITS = 24
 MAX_LANGS = 10_000      # a list of languages up to here is broadcast
-CHUNK = 1 << 20         # tokens numbered and counted at a time
+CHUNK = 5 << 20         # bytes of text numbered and counted at a time
 
 # A-Z to lower case, tabs to blanks, and separators of pieces to line feeds.
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r",
                          b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
-_BREAK = b"\xff"        # no UTF-8 text holds this byte
+_BREAK = b"\n"
 
 WORD, OPEN_PREFIX, OPEN_SUFFIX, PAIR, SETTLE = 1, 2, 4, 8, 16   # flags of the table
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Lower-cased words, with ``_BREAK`` after each piece."""
-    return text.translate(_LOWER).replace(b"\n", b" \xff ").split() + [_BREAK]
-
-
 def _word_hash(lang: bytes, word: bytes) -> int:
     return int.from_bytes(blake2b(lang + b"\0" + word, digest_size=8).digest(), "little")
 
@@ -97,32 +92,37 @@ def _phrase_hash(lang: bytes, phrase: bytes) -> int:
     return h
 
 
-class _Numbers(dict):
-    """Numbers words in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
 class _Chunk:
-    """Numbered tokens of one language; number 0 is a break."""
+    """Texts of one language; their tokens are numbered by Arrow and NumPy, with
+    no Python object per token. Number 0 is a break."""
 
     def __init__(self, lang: bytes):
-        self.lang, self.ids, self.parts = lang, _Numbers({_BREAK: 0}), []
-
-    def add(self, words: list[bytes]) -> None:
-        self.parts.append(np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words)))
+        self.lang, self.texts = lang, []
+
+    def numbered(self) -> tuple[np.ndarray, pa.Array]:
+        """Numbers of all tokens, in order, and the token of each number."""
+        # a break before the first text and after each
+        text = np.frombuffer(_BREAK.join([b"", *self.texts, b""]).translate(_LOWER), np.uint8)
+        blank, edge = text == 32, text == _BREAK[0]
+        first = edge.copy()              # bytes that begin a token if they are no blanks
+        first[1:] |= blank[:-1] | edge[:-1]
+        kept = ~blank
+        offsets = np.append(np.flatnonzero(first[kept]), np.count_nonzero(kept))
+        found = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(offsets) - 1,
+            [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text[kept])])
+        found = found.dictionary_encode()
+        return found.indices.to_numpy().astype(np.int64), found.dictionary
 
     def counts(self, n: int, flags: np.ndarray | None) -> tuple[pa.Array, np.ndarray]:
         """The phrases of n words that the flags ask for, and their counts."""
-        w = np.concatenate(self.parts)
-        names = list(self.ids)
+        w, names = self.numbered()
         base = len(names)
-        written = pa.array(names[1:], pa.binary()).cast(pa.string())   # number 1 first
+        written = names[1:].cast(pa.string())   # number 1 first
         if n == 1:
             return written, np.bincount(w, minlength=base)[1:]
-        word = np.array([0] + [_word_hash(self.lang, x) for x in names[1:]], np.uint64)
+        word = np.array([0] + [_word_hash(self.lang, x) for x in names[1:].to_pylist()],
+                        np.uint64)
         usable = (flags[_cell(word)] & WORD) > 0
         usable[0] = False
         m = len(w) - n + 1
@@ -186,9 +186,8 @@ def _count(docs: DataFrame, n: int, flags: np.ndarray | None) -> DataFrame:
                     continue
                 if lang not in chunks:
                     chunks[lang] = _Chunk(lang)
-                words = tokens(text.as_py())
-                chunks[lang].add(words)
-                size += len(words)
+                chunks[lang].texts.append(text.as_py())
+                size += len(chunks[lang].texts[-1])
                 if size >= CHUNK:
                     yield from flush()
                     chunks.clear()

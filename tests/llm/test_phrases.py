@@ -92,3 +92,15 @@ def test_query_on_awkward_documents(spark, tmp_path):
     assert got.count() > 10 and NAME == "op12_phrases"
     empty = write_tables(spark, tmp_path / "e", documents=docs_frame(spark).limit(0))
     assert query(spark, empty).count() == 0
+
+
+def test_tokens_are_numbered_without_an_object_each():
+    """Numbers of tokens in order of appearance, 0 between pieces and texts."""
+    from bazaarlens.llm import phrases as P
+    chunk = P._Chunk(b"en")
+    chunk.texts += [b"A\tb  a.c", b"", "É é\x1c B\x0bb".encode()]
+    numbers, names = chunk.numbered()
+    assert names.to_pylist() == [b"\n", b"a", b"b", b"c", "É".encode(), "é\x1c".encode()]
+    assert [list(map(int, x.split())) for x in " ".join(map(str, numbers)).split("0") if x.strip()] \
+        == [[1, 2, 1], [3], [4, 5, 2], [2]]
+    assert P._Chunk(b"en").numbered()[1].to_pylist() == [b"\n"]
