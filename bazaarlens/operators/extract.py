@@ -2,22 +2,18 @@
 
 ``pages(page_id, url, html, http_status, fetched_at)`` -> one row per kept
 card with the raw listing columns. The only Python is the per-page card
-finder and the search for body markers (``mapInArrow``, Arrow batches in and out);
-the finder returns raw strings, and every coercion (digits-only price,
-currency-stripped MRP, first number of the rating text, comma-free review count,
-discount, keyword and page from the URL, minute timestamp) is a native column
-expression. Parsing is
+finder (``mapInArrow``, Arrow batches in and out); it returns raw strings, and every
+coercion (digits-only price, currency-stripped MRP, first number of the
+rating text, comma-free review count, discount, keyword and page from the
+URL, minute timestamp) is a native column expression. Parsing is
 partition-local: no shuffle between the page scan and the card rows.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +27,6 @@ from bazaarlens.sources.schema import CARD_FIELDS_SCHEMA, LISTING_SCHEMA, PAGE_A
 CHALLENGE_MARKERS = ("captcha", "enter the characters")
 NO_RESULTS_MARKER = "no results for"
 NO_RESULTS_PATTERN = rf"(?i)<span[^>]*>[^<]*{NO_RESULTS_MARKER}"
-CHALLENGE_PATTERN = "(?i)" + "|".join(map(re.escape, CHALLENGE_MARKERS))
-ANY_MARKER_PATTERN = f"{CHALLENGE_PATTERN}|{NO_RESULTS_MARKER}"
 KEYWORD_PATTERN = r"[?&]k=([^&#]*)"
 PAGE_PATTERN = r"[?&]page=([0-9]+)"
 OK_STATUS = 200
@@ -64,34 +58,22 @@ def page_from_url(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, PAGE_PATTERN, 1), F.lit("")).try_cast("int")
 
 
-def _marks_of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds to Arrow batches of pages which markers their markup holds, in place
-    of the markup. One pass over the bytes (A-Z and a-z alike, other letters only
-    themselves) finds the few pages with any marker; only those are told apart."""
-    for batch in batches:
-        html = batch.column("html").cast(pa.binary())
-        marked = pc.fill_null(pc.match_substring_regex(html, ANY_MARKER_PATTERN), False)
-        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
-        some, found = html.take(pa.array(at)), []
-        for pattern in (CHALLENGE_PATTERN, NO_RESULTS_PATTERN):
-            flag = np.zeros(batch.num_rows, bool)
-            flag[at] = pc.match_substring_regex(some, pattern).to_numpy(zero_copy_only=False)
-            found.append(pa.array(flag))
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("page_id", "url", "http_status")), *found],
-            names=["page_id", "url", "http_status", "challenge", "no_results"])
-
-
 def page_status(pages: DataFrame, cards: DataFrame | None = None) -> DataFrame:
     """Classify each archived page: blocked, challenge, exhausted, empty, ok.
 
     ``cards``: the parsed cards of these pages, if they are stored; what counts
-    as a card is decided by the card finder alone. Markup is looked at once,
-    before the join with the per-page counts, and does not travel."""
-    _ship_by_value()
-    flags = as_page_archive(pages).select("page_id", "url", "http_status", "html").mapInArrow(
-        _marks_of_pages,
-        "page_id bigint, url string, http_status int, challenge boolean, no_results boolean")
+    as a card is decided by the card finder alone. Markup is put in lower case
+    once and looked at before the join with the per-page counts, and does not
+    travel; the pattern is tried on pages that hold its words alone."""
+    low = F.col("low")
+    challenge = F.lit(False)
+    for m in CHALLENGE_MARKERS:
+        challenge = challenge | low.contains(m)
+    no_results = low.contains(NO_RESULTS_MARKER) & F.col("html").rlike(NO_RESULTS_PATTERN)
+    flags = as_page_archive(pages).withColumn("low", F.lower("html")).select(
+        "page_id", "url", "http_status",
+        F.coalesce(challenge, F.lit(False)).alias("challenge"),
+        F.coalesce(no_results, F.lit(False)).alias("no_results"))
     counts = (card_fields(pages) if cards is None else cards) \
         .groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
     n_cards = F.coalesce("n", F.lit(0))
